@@ -52,14 +52,18 @@ def with_ordinal(
     spark = df.sparkSession
     n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _cols(order_by) + [F.xxhash64(*[F.col(c) for c in df.columns])]
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    tagged = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(
-        _MID, F.monotonically_increasing_id()
-    )
+    ranged = df.repartitionByRange(n, *keys)
+    tagged = ranged.sortWithinPartitions(*keys).withColumn(
+        _PID, F.spark_partition_id()
+    ).withColumn(_MID, F.monotonically_increasing_id())
     if checkpoint:
         checkpoint_root(spark)
         tagged = tagged.checkpoint(eager=True)
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__cnt"))
+        counted = tagged
+    else:
+        # Counting needs no order: read the same (reused) range exchange unsorted.
+        counted = ranged.select(F.spark_partition_id().alias(_PID))
+    counts = counted.groupBy(_PID).agg(F.count(F.lit(1)).alias("__cnt"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         _PID,
