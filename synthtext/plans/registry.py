@@ -1,29 +1,32 @@
-"""Registered queries over the driver's tables, each with its DuckDB oracle.
+"""Registry of queries over the driver's tables, each with its DuckDB oracle.
 
 Every query reads the given parquet tables (or data Spark derives from them)
 in full. Computed columns are aliased and cast identically on both sides
 (BIGINT counts, doubles rounded to 6 places) so the results compare by value.
+Query groups live in ``queries_*`` modules and register themselves on import.
 """
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from synthtext.config import PostProcessing
-from synthtext.functions import text as X
-from synthtext.functions.tokens import tokenize
-from synthtext.operators import batching as B
-from synthtext.operators import metrics as M
-from synthtext.operators.postprocess import apply_post_processing, min_length_filter
-from synthtext.plans import oracle as O
-
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+GROUPS = (
+    "synthtext.plans.queries_text",
+    "synthtext.plans.queries_prompts",
+    "synthtext.plans.queries_metrics",
+    "synthtext.plans.queries_generation",
+    "synthtext.plans.queries_io",
+    "synthtext.plans.queries_checks",
+)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -40,198 +43,23 @@ def register(name: str, oracle: str | None = None):
 
 
 def r6(col):
-    return F.round(col, 6)
-
-
-# Post-processing defaults of the reference configuration (X6 inputs).
-FULL = PostProcessing(max_length=2048, complete_sentences=True, deduplicate=True)
-
-
-# --------------------------------------------------------------------------
-# Text clean-up over whole documents
-# --------------------------------------------------------------------------
-@register("q_clean_whitespace", f"SELECT doc_id, {O.clean('text')} AS text_out FROM documents")
-def q_clean_whitespace(spark, d):
-    return table(spark, d, "documents").select("doc_id", X.clean_whitespace("text").alias("text_out"))
-
-
-@register(
-    "q_simple_post_process",
-    f"SELECT doc_id, substr({O.clean('text')}, 1, 500) AS text_out FROM documents",
-)
-def q_simple_post_process(spark, d):
-    return table(spark, d, "documents").select(
-        "doc_id", X.simple_post_process("text", 500).alias("text_out")
-    )
-
-
-def _pp_oracle(n, complete, dedup, extra_cols="", src="documents", keep="doc_id"):
-    ctes, last = O.post_process_ctes(src, keep, n, complete, dedup)
-    return f"WITH {ctes}\nSELECT {keep}, t AS text_out{extra_cols} FROM {last}"
-
-
-@register("q_truncate_200", _pp_oracle(200, False, False))
-def q_truncate_200(spark, d):
-    df = table(spark, d, "documents").select("doc_id", "text")
-    out = apply_post_processing(df, "text", PostProcessing(max_length=200, complete_sentences=False, deduplicate=False))
-    return out.select("doc_id", F.col("text").alias("text_out"))
+    """Round to 6 places as the oracle's ``round(x, 6)`` does for doubles:
+    half away from zero on ``x * 1e6`` (Spark's ``round`` is HALF_UP on the
+    decimal form, which differs on exact halves such as 8.3696875)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.signum(c) * F.floor(F.abs(c) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
 
 
-@register("q_complete_sentences", _pp_oracle(None, True, False))
-def q_complete_sentences(spark, d):
-    df = table(spark, d, "documents").select("doc_id", "text")
-    cfg = PostProcessing(max_length=None, complete_sentences=True, deduplicate=False)
-    return apply_post_processing(df, "text", cfg).select("doc_id", F.col("text").alias("text_out"))
-
-
-@register("q_dedup_sentences", _pp_oracle(None, False, True))
-def q_dedup_sentences(spark, d):
-    df = table(spark, d, "documents").select("doc_id", "text")
-    cfg = PostProcessing(max_length=None, complete_sentences=False, deduplicate=True)
-    return apply_post_processing(df, "text", cfg).select("doc_id", F.col("text").alias("text_out"))
-
-
-@register("q_post_process_full", _pp_oracle(2048, True, True, ", length(t)::BIGINT AS n_chars_out"))
-def q_post_process_full(spark, d):
-    df = table(spark, d, "documents").select("doc_id", "text")
-    out = apply_post_processing(df, "text", FULL)
-    return out.select(
-        "doc_id", F.col("text").alias("text_out"), F.length("text").cast("long").alias("n_chars_out")
-    )
-
-
-@register(
-    "q_min_length",
-    "SELECT doc_id, n_chars FROM documents WHERE length(text) >= 1000",
-)
-def q_min_length(spark, d):
-    df = table(spark, d, "documents").select("doc_id", "text", "n_chars")
-    return min_length_filter(df, "text", 1000).select("doc_id", "n_chars")
-
-
-# --------------------------------------------------------------------------
-# Tokens and diversity
-# --------------------------------------------------------------------------
-@register(
-    "q_token_histogram",
-    f"SELECT tok AS token, count(*)::BIGINT AS count FROM "
-    f"(SELECT unnest({O.tokens_raw('text')}) AS tok FROM documents) GROUP BY tok",
-)
-def q_token_histogram(spark, d):
-    df = table(spark, d, "documents").select("text")
-    return M.token_histogram(df, tokenize("text")).select("token", F.col("count").cast("long"))
-
-
-def _diversity_by_lang_oracle():
-    ctes, last = O.post_process_ctes("documents", "doc_id, lang", 2048, True, True)
-    return (
-        f"WITH {ctes},\n"
-        f"h AS (SELECT lang, tok, count(*) AS c FROM "
-        f"(SELECT lang, unnest({O.tokens_clean('t')}) AS tok FROM {last}) GROUP BY lang, tok)\n"
-        + O.diversity_select("h", "lang")
-    )
-
-
-@register("q_token_diversity_by_lang", _diversity_by_lang_oracle())
-def q_token_diversity_by_lang(spark, d):
-    """Flagship: X6 over whole documents, then M2 per language."""
-    df = table(spark, d, "documents").select("doc_id", "lang", "text")
-    processed = apply_post_processing(df, "text", FULL)
-    div = M.token_diversity(processed, text_col="text", group_cols=["lang"])
-    return div.select(
-        "lang", "unique_tokens", "total_tokens", r6("unique_ratio").alias("unique_ratio"),
-        r6("entropy").alias("entropy"),
-    )
-
-
-@register(
-    "q_token_diversity",
-    "WITH h AS (SELECT tok, count(*) AS c FROM (SELECT unnest("
-    + O.tokens_raw("text")
-    + ") AS tok FROM documents) GROUP BY tok) "
-    + O.diversity_select("h", ""),
-)
-def q_token_diversity(spark, d):
-    df = table(spark, d, "documents").select("text")
-    div = M.token_diversity(df, text_col="text")
-    return div.select(
-        "unique_tokens", "total_tokens", r6("unique_ratio").alias("unique_ratio"),
-        r6("entropy").alias("entropy"),
-    )
-
-
-# --------------------------------------------------------------------------
-# Batches and shards over documents ordered by doc_id
-# --------------------------------------------------------------------------
-BATCH = 16
-SHARDS = 7
-
-
-@register(
-    "q_batches",
-    f"SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS ordinal, "
-    f"((row_number() OVER (ORDER BY doc_id) - 1) // {BATCH})::BIGINT AS batch_id FROM documents",
-)
-def q_batches(spark, d):
-    df = table(spark, d, "documents").select("doc_id")
-    return B.assign_batches(df, BATCH, ["doc_id"]).select("doc_id", "ordinal", "batch_id")
-
-
-@register(
-    "q_shards",
-    f"WITH o AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS ord, "
-    f"count(*) OVER () AS n FROM documents) "
-    f"SELECT doc_id, (CASE WHEN n // {SHARDS} = 0 THEN {SHARDS - 1} "
-    f"ELSE least(ord // (n // {SHARDS}), {SHARDS - 1}) END)::BIGINT AS shard_id FROM o",
-)
-def q_shards(spark, d):
-    df = table(spark, d, "documents").select("doc_id")
-    return B.assign_shards(df, SHARDS, ["doc_id"]).select("doc_id", "shard_id")
-
-
-def _batch_diversity_oracle():
-    ctes, last = O.post_process_ctes(
-        "(SELECT doc_id, text, (row_number() OVER (ORDER BY doc_id) - 1) // 16 AS batch_id FROM documents)",
-        "doc_id, batch_id", 2048, True, True,
-    )
-    return (
-        f"WITH {ctes},\n"
-        f"h AS (SELECT batch_id, tok, count(*) AS c FROM "
-        f"(SELECT batch_id, unnest({O.tokens_clean('t')}) AS tok FROM {last}) GROUP BY batch_id, tok)\n"
-        "SELECT b.batch_id::BIGINT AS batch_id, coalesce(unique_tokens, 0)::BIGINT AS unique_tokens, "
-        "coalesce(total_tokens, 0)::BIGINT AS total_tokens, coalesce(unique_ratio, 0) AS unique_ratio, "
-        "coalesce(entropy, 0) AS entropy FROM (SELECT DISTINCT batch_id FROM "
-        f"{last}) b LEFT JOIN ({O.diversity_select('h', 'batch_id')}) x ON b.batch_id = x.batch_id"
-    )
-
-
-@register("q_token_diversity_by_batch", _batch_diversity_oracle())
-def q_token_diversity_by_batch(spark, d):
-    df = table(spark, d, "documents").select("doc_id", "text")
-    batched = B.assign_batches(df, BATCH, ["doc_id"])
-    processed = apply_post_processing(batched, "text", FULL)
-    div = M.token_diversity(processed, text_col="text", group_cols=["batch_id"])
-    return div.select(
-        "batch_id", "unique_tokens", "total_tokens", r6("unique_ratio").alias("unique_ratio"),
-        r6("entropy").alias("entropy"),
-    )
-
-
-@register(
-    "q_progress",
-    f"WITH o AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ord FROM documents) "
-    f"SELECT (ord // {BATCH})::BIGINT AS batch_id, count(*)::BIGINT AS batch_samples, "
-    f"(max(ord) + 1)::BIGINT AS done, (SELECT count(*) FROM documents)::BIGINT AS total "
-    f"FROM o GROUP BY ord // {BATCH}",
-)
-def q_progress(spark, d):
-    df = table(spark, d, "documents").select("doc_id")
-    return M.progress(B.assign_batches(df, BATCH, ["doc_id"]))
+def _load() -> None:
+    for g in GROUPS:
+        importlib.import_module(g)
 
 
 def queries() -> dict[str, Query]:
+    _load()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(ORACLES)

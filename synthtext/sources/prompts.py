@@ -174,8 +174,10 @@ def read_prompts_stream(spark: SparkSession, path: str, format: str = "text",
                         glob: str | None = None) -> DataFrame:
     """A streaming prompt feed from a folder of text / JSON / Parquet files.
 
-    Returns ``(prompt_id, prompt)`` with ``prompt_id`` a hash of (file, line
-    content position) so it stays stable across micro-batches and restarts.
+    Returns ``(prompt_id, prompt)``. ``prompt_id`` is a hash of the file path
+    and the row's place in it (Parquet row index) or, for text/JSON lines, of
+    the file path and the line itself; it is stable across micro-batches,
+    retries and restarts.
     """
     r = spark.readStream
     if max_files_per_trigger:
@@ -183,17 +185,16 @@ def read_prompts_stream(spark: SparkSession, path: str, format: str = "text",
     if glob:
         r = r.option("pathGlobFilter", glob)
     fmt = format.lower()
+    meta = F.col("_metadata.file_path")
     if fmt == "text":
         df = r.text(path)
         prompt = ustrip("value")
-        df = df.where(F.length(prompt) > 0).select(prompt.alias("prompt"), F.col("_metadata.file_path").alias("_f"))
-    else:
-        if schema is None:
-            raise ValueError("a streaming json/parquet source needs an explicit schema")
-        df = r.schema(schema).format(fmt).load(path)
-        col = resolve_prompt_column(df.columns)
-        df = df.select(F.col(f"`{col}`").cast("string").alias("prompt"), F.col("_metadata.file_path").alias("_f"))
-        df = df.where(F.col("prompt").isNotNull())
-    return df.select(
-        F.xxhash64(F.col("_f"), F.monotonically_increasing_id()).alias("prompt_id"), "prompt"
-    )
+        df = df.where(F.length(prompt) > 0)
+        return df.select(F.xxhash64(meta, prompt).alias("prompt_id"), prompt.alias("prompt"))
+    if schema is None:
+        raise ValueError("a streaming json/parquet source needs an explicit schema")
+    df = r.schema(schema).format(fmt).load(path)
+    col = resolve_prompt_column(df.columns)
+    prompt = F.col(f"`{col}`").cast("string")
+    pos = F.col("_metadata.row_index") if fmt == "parquet" else prompt
+    return df.where(prompt.isNotNull()).select(F.xxhash64(meta, pos).alias("prompt_id"), prompt.alias("prompt"))
