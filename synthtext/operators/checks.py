@@ -163,14 +163,17 @@ def _required_paths(schema: Mapping, prefix: tuple = ()) -> list[tuple[tuple, bo
 def required_errors(v: Column, schema: Mapping) -> Column:
     """V1: every schema key present; nested keys are checked only below a
     present object and reported as ``parent.Missing required field: key``."""
+
+    def at(path: tuple) -> Column:
+        return F.try_variant_get(v, "$." + ".".join(path), "variant")
+
     cases = []
     for path, _ in _required_paths(schema):
         parents_ok = F.lit(True)
         for i in range(1, len(path)):
-            parents_ok = parents_ok & Rec(v, "$." + ".".join(path[: i - 1]) if i > 1 else "$").is_object(path[i - 1])
-        leaf = Rec(v, "$." + ".".join(path[:-1]) if len(path) > 1 else "$")
+            parents_ok = parents_ok & F.coalesce(F.schema_of_variant(at(path[:i])).startswith("OBJECT"), F.lit(False))
         msg = ".".join(path[:-1] + (f"Missing required field: {path[-1]}",))
-        cases.append(_msg(parents_ok & ~leaf.has(path[-1]), msg))
+        cases.append(_msg(parents_ok & at(path).isNull(), msg))
     return _errors(*cases) if cases else F.array().cast("array<string>")
 
 
