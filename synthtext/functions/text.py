@@ -110,6 +110,27 @@ def remove_incomplete_sentence(col: Column | str, sentences: Column | None = Non
     return F.when(complete, text).otherwise(F.array_join(F.slice(s, 1, F.size(s) - 1), " "))
 
 
+# Forms for text that X1 has already cleaned (single U+0020 between words,
+# no whitespace at the ends): sentence boundaries are exactly "[.!?] ".
+CLEAN_SENTENCE_BREAK = r"(?<=[.!?]) "
+
+
+def split_clean_sentences(col: Column | str) -> Column:
+    """X2 for cleaned text."""
+    return F.split(_c(col), CLEAN_SENTENCE_BREAK, -1)
+
+
+def remove_incomplete_sentence_clean(col: Column | str) -> Column:
+    """X4 for cleaned text without building the sentence list.
+
+    On cleaned text, joining all sentences but the last with one space is the
+    prefix up to the last boundary, which one greedy regex finds; no boundary
+    gives ''.
+    """
+    text = _c(col)
+    return F.when(text.rlike(SENTENCE_END), text).otherwise(F.regexp_extract(text, r"(?s)^(.*[.!?]) ", 1))
+
+
 def deduplicate_sentences(col: Column | str, sentences: Column | None = None) -> Column:
     """Drop a sentence equal to its immediate predecessor (case-sensitive).
 

@@ -22,6 +22,13 @@ def tokenize(col: Column | str) -> Column:
     return F.filter(F.split(_c(col), WS_RUN), lambda x: x != "")
 
 
+def tokenize_clean(col: Column | str) -> Column:
+    """T1 for whitespace-cleaned text (X1 output): a plain split on U+0020,
+    which skips the regular-expression engine. Same tokens as ``tokenize``
+    on such text."""
+    return F.filter(F.split(_c(col), " "), lambda x: x != "")
+
+
 def truncate_tokens(tokens: Column | str, max_tokens: int, side: str = "right") -> Column:
     """Keep ``max_tokens`` tokens; ``right`` cuts the tail, ``left`` the head."""
     t = _c(tokens)

@@ -27,15 +27,15 @@ def apply_post_processing(
     """
     out = out or col
     d = df.withColumn(_TMP, X.clean_whitespace(F.col(col)))
+    # From here on the text is clean, so the cheaper clean-text forms apply.
     if cfg is not None and cfg.max_length is not None:
         n = int(cfg.max_length)
-        d = d.withColumn(_SEN, X.truncation_window(F.col(_TMP), n))
+        d = d.withColumn(_SEN, X.split_clean_sentences(F.substring(F.col(_TMP), 1, n + 100)))
         d = d.withColumn(_TMP, X.truncate_text(F.col(_TMP), n, window=F.col(_SEN)))
     if cfg is not None and cfg.complete_sentences:
-        d = d.withColumn(_SEN, X.split_sentences(F.col(_TMP)))
-        d = d.withColumn(_TMP, X.remove_incomplete_sentence(F.col(_TMP), F.col(_SEN)))
+        d = d.withColumn(_TMP, X.remove_incomplete_sentence_clean(F.col(_TMP)))
     if cfg is not None and cfg.deduplicate:
-        d = d.withColumn(_SEN, X.split_sentences(F.col(_TMP)))
+        d = d.withColumn(_SEN, X.split_clean_sentences(F.col(_TMP)))
         d = d.withColumn(_TMP, X.deduplicate_sentences(F.col(_TMP), F.col(_SEN)))
     d = d.withColumn(out, F.col(_TMP))
     return d.drop(_TMP, _SEN)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from synthtext.config import RunConfig
-from synthtext.functions.tokens import count_tokens
+from synthtext.functions.tokens import count_tokens, tokenize, tokenize_clean
 from synthtext.operators import batching as B
 from synthtext.operators import metrics as M
 from synthtext.operators import samples as W
@@ -41,7 +41,9 @@ def generated_records(prompts: DataFrame, cfg: RunConfig, backend: BackendSpec,
     batched = prepare_prompts(prompts, cfg, num_partitions)
     gen = generate(batched, backend, cfg.generation, seed_col="seed")
     processed = post_process_stage(gen, "generated_text", cfg.post_processing)
-    counted = processed.withColumn("num_tokens", count_tokens("generated_text"))
+    # Post-processed text is whitespace-clean, so the plain-space tokenizer applies.
+    tok = tokenize_clean if cfg.post_processing.enabled else tokenize
+    counted = processed.withColumn("num_tokens", count_tokens("generated_text", tok))
     return build_output_record(
         counted, cfg.model_name, cfg.generation,
         keep=("prompt_id", "batch_id", "ordinal", "num_tokens", GEN_SECONDS),
@@ -87,7 +89,8 @@ def run_metrics(written: DataFrame, cfg: RunConfig, run_id: str) -> dict[str, Da
     timing = timing_table(written).withColumn("run_id", F.lit(run_id))
     totals = M.run_totals(timing, ["run_id"])
     running = M.running_metrics(timing, ["run_id"], "batch_id")
-    diversity = M.token_diversity(written, text_col="generated_text", group_cols=["batch_id"])
+    tok = tokenize_clean if cfg.post_processing.enabled else tokenize
+    diversity = M.token_diversity(written, text_col="generated_text", group_cols=["batch_id"], tokenizer=tok)
     lg = cfg.logging
     samples = W.sample_table(written, cfg.generation.batch_size, lg.log_samples, lg.log_interval)
     events = M.flatten_metrics(

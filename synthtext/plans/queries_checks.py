@@ -23,7 +23,7 @@ class _Sp:
     """Spark rendering."""
 
     def __init__(self, ev):
-        self.k = F.get_json_object("props", "$.k").cast("long")
+        self.k = F.col("__k")
         self.e = F.col("event_type")
         self.id = F.col("event_id")
 
@@ -227,7 +227,10 @@ def _record(x):
 
 
 def records(spark, d):
-    ev = table(spark, d, "events")
+    # props is parsed once; the record expression reads the column many times.
+    ev = table(spark, d, "events").select(
+        "event_id", "event_type", F.get_json_object("props", "$.k").cast("long").alias("__k")
+    )
     x = _Sp(ev)
     return ev.select("event_id", _record(x).alias("record_json"))
 

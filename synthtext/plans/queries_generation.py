@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from synthtext.config import Generation
-from synthtext.functions.tokens import count_tokens
+from synthtext.functions.tokens import count_tokens, tokenize_clean
 from synthtext.operators import batching as B
 from synthtext.operators.backends import BackendSpec
 from synthtext.operators.generate import explode_sequences, generate
@@ -52,7 +52,7 @@ def q_output_record(spark, d):
     batched = B.assign_batches(prompts, GEN.batch_size, ["prompt_id"])
     gen = generate(batched, ECHO, GEN)
     processed = apply_post_processing(gen, "generated_text", FULL)
-    counted = processed.withColumn("num_tokens", count_tokens("generated_text"))
+    counted = processed.withColumn("num_tokens", count_tokens("generated_text", tokenize_clean))
     rec = build_output_record(counted, "echo", GEN, keep=("conv_id", "turn", "num_tokens"), with_timestamp=False)
     return rec.select("conv_id", "turn", "prompt", "generated_text", "model", "parameters.*", "num_tokens")
 

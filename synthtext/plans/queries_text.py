@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from synthtext.config import PostProcessing
 from synthtext.functions import text as X
-from synthtext.functions.tokens import tokenize
+from synthtext.functions.tokens import tokenize, tokenize_clean
 from synthtext.operators import batching as B
 from synthtext.operators import metrics as M
 from synthtext.operators.postprocess import apply_post_processing, min_length_filter
@@ -107,7 +107,7 @@ def q_token_diversity_by_lang(spark, d):
     """Flagship: X6 over whole documents, then M2 per language."""
     df = table(spark, d, "documents").select("doc_id", "lang", "text")
     processed = apply_post_processing(df, "text", FULL)
-    div = M.token_diversity(processed, text_col="text", group_cols=["lang"])
+    div = M.token_diversity(processed, text_col="text", group_cols=["lang"], tokenizer=tokenize_clean)
     return div.select(
         "lang", "unique_tokens", "total_tokens", r6("unique_ratio").alias("unique_ratio"),
         r6("entropy").alias("entropy"),
@@ -180,7 +180,7 @@ def q_token_diversity_by_batch(spark, d):
     df = table(spark, d, "documents").select("doc_id", "text")
     batched = B.assign_batches(df, BATCH, ["doc_id"])
     processed = apply_post_processing(batched, "text", FULL)
-    div = M.token_diversity(processed, text_col="text", group_cols=["batch_id"])
+    div = M.token_diversity(processed, text_col="text", group_cols=["batch_id"], tokenizer=tokenize_clean)
     return div.select(
         "batch_id", "unique_tokens", "total_tokens", r6("unique_ratio").alias("unique_ratio"),
         r6("entropy").alias("entropy"),

@@ -92,7 +92,9 @@ def finalize_responses(chunks: DataFrame, pp: PostProcessing | None, text_col: s
     post-processed when post-processing is enabled. Stateless per chunk."""
     if pp is None or not pp.enabled:
         return chunks
-    done = apply_post_processing(chunks, text_col, pp, out="__final")
+    # Only finished chunks reach X6 (null for the rest costs nothing).
+    staged = chunks.withColumn("__final", F.when(F.col("finished"), F.col(text_col)))
+    done = apply_post_processing(staged, "__final", pp)
     return done.withColumn(
         text_col, F.when(F.col("finished"), F.col("__final")).otherwise(F.col(text_col))
     ).drop("__final")
