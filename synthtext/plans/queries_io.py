@@ -1,2 +1,88 @@
-"""Sinks and sources round trips (K1-K4, S1-S7): conversations written with
-the record writers, read back with the prompt readers."""
+"""Sinks and sources round trips (K1-K4, K9, S1-S7): conversation turns are
+written with the record writers into a fresh folder below the checkpoint
+root, then read back with the prompt readers."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from synthtext.config import Generation
+from synthtext.operators.prompts import parameters_struct
+from synthtext.plans import oracle as O
+from synthtext.plans.registry import register, table
+from synthtext.session import scratch_path
+from synthtext.sinks import records as K
+from synthtext.sources import prompts as S
+
+
+def _records(spark, d):
+    """Output records with the turn text as prompt (nested parameters kept)."""
+    conv = table(spark, d, "conversations")
+    return conv.select(
+        "conv_id", "turn", F.col("text").alias("prompt"), F.upper("role").alias("generated_text"),
+        F.lit("echo").alias("model"), parameters_struct(Generation()).alias("parameters"),
+    )
+
+
+_PROMPTS_SQL = "SELECT text AS prompt FROM conversations WHERE text IS NOT NULL"
+
+
+def _roundtrip(spark, d, fmt, suffix):
+    base = scratch_path(spark, "roundtrip")
+    path = K.records_path(base, "rt") + "/"
+    K.write_records(_records(spark, d), path, fmt)
+    # The folder holds part files: the reader is chosen by ``format``.
+    return S.read_prompts(spark, path, format=suffix).select("prompt")
+
+
+@register("q_roundtrip_jsonl", _PROMPTS_SQL)
+def q_roundtrip_jsonl(spark, d):
+    """K1 (JSON lines, nulls kept) -> S3 (JSONL prompts, object -> prompt)."""
+    return _roundtrip(spark, d, "jsonl", "jsonl")
+
+
+@register("q_roundtrip_csv", _PROMPTS_SQL)
+def q_roundtrip_csv(spark, d):
+    """K2 (CSV with header, quoted newlines, parameters as JSON) -> S4/S6."""
+    return _roundtrip(spark, d, "csv", "csv")
+
+
+@register("q_roundtrip_parquet", _PROMPTS_SQL)
+def q_roundtrip_parquet(spark, d):
+    """K3 (Parquet append) -> S5/S6 (column ``prompt`` chosen)."""
+    return _roundtrip(spark, d, "parquet", "parquet")
+
+
+@register(
+    "q_roundtrip_text",
+    "SELECT p AS prompt FROM (SELECT regexp_replace(unnest(regexp_split_to_array(text, '\r\n|\r|\n')), "
+    f"'^{O.WS}|{O.WS}$', '', 'g') AS p FROM conversations) WHERE length(p) > 0",
+)
+def q_roundtrip_text(spark, d):
+    """Text lines -> S1 + F1: every non-blank line of every turn, stripped."""
+    path = scratch_path(spark, "roundtrip") + "/prompts/"
+    table(spark, d, "conversations").select(F.col("text").alias("value")).write.text(path)
+    return S.read_prompts(spark, path, format="txt").select("prompt")
+
+
+@register(
+    "q_roundtrip_json_document",
+    "SELECT prompt FROM ("
+    "SELECT text AS prompt, turn % 3 AS shape FROM conversations "
+    "UNION ALL SELECT text AS prompt, 0 AS shape FROM conversations WHERE turn % 3 = 0)",
+)
+def q_roundtrip_json_document(spark, d):
+    """One JSON document per file in all three shapes - an array of a
+    string and an object (turn % 3 = 0), ``{"prompts": [...]}`` (1) and
+    ``{"prompt": ...}`` (2). One document per (conv_id, turn) folder."""
+    conv = table(spark, d, "conversations").select("conv_id", "turn", "text")
+    # the text as a JSON string literal
+    t = F.regexp_extract(F.to_json(F.struct(F.col("text").alias("p"))), r'(?s)^\{"p":(.*)\}$', 1)
+    doc = (
+        F.when(F.col("turn") % 3 == 0, F.concat(F.lit("["), t, F.lit(', {"prompt": '), t, F.lit(', "x": 1}]')))
+        .when(F.col("turn") % 3 == 1, F.concat(F.lit('{"prompts": ['), t, F.lit("]}")))
+        .otherwise(F.concat(F.lit('{"prompt": '), t, F.lit("}")))
+    )
+    path = scratch_path(spark, "roundtrip") + "/docs"
+    conv.select("conv_id", "turn", doc.alias("value")).write.partitionBy("conv_id", "turn").text(path)
+    return S.read_prompts_json(spark, path + "/*/*/").select("prompt")
