@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from synthtext.operators import checks as V
 from synthtext.plans.registry import register, table
-from synthtext.session import scratch_path
+from synthtext.session import scratch_path, spread
 
 
 # --------------------------------------------------------------------------
@@ -228,7 +228,7 @@ def _record(x):
 
 def records(spark, d):
     # props is parsed once; the record expression reads the column many times.
-    ev = table(spark, d, "events").select(
+    ev = spread(table(spark, d, "events")).select(
         "event_id", "event_type", F.get_json_object("props", "$.k").cast("long").alias("__k")
     )
     x = _Sp(ev)

@@ -80,6 +80,8 @@ _CONV_SCHEMA = T.StructType([
 
 def _run_stream(spark, d, build):
     prompts = read_prompts_stream(spark, d, "parquet", _CONV_SCHEMA, glob="conversations.parquet")
+    # A micro-batch of one file is one partition: spread it before the model.
+    prompts = prompts.repartition(2 * spark.sparkContext.defaultParallelism)
     out = scratch_path(spark, "stream")
     q = start_stream(build(prompts), out, f"{out}/_checkpoint", "stream")
     q.awaitTermination()

@@ -12,6 +12,7 @@ from synthtext.operators import metrics as M
 from synthtext.operators.postprocess import apply_post_processing, min_length_filter
 from synthtext.plans import oracle as O
 from synthtext.plans.registry import r6, register, table
+from synthtext.session import spread
 
 # Post-processing defaults of the reference configuration (X6 inputs).
 FULL = PostProcessing(max_length=2048, complete_sentences=True, deduplicate=True)
@@ -22,7 +23,9 @@ FULL = PostProcessing(max_length=2048, complete_sentences=True, deduplicate=True
 # --------------------------------------------------------------------------
 @register("q_clean_whitespace", f"SELECT doc_id, {O.clean('text')} AS text_out FROM documents")
 def q_clean_whitespace(spark, d):
-    return table(spark, d, "documents").select("doc_id", X.clean_whitespace("text").alias("text_out"))
+    return spread(table(spark, d, "documents").select("doc_id", "text")).select(
+        "doc_id", X.clean_whitespace("text").alias("text_out")
+    )
 
 
 @register(
@@ -30,7 +33,7 @@ def q_clean_whitespace(spark, d):
     f"SELECT doc_id, substr({O.clean('text')}, 1, 500) AS text_out FROM documents",
 )
 def q_simple_post_process(spark, d):
-    return table(spark, d, "documents").select(
+    return spread(table(spark, d, "documents").select("doc_id", "text")).select(
         "doc_id", X.simple_post_process("text", 500).alias("text_out")
     )
 
@@ -42,28 +45,28 @@ def _pp_oracle(n, complete, dedup, extra_cols="", src="documents", keep="doc_id"
 
 @register("q_truncate_200", _pp_oracle(200, False, False))
 def q_truncate_200(spark, d):
-    df = table(spark, d, "documents").select("doc_id", "text")
+    df = spread(table(spark, d, "documents").select("doc_id", "text"))
     out = apply_post_processing(df, "text", PostProcessing(max_length=200, complete_sentences=False, deduplicate=False))
     return out.select("doc_id", F.col("text").alias("text_out"))
 
 
 @register("q_complete_sentences", _pp_oracle(None, True, False))
 def q_complete_sentences(spark, d):
-    df = table(spark, d, "documents").select("doc_id", "text")
+    df = spread(table(spark, d, "documents").select("doc_id", "text"))
     cfg = PostProcessing(max_length=None, complete_sentences=True, deduplicate=False)
     return apply_post_processing(df, "text", cfg).select("doc_id", F.col("text").alias("text_out"))
 
 
 @register("q_dedup_sentences", _pp_oracle(None, False, True))
 def q_dedup_sentences(spark, d):
-    df = table(spark, d, "documents").select("doc_id", "text")
+    df = spread(table(spark, d, "documents").select("doc_id", "text"))
     cfg = PostProcessing(max_length=None, complete_sentences=False, deduplicate=True)
     return apply_post_processing(df, "text", cfg).select("doc_id", F.col("text").alias("text_out"))
 
 
 @register("q_post_process_full", _pp_oracle(2048, True, True, ", length(t)::BIGINT AS n_chars_out"))
 def q_post_process_full(spark, d):
-    df = table(spark, d, "documents").select("doc_id", "text")
+    df = spread(table(spark, d, "documents").select("doc_id", "text"))
     out = apply_post_processing(df, "text", FULL)
     return out.select(
         "doc_id", F.col("text").alias("text_out"), F.length("text").cast("long").alias("n_chars_out")
@@ -88,7 +91,7 @@ def q_min_length(spark, d):
     f"(SELECT unnest({O.tokens_raw('text')}) AS tok FROM documents) GROUP BY tok",
 )
 def q_token_histogram(spark, d):
-    df = table(spark, d, "documents").select("text")
+    df = spread(table(spark, d, "documents").select("text"))
     return M.token_histogram(df, tokenize("text")).select("token", F.col("count").cast("long"))
 
 
@@ -105,7 +108,7 @@ def _diversity_by_lang_oracle():
 @register("q_token_diversity_by_lang", _diversity_by_lang_oracle())
 def q_token_diversity_by_lang(spark, d):
     """Flagship: X6 over whole documents, then M2 per language."""
-    df = table(spark, d, "documents").select("doc_id", "lang", "text")
+    df = spread(table(spark, d, "documents").select("doc_id", "lang", "text"))
     processed = apply_post_processing(df, "text", FULL)
     div = M.token_diversity(processed, text_col="text", group_cols=["lang"], tokenizer=tokenize_clean)
     return div.select(
@@ -122,7 +125,7 @@ def q_token_diversity_by_lang(spark, d):
     + O.diversity_select("h", ""),
 )
 def q_token_diversity(spark, d):
-    df = table(spark, d, "documents").select("text")
+    df = spread(table(spark, d, "documents").select("text"))
     div = M.token_diversity(df, text_col="text")
     return div.select(
         "unique_tokens", "total_tokens", r6("unique_ratio").alias("unique_ratio"),

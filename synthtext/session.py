@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
@@ -82,3 +82,21 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     if path.startswith("/"):
         os.makedirs(os.path.dirname(path), exist_ok=True)
     return path
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` partitions (default:
+    twice the default parallelism) when its scan yields fewer.
+
+    CPU-heavy row stages (regular expressions over whole texts, model calls)
+    run once per row; an input with few splits (one Parquet row group, one
+    JSON document) would run them in a handful of tasks. On a large input the
+    scan already has many partitions and this is a no-op, so no shuffle is
+    added where it is not needed. The decision uses the planned partition
+    count only (no job is run).
+    """
+    sc = df.sparkSession.sparkContext
+    target = int(min_partitions or 2 * sc.defaultParallelism)
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
