@@ -118,6 +118,15 @@ def generate(
     return src.mapInPandas(fn, schema)
 
 
+def attach_outputs(prompts: DataFrame, outputs: DataFrame, key: str = "prompt_id",
+                   how: str = "left") -> DataFrame:
+    """B3 for backends that return a separate ``(key, generated_text, ...)``
+    table: an equi-join on the prompt key (Catalyst/AQE pick the strategy and
+    split skewed partitions). ``how="inner"`` drops prompts without output,
+    as a positional zip would; the default keeps them with null text."""
+    return prompts.join(outputs, key, how)
+
+
 def explode_sequences(df: DataFrame, col: str = "generated_text", index_col: str = "seq_index") -> DataFrame:
     """``(…, seq_index, text)`` rows from the k texts of each prompt."""
     others = [c for c in df.columns if c != col]

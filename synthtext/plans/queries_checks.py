@@ -467,3 +467,19 @@ def q_config_files(spark, d):
         F.explode("errors").alias("message"),
     )
     return rep
+
+
+@register(
+    "q_rule_checks",
+    f"WITH r AS ({RECORDS_SQL}), j AS (SELECT event_id, record_json::JSON AS j FROM r) SELECT event_id, "
+    + ", ".join(f"array_to_string({_section_sql(sec)}, '; ') AS {sec}_errors" for sec in SQL_SECTIONS)
+    + " FROM j",
+)
+def q_rule_checks(spark, d):
+    """V2-V6: per record, each section's messages (or its 'Missing' message)."""
+    recs = records(spark, d).withColumn("v", F.try_parse_json("record_json"))
+    for sec in V.SECTION_CHECKS:
+        recs = V.with_section_errors(recs, "v", sec, f"{sec}_e")
+    return recs.select(
+        "event_id", *[F.array_join(f"{sec}_e", "; ").alias(f"{sec}_errors") for sec in V.SECTION_CHECKS]
+    )

@@ -125,3 +125,81 @@ def q_stream_chunks(spark, d):
         F.count(F.lit(1)).cast("long").alias("chunks"),
         F.countDistinct("prompt").cast("long").alias("prompts"),
     )
+
+
+# --------------------------------------------------------------------------
+# The batch job end to end (K5, K7, K8 and the written records)
+# --------------------------------------------------------------------------
+def _job(spark, d):
+    from synthtext.config import Output, RunConfig
+    from synthtext.plans.job import run_batch_job
+
+    prompts = _user_prompts(spark, d).select("prompt_id", "prompt")
+    out = scratch_path(spark, "job")
+    cfg = RunConfig(model_name="echo", generation=GEN, post_processing=FULL, output=Output(dir=out, format="parquet"))
+    return run_batch_job(spark, prompts, cfg, ECHO, run_id="q")
+
+
+def _job_oracle_ctes():
+    src = (
+        "(SELECT conv_id * 1000 + turn AS prompt_id, "
+        "(row_number() OVER (ORDER BY conv_id * 1000 + turn) - 1) AS ordinal, "
+        "'Q: ' || text AS prompt, 'Answer: Q: ' || text AS text FROM conversations WHERE role = 'user')"
+    )
+    return O.post_process_ctes(src, "prompt_id, ordinal, prompt", 2048, True, True)
+
+
+def _job_records_oracle():
+    ctes, last = _job_oracle_ctes()
+    return (
+        f"WITH {ctes}\nSELECT prompt_id, (ordinal // 16)::BIGINT AS batch_id, prompt, t AS generated_text, "
+        f"len({O.tokens_clean('t')})::BIGINT AS num_tokens, 'echo' AS model FROM {last}"
+    )
+
+
+@register("q_batch_job", _job_records_oracle())
+def q_batch_job(spark, d):
+    """P1 -> B1 -> B4 -> U1 -> F5/X6 -> T4 -> P3 -> K3, read back from the written table."""
+    paths = _job(spark, d)
+    rec = spark.read.parquet(paths.records)
+    return rec.select("prompt_id", "batch_id", "prompt", "generated_text", "num_tokens", "model")
+
+
+@register(
+    "q_job_totals",
+    "WITH " + _job_oracle_ctes()[0] + f"\nSELECT sum(len({O.tokens_clean('t')}))::BIGINT AS total_tokens, "
+    f"count(*)::BIGINT AS total_samples FROM {_job_oracle_ctes()[1]}",
+)
+def q_job_totals(spark, d):
+    """K5: the run's metrics snapshot (its deterministic fields)."""
+    paths = _job(spark, d)
+    return spark.read.json(paths.metrics).select(
+        F.col("total_tokens").cast("long"), F.col("total_samples").cast("long")
+    )
+
+
+@register(
+    "q_job_samples",
+    "WITH " + _job_oracle_ctes()[0] + f"\nSELECT (ordinal // 16)::BIGINT AS batch_id, (ordinal % 16)::BIGINT "
+    f"AS position, prompt, t AS generated_text FROM {_job_oracle_ctes()[1]} "
+    "WHERE (ordinal // 16) % 100 = 0 AND ordinal // 16 < 10 AND ordinal % 16 < 10",
+)
+def q_job_samples(spark, d):
+    """K7 + W1 + F3: the logged sample table of the run (default cadence)."""
+    paths = _job(spark, d)
+    return spark.read.parquet(paths.samples).select("batch_id", "position", "prompt", "generated_text")
+
+
+@register(
+    "q_stream_metrics",
+    "SELECT sum(n)::DOUBLE AS num_tokens, count(*)::DOUBLE AS num_samples FROM (SELECT len("
+    + O.tokens_raw("'Answer: ' || text") + ") AS n FROM conversations WHERE text IS NOT NULL)",
+)
+def q_stream_metrics(spark, d):
+    """ST5: per-micro-batch metric events appended by the stream, summed."""
+    batch_only = BackendSpec.of("echo_batch_only", template="Answer: {prompt}")
+    prompts = read_prompts_stream(spark, d, "parquet", _CONV_SCHEMA, glob="conversations.parquet")
+    out = scratch_path(spark, "stream")
+    start_stream(generate_stream(prompts, batch_only), out, f"{out}/_checkpoint", "m").awaitTermination()
+    ev = spark.read.parquet(f"{out}/metric_events").where(F.col("name") != "seconds")
+    return ev.groupBy().pivot("name", ["num_tokens", "num_samples"]).sum("value")

@@ -157,3 +157,14 @@ def q_device_usage(spark, d):
 def q_device_usage_summary(spark, d):
     s = M.device_usage_summary(device_samples(spark, d))
     return s.select("device", "n_samples", *[r6(c).alias(c) for c in s.columns[2:]])
+
+
+@register(
+    "q_throughput",
+    f"WITH t AS ({TIMING_SQL}), a AS (SELECT run_id, sum(num_tokens) AS tok, sum(num_samples) AS smp, "
+    "sum(seconds) AS sec FROM t GROUP BY run_id) SELECT run_id, " + _ratios_sql("tok", "sec", "smp") + " FROM a",
+)
+def q_throughput(spark, d):
+    """M3 on per-run totals: tokens/s, samples/s, tokens/sample, seconds/sample."""
+    tot = _round_ratios(M.run_totals(timing(spark, d), ["run_id"]), ["run_id"])
+    return tot.select("run_id", *RATIOS)
