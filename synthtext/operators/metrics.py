@@ -2,7 +2,7 @@
 
 All of these are hash aggregates with map-side partial aggregation, so a
 token or run that holds a large share of the rows is combined inside each
-map task before the shuffle. Running totals use a two-level scan so one hot
+map task before the shuffle. Running totals use a multi-level scan so one hot
 run never lands in a single window task.
 """
 
@@ -101,33 +101,40 @@ def running_totals(
     partition_cols: Sequence[str] = (),
     block_size: int = 4096,
     prefix: str = "cum_",
+    levels: int = 2,
+    exclusive: bool = False,
 ) -> DataFrame:
     """Running sums of ``value_cols`` in ``order_col`` order (M5 building block).
 
-    Two-level scan: rows are cut into blocks of ``block_size`` consecutive
-    ``order_col`` values; block sums are prefix-summed over the (small) block
-    table, then each block adds its own running sum. A window task never sees
-    more than one block, so a run holding most of the rows is still spread over
-    many tasks. ``order_col`` must be integral and unique per partition.
+    Multi-level scan: rows are cut into blocks of ``block_size`` consecutive
+    ``order_col`` values; each block's carry (the sum of all earlier blocks) is
+    the same problem one level up on the much smaller block table, solved
+    recursively; each row then adds its running sum inside its own block.
+    Every window task sees at most one block, except the top level, which
+    sees ``rows / block_size**levels`` rows per partition group - so a run
+    holding most of the rows is still spread over many tasks. The join and the
+    in-block window share one hash partitioning on (partition, block).
+    ``order_col`` must be integral and unique per partition group;
+    ``exclusive`` sums strictly earlier rows.
     """
-    blk = "__blk"
+    end = -1 if exclusive else Window.currentRow
+    if levels <= 0:
+        w = Window.partitionBy(*partition_cols).orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
+        return df.select(
+            *df.columns, *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(prefix + c) for c in value_cols]
+        )
+    blk = f"__blk{levels}"
     keys = [*partition_cols, blk]
     keyed = df.withColumn(blk, F.floor(F.col(order_col) / F.lit(block_size)))
-    blocks = keyed.groupBy(*keys).agg(*[F.sum(c).alias(f"__bs_{c}") for c in value_cols])
-    before = Window.partitionBy(*partition_cols).orderBy(blk).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    carry = blocks.select(
-        *keys,
-        *[F.coalesce(F.sum(f"__bs_{c}").over(before), F.lit(0)).alias(f"__cy_{c}") for c in value_cols],
-    )
-    within = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    blocks = keyed.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in value_cols])
+    carry = running_totals(
+        blocks, blk, value_cols, partition_cols, block_size, "__cy_", levels - 1, exclusive=True
+    ).select(*keys, *[f"__cy_{c}" for c in value_cols])
+    within = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
     joined = keyed.join(carry, keys)
     return joined.select(
         *df.columns,
-        *[(F.col(f"__cy_{c}") + F.sum(c).over(within)).alias(prefix + c) for c in value_cols],
+        *[(F.col(f"__cy_{c}") + F.coalesce(F.sum(c).over(within), F.lit(0))).alias(prefix + c) for c in value_cols],
     )
 
 
