@@ -34,6 +34,15 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def default_range_partitions(df: DataFrame) -> int:
+    """Range partitions for an ordinal pass: the larger of the shuffle-partition
+    setting and the input's split count, so partitions stay near the input
+    split size (``spark.sql.files.maxPartitionBytes``) however large the input
+    is. The offsets table broadcast later has one 16-byte row per partition."""
+    conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(conf, df.rdd.getNumPartitions())
+
+
 def with_ordinal(
     df: DataFrame,
     order_by: Sequence[str | Column],
@@ -45,12 +54,13 @@ def with_ordinal(
     """B1 building block: dense 0-based ``name`` in ``order_by`` order.
 
     ``order_by`` should be unique for a reproducible order; ties get distinct,
-    dense ordinals in an unspecified order. ``total_col`` also attaches the row
+    dense ordinals in an unspecified order. ``num_partitions`` defaults to
+    ``default_range_partitions``. ``total_col`` also attaches the row
     count. ``checkpoint=True`` writes the tagged rows to the shared checkpoint
     folder first (for inputs that are not deterministic to re-read).
     """
     spark = df.sparkSession
-    n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(num_partitions or default_range_partitions(df))
     keys = _cols(order_by) + [F.xxhash64(*[F.col(c) for c in df.columns])]
     ranged = df.repartitionByRange(n, *keys)
     tagged = ranged.sortWithinPartitions(*keys).withColumn(
