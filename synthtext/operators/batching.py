@@ -90,16 +90,18 @@ def with_ordinal(
 
 def assign_batches(
     df: DataFrame, batch_size: int, order_by: Sequence[str | Column],
-    num_partitions: int | None = None,
+    num_partitions: int | None = None, total_col: str | None = None,
 ) -> DataFrame:
     """B1: contiguous batches of ``batch_size`` rows in ``order_by`` order.
 
     Adds ``ordinal`` and ``batch_id = ordinal DIV batch_size``; the number of
     batches is ``ceil(n / batch_size)`` and only the last one can be short.
+    ``total_col`` also attaches the row count, which the ordinal pass knows
+    anyway (M10 and W2 need it).
     """
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
-    d = with_ordinal(df, order_by, "ordinal", num_partitions)
+    d = with_ordinal(df, order_by, "ordinal", num_partitions, total_col=total_col)
     return d.withColumn("batch_id", (F.col("ordinal") / F.lit(batch_size)).cast("long"))
 
 

@@ -216,15 +216,25 @@ def flatten_metrics(
     return long
 
 
-def progress(batched: DataFrame) -> DataFrame:
+def _total(batched: DataFrame, total_col: str) -> Column:
+    """The row total: the column the ordinal pass attached, else a scalar
+    subquery (which re-runs the input plan once)."""
+    if total_col in batched.columns:
+        return F.col(total_col)
+    return batched.select(F.count(F.lit(1))).scalar()
+
+
+def progress(batched: DataFrame, total_col: str = "total") -> DataFrame:
     """After each batch, how many rows are done out of the total.
 
     Batches are contiguous in the ordinal, so rows done after batch b is the
-    largest ordinal in b plus one; the total is a scalar subquery (no join).
+    largest ordinal in b plus one. The total comes from the ordinal pass
+    (``assign_batches(..., total_col="total")``) - no join, no second pass.
     """
-    total = batched.select(F.count(F.lit(1))).scalar()
+    has_total = total_col in batched.columns
     per = batched.groupBy("batch_id").agg(
         F.count(F.lit(1)).cast("long").alias("batch_samples"),
         (F.max("ordinal") + 1).cast("long").alias("done"),
+        *([F.first(total_col).alias(total_col)] if has_total else []),
     )
-    return per.select("batch_id", "batch_samples", "done", total.cast("long").alias("total"))
+    return per.select("batch_id", "batch_samples", "done", _total(per if has_total else batched, total_col).cast("long").alias("total"))

@@ -47,9 +47,11 @@ def sample_pick(
     """W2 + P6: per logged batch, the row at ``min(log_samples - 1, len - 1)``
     with a 100-character prompt preview and a 200-character text preview.
 
-    The batch length needs the row total, taken as a scalar subquery.
+    The batch length needs the row total: the ``total`` column of
+    ``assign_batches(..., total_col="total")`` when present, else a scalar
+    subquery.
     """
-    total = batched.select(F.count(F.lit(1))).scalar()
+    total = F.col("total") if "total" in batched.columns else batched.select(F.count(F.lit(1))).scalar()
     b = F.col("batch_id")
     bs = F.lit(int(batch_size))
     batch_len = F.least(bs, total - b * bs)

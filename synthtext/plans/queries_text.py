@@ -199,6 +199,6 @@ def q_token_diversity_by_batch(spark, d):
 )
 def q_progress(spark, d):
     df = table(spark, d, "documents").select("doc_id")
-    return M.progress(B.assign_batches(df, BATCH, ["doc_id"]))
+    return M.progress(B.assign_batches(df, BATCH, ["doc_id"], total_col="total"))
 
 
