@@ -172,7 +172,7 @@ def prompts_from_list(spark: SparkSession, prompts: Sequence[str]) -> DataFrame:
 def read_prompts_stream(spark: SparkSession, path: str, format: str = "text",
                         schema: T.StructType | None = None, max_files_per_trigger: int | None = None,
                         glob: str | None = None) -> DataFrame:
-    """A streaming prompt feed from a folder of text / JSON / Parquet files.
+    """A streaming prompt feed from a folder of text / JSONL / JSON / Parquet files.
 
     Returns ``(prompt_id, prompt)``. ``prompt_id`` is a hash of the file path
     and the row's place in it (Parquet row index) or, for text/JSON lines, of
@@ -186,6 +186,14 @@ def read_prompts_stream(spark: SparkSession, path: str, format: str = "text",
         r = r.option("pathGlobFilter", glob)
     fmt = format.lower()
     meta = F.col("_metadata.file_path")
+    if fmt == "jsonl":
+        # S3 rules per line: object -> its prompt, scalar -> itself.
+        lines = r.text(path)
+        lines = lines.where(F.length(ustrip("value")) > 0)
+        prompt = _item_prompt(F.try_parse_json(F.col("value")))
+        return lines.select(F.xxhash64(meta, F.col("value")).alias("prompt_id"), prompt.alias("prompt")).where(
+            F.col("prompt").isNotNull()
+        )
     if fmt == "text":
         df = r.text(path)
         prompt = ustrip("value")

@@ -44,3 +44,16 @@ def test_text_stream_end_to_end(spark, scratch):
     assert seen and seen[0][1] == 2
     ev = spark.read.parquet(f"{scratch}/out/metric_events")
     assert {r.name for r in ev.collect()} == {"seconds", "num_tokens", "num_samples"}
+
+
+def test_jsonl_stream(spark, scratch):
+    src = f"{scratch}/jin"
+    os.makedirs(src)
+    with open(f"{src}/a.jsonl", "w") as f:
+        f.write('{"prompt": "p1"}\n\n"p2"\n{"other": 1}\n')
+    prompts = read_prompts_stream(spark, src, "jsonl")
+    q = start_stream(generate_stream(prompts, BackendSpec.of("echo", template="{prompt}!")), f"{scratch}/jout",
+                     f"{scratch}/jckpt", "j")
+    q.awaitTermination()
+    out = spark.read.parquet(f"{scratch}/jout/records/run_id=j").where("finished")
+    assert sorted(r.text for r in out.collect()) == ["p1!", "p2!"]
