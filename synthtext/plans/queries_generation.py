@@ -203,3 +203,27 @@ def q_stream_metrics(spark, d):
     start_stream(generate_stream(prompts, batch_only), out, f"{out}/_checkpoint", "m").awaitTermination()
     ev = spark.read.parquet(f"{out}/metric_events").where(F.col("name") != "seconds")
     return ev.groupBy().pivot("name", ["num_tokens", "num_samples"]).sum("value")
+
+
+def _job_raw_oracle():
+    return (
+        "SELECT conv_id * 1000 + turn AS prompt_id, ((row_number() OVER (ORDER BY conv_id * 1000 + turn) - 1) "
+        "// 16)::BIGINT AS batch_id, 'Answer: Q: ' || text AS generated_text, "
+        f"len({O.tokens_raw(chr(39) + 'Answer: Q: ' + chr(39) + ' || text')})::BIGINT AS num_tokens "
+        "FROM conversations WHERE role = 'user'"
+    )
+
+
+@register("q_batch_job_raw", _job_raw_oracle())
+def q_batch_job_raw(spark, d):
+    """F5 off: the job writes raw generations; tokens are counted on raw text."""
+    from synthtext.config import Output, PostProcessing, RunConfig
+    from synthtext.plans.job import run_batch_job
+
+    prompts = _user_prompts(spark, d).select("prompt_id", "prompt")
+    out = scratch_path(spark, "job")
+    cfg = RunConfig(model_name="echo", generation=GEN, post_processing=PostProcessing(enabled=False),
+                    output=Output(dir=out, format="jsonl"))
+    paths = run_batch_job(spark, prompts, cfg, ECHO, run_id="raw")
+    rec = spark.read.schema("prompt_id long, batch_id long, generated_text string, num_tokens long").json(paths.records)
+    return rec.select("prompt_id", "batch_id", "generated_text", "num_tokens")

@@ -42,3 +42,14 @@ def test_query_matches_oracle(spark, duck, sf_dir, name):
     assert sorted(sdf.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(sdf.columns, srows)[0] == digest(dcols, drows)[0]
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_types_match_oracle(spark, duck, sf_dir, name):
+    st = dict(E.queries()[name](spark, sf_dir).dtypes)
+    rel = duck.sql(E.oracle_sql()[name])
+    dt = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in st.items()} == dt
