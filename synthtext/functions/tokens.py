@@ -64,4 +64,11 @@ def udf_tokenizer(factory: Callable[[], Callable[[str], list[int]]]) -> Callable
             enc = _WORKER_TOKENIZERS[key] = factory()
         return texts.map(lambda t: None if t is None else list(enc(t)))
 
+    from pyspark.sql import SparkSession
+
+    from synthtext.session import ship_package
+
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
     return lambda col: _encode(_c(col))

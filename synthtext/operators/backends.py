@@ -36,15 +36,22 @@ def backend_names() -> list[str]:
 
 @dataclass(frozen=True)
 class BackendSpec:
-    """What a task needs to build a backend: a registered name and options.
-    Pickled into the task closure; the backend itself is built on the worker."""
+    """What a task needs to build a backend: name, options and the factory.
+
+    The factory is resolved from the registry on the driver and pickled into
+    the task closure, so backends registered in the driver process work on
+    executors too; the backend itself is built on the worker."""
 
     name: str
     options: tuple = ()
+    factory: Callable[..., object] | None = None
 
     @staticmethod
     def of(name: str, **options) -> "BackendSpec":
-        return BackendSpec(name, tuple(sorted(options.items())))
+        factory = _FACTORIES.get(name)
+        if factory is None:
+            raise KeyError(f"unknown backend {name!r}; registered: {backend_names()}")
+        return BackendSpec(name, tuple(sorted(options.items())), factory)
 
 
 def get_backend(spec: BackendSpec):
@@ -52,7 +59,7 @@ def get_backend(spec: BackendSpec):
     key = (spec.name, spec.options)
     inst = _INSTANCES.get(key)
     if inst is None:
-        factory = _FACTORIES.get(spec.name)
+        factory = spec.factory or _FACTORIES.get(spec.name)
         if factory is None:
             raise KeyError(f"unknown backend {spec.name!r}; registered: {backend_names()}")
         inst = _INSTANCES[key] = factory(**dict(spec.options))

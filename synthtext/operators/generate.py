@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from synthtext.config import Generation
 from synthtext.functions.tokens import count_tokens
 from synthtext.operators.backends import BackendSpec, get_backend
+from synthtext.session import ship_package
 
 GEN_SECONDS = "gen_seconds"
 
@@ -115,6 +116,7 @@ def generate(
     fn = _generate_fn(
         backend, request_params(gen), int(gen.batch_size), prompt_col, out_col, batch_col, seed_col, many
     )
+    ship_package(df.sparkSession)
     return src.mapInPandas(fn, schema)
 
 

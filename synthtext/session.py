@@ -100,3 +100,34 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on every Python worker.
+
+    Python stages (the generation stage, user tokenizers) run functions of
+    this package in worker processes that do not share the driver's
+    ``sys.path``. The package's ``.py`` files are zipped once per
+    SparkContext and added with ``addPyFile``; Spark's file server ships the
+    zip to the executors, so only the driver reads the local file.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="synthtext-py-"), "synthtext.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)

@@ -25,6 +25,7 @@ from synthtext.functions.tokens import count_tokens
 from synthtext.operators.backends import BackendSpec, get_backend
 from synthtext.operators.generate import request_params
 from synthtext.operators.postprocess import apply_post_processing
+from synthtext.session import ship_package
 
 CHUNK_FIELDS = [
     T.StructField("request_id", T.LongType(), False),
@@ -84,6 +85,7 @@ def generate_stream(
     keep_fields = [prompts.schema[c] for c in keep]
     schema = T.StructType(keep_fields + CHUNK_FIELDS)
     fn = _stream_fn(backend, request_params(gen), int(gen.batch_size), id_col, prompt_col, list(keep))
+    ship_package(prompts.sparkSession)
     return prompts.mapInPandas(fn, schema)
 
 

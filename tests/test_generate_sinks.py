@@ -39,16 +39,15 @@ def test_unknown_backend(spark):
         generate(prompts_from_list(spark, ["a"]), BackendSpec.of("nope")).collect()
 
 
-class Upper:
-    def generate(self, prompts, params, seeds=None):
-        return [[p.upper()] for p in prompts]
-
-
 def test_registered_backend(spark):
+    # registered in the driver only: the spec carries the factory to the workers
+    class Upper:
+        def generate(self, prompts, params, seeds=None):
+            return [[p.upper()] for p in prompts]
+
     register_backend("upper_test", Upper)
-    # executors are Python workers: register in the task too (module-level registry)
-    out = generate(prompts_from_list(spark, ["ab"]), BackendSpec.of("echo", template="{prompt}"), batch_col=None)
-    assert out.first().generated_text == "ab"
+    out = generate(prompts_from_list(spark, ["ab", "cd"]), BackendSpec.of("upper_test"), batch_col=None)
+    assert sorted(r.generated_text for r in out.collect()) == ["AB", "CD"]
 
 
 def test_format_check():
