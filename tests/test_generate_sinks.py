@@ -9,7 +9,7 @@ from synthtext.operators.backends import BackendSpec, register_backend
 from synthtext.operators.generate import explode_sequences, generate, generate_one, timing_table
 from synthtext.plans.job import run_batch_job
 from synthtext.sinks import records as K
-from synthtext.sources.prompts import prompts_from_list, read_prompts
+from synthtext.sources.prompts import prompts_from_list
 
 ECHO = BackendSpec.of("echo", template="Echo: {prompt}")
 

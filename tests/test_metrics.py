@@ -2,7 +2,6 @@
 
 import math
 
-from pyspark.sql import functions as F
 
 from synthtext.operators import metrics as M
 

@@ -1,6 +1,5 @@
 """Plan properties the scale design relies on (checked on the physical plan)."""
 
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from synthtext.operators import batching as B

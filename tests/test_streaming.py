@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from synthtext.config import PostProcessing
 from synthtext.operators.backends import BackendSpec
