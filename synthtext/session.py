@@ -37,6 +37,9 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Rows per Arrow batch into the Python stages: bounds worker memory
+        # when texts are long (the generation stage re-chunks to batch_size).
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
