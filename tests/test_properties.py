@@ -33,3 +33,16 @@ def test_diversity_partition_independent(spark, sf_dir, parts):
     want = {r.lang: (r.unique_tokens, r.total_tokens, round(r.entropy, 9))
             for r in M.token_diversity(base, text_col="text", group_cols=["lang"]).collect()}
     assert got == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys=st.lists(st.integers(min_value=-5, max_value=50), max_size=120),
+       parts=st.integers(min_value=1, max_value=9), ranges=st.integers(min_value=1, max_value=7))
+def test_ordinals_property(spark, keys, parts, ranges):
+    from synthtext.operators import batching as B
+
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k int").repartition(parts)
+    rows = B.with_ordinal(df, ["k"], num_partitions=ranges).collect()
+    assert sorted(r.ordinal for r in rows) == list(range(len(keys)))  # dense and unique
+    by_ord = sorted(rows, key=lambda r: r.ordinal)
+    assert [r.k for r in by_ord] == sorted(keys)  # consistent with the key order
