@@ -10,6 +10,10 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass, field
 
 
+# The documented defaults of the post-processing, generation and
+# logging settings are the dataclass defaults below.
+
+
 @dataclass(frozen=True)
 class PostProcessing:
     """X6 settings. ``max_length=None`` skips truncation."""

@@ -21,6 +21,31 @@ from pyspark.sql import functions as F
 
 _INT_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 
+# ---------------------------------------------------------------------------
+# The rule message texts (the contract), the required model
+# fields and the logged metric names.
+# ---------------------------------------------------------------------------
+MSG_MISSING = "Missing required field: {}"
+MSG_BOOLEAN = "{} must be a boolean"
+MSG_NUMBER = "{} must be a number"
+MSG_INTEGER = "{} must be an integer"
+MSG_STRING = "{} must be a string"
+MSG_LIST = "{} must be a list"
+MSG_TAG = "tags[{}] must be a string"
+MSG_POSITIVE = "must be positive"
+MSG_NON_NEGATIVE = "must be non-negative"
+MSG_UNIT = "must be between 0 and 1"
+MSG_BITS = "quantization.bits must be 4 or 8"
+MSG_MIN_MAX = "min_length must be less than or equal to max_length"
+MODEL_REQUIRED = ("name", "pretrained_model_name_or_path", "model_type")
+LOGGED_METRICS = ("throughput", "latency", "token_diversity", "memory_usage")
+MISSING_SECTION = {
+    "model": "Missing model configuration",
+    "generation": "Missing generation configuration",
+    "logging": "Missing logging configuration",
+    "post_processing": "Missing post-processing configuration",
+}
+
 
 class Rec:
     """Typed view of one JSON object of a record: ``key -> type name`` and
@@ -136,14 +161,15 @@ def _msg(cond: Column, text: str | Column) -> Column:
 
 
 def _bool_rule(r: Rec, key: str, label: str | None = None) -> Column:
-    return _msg(r.has(key) & ~r.is_bool(key), f"{label or key} must be a boolean")
+    return _msg(r.has(key) & ~r.is_bool(key), MSG_BOOLEAN.format(label or key))
 
 
 def _typed_range(r: Rec, key: str, kind: str, bad: Column, range_msg: str, label: str | None = None) -> Column:
     """Type first; the range rule only applies when the type is right."""
     name = label or key
     ok_type = r.is_int(key) if kind == "integer" else r.is_num(key)
-    return F.when(r.has(key) & ~ok_type, F.lit(f"{name} must be {'an integer' if kind == 'integer' else 'a number'}")).when(
+    type_msg = (MSG_INTEGER if kind == "integer" else MSG_NUMBER).format(name)
+    return F.when(r.has(key) & ~ok_type, F.lit(type_msg)).when(
         r.has(key) & bad, F.lit(f"{name} {range_msg}")
     )
 
@@ -172,7 +198,7 @@ def required_errors(v: Column, schema: Mapping) -> Column:
         parents_ok = F.lit(True)
         for i in range(1, len(path)):
             parents_ok = parents_ok & F.coalesce(F.schema_of_variant(at(path[:i])).startswith("OBJECT"), F.lit(False))
-        msg = ".".join(path[:-1] + (f"Missing required field: {path[-1]}",))
+        msg = ".".join(path[:-1] + (MSG_MISSING.format(path[-1]),))
         cases.append(_msg(parents_ok & at(path).isNull(), msg))
     return _errors(*cases) if cases else F.array().cast("array<string>")
 
@@ -182,52 +208,51 @@ def required_errors(v: Column, schema: Mapping) -> Column:
 # --------------------------------------------------------------------------
 def model_errors(r: Rec) -> Column:
     """V2: model section."""
-    cases = [_msg(~r.has(f), f"Missing required field: {f}") for f in ("name", "pretrained_model_name_or_path", "model_type")]
+    cases = [_msg(~r.has(f), MSG_MISSING.format(f)) for f in MODEL_REQUIRED]
     q = r.sub("quantization")
     on = r.is_object("quantization") & q.has("enabled") & q.truthy("enabled")
     bits = q.num("bits")
     cases.append(
-        F.when(on & ~q.has("bits"), F.lit("Missing required field: quantization.bits"))
-        .when(on & ~q.is_num("bits"), F.lit("quantization.bits must be a number"))
-        .when(on & ~bits.isin(4.0, 8.0), F.lit("quantization.bits must be 4 or 8"))
+        F.when(on & ~q.has("bits"), F.lit(MSG_MISSING.format("quantization.bits")))
+        .when(on & ~q.is_num("bits"), F.lit(MSG_NUMBER.format("quantization.bits")))
+        .when(on & ~bits.isin(4.0, 8.0), F.lit(MSG_BITS))
     )
     ml = r.sub("model_loading")
     for k in ("use_cache", "trust_remote_code"):
-        cases.append(_msg(r.is_object("model_loading") & ml.has(k) & ~ml.is_bool(k), f"model_loading.{k} must be a boolean"))
+        cases.append(_msg(r.is_object("model_loading") & ml.has(k) & ~ml.is_bool(k), MSG_BOOLEAN.format(f"model_loading.{k}")))
     tk = r.sub("tokenizer")
     for k in ("add_bos_token", "use_fast"):
-        cases.append(_msg(r.is_object("tokenizer") & tk.has(k) & ~tk.is_bool(k), f"tokenizer.{k} must be a boolean"))
+        cases.append(_msg(r.is_object("tokenizer") & tk.has(k) & ~tk.is_bool(k), MSG_BOOLEAN.format(f"tokenizer.{k}")))
     return _errors(*cases)
 
 
 def generation_errors(r: Rec) -> Column:
     """V3: generation section."""
     cases = [
-        _typed_range(r, "temperature", "number", r.num("temperature") <= 0, "must be positive"),
-        _typed_range(r, "top_p", "number", ~r.num("top_p").between(0, 1), "must be between 0 and 1"),
-        _typed_range(r, "top_k", "integer", r.num("top_k") < 0, "must be non-negative"),
-        _typed_range(r, "repetition_penalty", "number", r.num("repetition_penalty") <= 0, "must be positive"),
-        _typed_range(r, "max_length", "integer", r.num("max_length") <= 0, "must be positive"),
-        _typed_range(r, "min_length", "integer", r.num("min_length") < 0, "must be non-negative"),
+        _typed_range(r, "temperature", "number", r.num("temperature") <= 0, MSG_POSITIVE),
+        _typed_range(r, "top_p", "number", ~r.num("top_p").between(0, 1), MSG_UNIT),
+        _typed_range(r, "top_k", "integer", r.num("top_k") < 0, MSG_NON_NEGATIVE),
+        _typed_range(r, "repetition_penalty", "number", r.num("repetition_penalty") <= 0, MSG_POSITIVE),
+        _typed_range(r, "max_length", "integer", r.num("max_length") <= 0, MSG_POSITIVE),
+        _typed_range(r, "min_length", "integer", r.num("min_length") < 0, MSG_NON_NEGATIVE),
         _msg(
             r.is_int("max_length") & r.is_int("min_length") & (r.num("min_length") > r.num("max_length")),
-            "min_length must be less than or equal to max_length",
+            MSG_MIN_MAX,
         ),
-        _typed_range(r, "batch_size", "integer", r.num("batch_size") <= 0, "must be positive"),
+        _typed_range(r, "batch_size", "integer", r.num("batch_size") <= 0, MSG_POSITIVE),
     ]
     vl = r.sub("vllm")
     is_obj = r.is_object("vllm")
-    cases.append(_msg(is_obj & vl.has("enabled") & ~vl.is_bool("enabled"), "vllm.enabled must be a boolean"))
+    cases.append(_msg(is_obj & vl.has("enabled") & ~vl.is_bool("enabled"), MSG_BOOLEAN.format("vllm.enabled")))
     tp = _typed_range(vl, "tensor_parallel_size", "integer", vl.num("tensor_parallel_size") <= 0,
-                      "must be positive", "vllm.tensor_parallel_size")
+                      MSG_POSITIVE, "vllm.tensor_parallel_size")
     gm = vl.num("gpu_memory_utilization")
     gu = _typed_range(vl, "gpu_memory_utilization", "number", ~((gm > 0) & (gm <= 1)),
-                      "must be between 0 and 1", "vllm.gpu_memory_utilization")
+                      MSG_UNIT, "vllm.gpu_memory_utilization")
     cases += [F.when(is_obj, tp), F.when(is_obj, gu)]
     return _errors(*cases)
 
 
-LOGGED_METRICS = ("throughput", "latency", "token_diversity", "memory_usage")
 
 
 def logging_errors(r: Rec) -> Column:
@@ -235,23 +260,23 @@ def logging_errors(r: Rec) -> Column:
     rule or one message per non-string tag), log_interval, metrics.*."""
     head = _errors(
         _bool_rule(r, "enabled"),
-        _msg(r.has("project") & ~r.is_str("project"), "project must be a string"),
-        _msg(r.has("tags") & ~F.coalesce(r.typ("tags").startswith("ARRAY"), F.lit(False)), "tags must be a list"),
+        _msg(r.has("project") & ~r.is_str("project"), MSG_STRING.format("project")),
+        _msg(r.has("tags") & ~F.coalesce(r.typ("tags").startswith("ARRAY"), F.lit(False)), MSG_LIST.format("tags")),
     )
     tag_errs = F.filter(
         F.transform(
             F.coalesce(r.item_types, F.array().cast("array<string>")),
             lambda x, i: F.when(
                 x != "STRING",
-                F.concat(F.lit("tags["), i.cast("string"), F.lit("] must be a string")),
+                F.format_string(MSG_TAG.replace("{}", "%d"), i),
             ),
         ),
         lambda x: x.isNotNull(),
     )
     m = r.sub("metrics")
     tail = _errors(
-        _typed_range(r, "log_interval", "integer", r.num("log_interval") <= 0, "must be positive"),
-        *[_msg(r.is_object("metrics") & m.has(k) & ~m.is_bool(k), f"metrics.{k} must be a boolean")
+        _typed_range(r, "log_interval", "integer", r.num("log_interval") <= 0, MSG_POSITIVE),
+        *[_msg(r.is_object("metrics") & m.has(k) & ~m.is_bool(k), MSG_BOOLEAN.format(f"metrics.{k}"))
           for k in LOGGED_METRICS],
     )
     return F.concat(head, tag_errs, tail)
@@ -261,8 +286,8 @@ def post_processing_errors(r: Rec) -> Column:
     """V5: post-processing section."""
     return _errors(
         _bool_rule(r, "enabled"),
-        _typed_range(r, "max_length", "integer", r.num("max_length") <= 0, "must be positive"),
-        _typed_range(r, "min_length", "integer", r.num("min_length") < 0, "must be non-negative"),
+        _typed_range(r, "max_length", "integer", r.num("max_length") <= 0, MSG_POSITIVE),
+        _typed_range(r, "min_length", "integer", r.num("min_length") < 0, MSG_NON_NEGATIVE),
         _bool_rule(r, "complete_sentences"),
         _bool_rule(r, "deduplicate"),
     )
@@ -274,12 +299,6 @@ SECTION_CHECKS = {
     "logging": logging_errors,
     "post_processing": post_processing_errors,
 }
-MISSING_SECTION = {
-    "model": "Missing model configuration",
-    "generation": "Missing generation configuration",
-    "logging": "Missing logging configuration",
-    "post_processing": "Missing post-processing configuration",
-}
 
 
 def with_section_errors(df: DataFrame, v_col: str, section: str, out: str, path: str | None = None,
