@@ -40,6 +40,7 @@ class Generation:
     do_sample: bool = True
     batch_size: int = 16
     prompt_template: str = "{prompt}"
+    prompt_file: str | None = None
     num_prompts: int = 1000
     seed: int = 42
 

@@ -206,3 +206,16 @@ def read_prompts_stream(spark: SparkSession, path: str, format: str = "text",
     prompt = F.col(f"`{col}`").cast("string")
     pos = F.col("_metadata.row_index") if fmt == "parquet" else prompt
     return df.where(prompt.isNotNull()).select(F.xxhash64(meta, pos).alias("prompt_id"), prompt.alias("prompt"))
+
+
+def load_prompts(spark: SparkSession, gen, mode: str = "permissive") -> DataFrame:
+    """S7 + S8 + P1 as one step: prompts from ``gen.prompt_file`` (by suffix)
+    or ``gen.num_prompts`` synthetic ones, then the prompt template.
+    ``gen`` is a ``synthtext.config.Generation``."""
+    from synthtext.operators.prompts import apply_template
+
+    if gen.prompt_file:
+        prompts = read_prompts(spark, gen.prompt_file, mode=mode)
+    else:
+        prompts = synthesize_prompts(spark, gen.num_prompts, gen.seed)
+    return apply_template(prompts, gen.prompt_template)
