@@ -48,10 +48,9 @@ MISSING_SECTION = {
 
 
 class Rec:
-    """Typed view of one JSON object of a record: ``key -> type name`` and
-    ``key -> numeric value`` maps, materialised once per row (see
-    ``with_views``) so every rule is a map lookup instead of a fresh walk
-    of the variant."""
+    """Typed view of one JSON object of a record: per key its type name and
+    numeric value, materialised once per row (see ``with_views``) so every
+    rule is a field access instead of a fresh walk of the variant."""
 
     def __init__(self, types: Column, nums: Column, v: Column | None = None, prefix: str = "$",
                  subs: dict[str, "Rec"] | None = None, item_types: Column | None = None):
@@ -103,35 +102,49 @@ class Rec:
         return out.when(t.startswith("OBJECT"), t != "OBJECT<>").otherwise(F.lit(False))
 
 
-# Sub-objects each section's rules look into.
-SUB_OBJECTS = {
-    "model": ("quantization", "model_loading", "tokenizer"),
-    "generation": ("vllm",),
-    "logging": ("metrics",),
-    "post_processing": (),
+# The keys each section's rules read, per (sub-)object ("" = the section).
+SECTION_KEYS = {
+    "model": {
+        "": MODEL_REQUIRED + ("quantization", "model_loading", "tokenizer"),
+        "quantization": ("enabled", "bits"),
+        "model_loading": ("use_cache", "trust_remote_code"),
+        "tokenizer": ("add_bos_token", "use_fast"),
+    },
+    "generation": {
+        "": ("temperature", "top_p", "top_k", "repetition_penalty", "max_length", "min_length",
+             "batch_size", "vllm"),
+        "vllm": ("enabled", "tensor_parallel_size", "gpu_memory_utilization"),
+    },
+    "logging": {"": ("enabled", "project", "tags", "log_interval", "metrics"), "metrics": LOGGED_METRICS},
+    "post_processing": {"": ("enabled", "max_length", "min_length", "complete_sentences", "deduplicate")},
 }
-_OBJ = "map<string,variant>"
 
 
 def with_views(df: DataFrame, v_col: str, section: str, path: str, tag: str) -> tuple[DataFrame, Rec]:
     """Materialise the typed views of ``path`` and its sub-objects.
 
-    Three projections: the object as ``MAP<STRING, VARIANT>`` (one walk of
-    the variant), then its type names and numeric values. Catalyst keeps
-    them apart because each map is read by many rules.
+    Each object is extracted once as ``STRUCT<key VARIANT, ...>`` over the keys
+    the rules read (a missing key is NULL, a JSON null stays present), then
+    one projection holds every key's type name and one its numeric value.
+    Plain field expressions only, so the views run in whole-stage codegen;
+    Catalyst keeps the projections apart because the rules read each field
+    many times.
     """
     v = F.col(v_col)
     d = df
     views = {}
-    for sub in ("",) + SUB_OBJECTS[section]:
+    for sub, keys in SECTION_KEYS[section].items():
         p = path + (f".{sub}" if sub else "")
         name = f"__{tag}_{sub or 'root'}"
-        d = d.withColumn(name + "_o", F.try_variant_get(v, p, _OBJ))
-        views[sub] = (name, p)
-    for sub, (name, _) in views.items():
+        shape = "struct<" + ",".join(f"`{k}`:variant" for k in keys) + ">"
+        d = d.withColumn(name + "_o", F.try_variant_get(v, p, shape))
+        views[sub] = (name, p, keys)
+    for sub, (name, _, keys) in views.items():
         o = F.col(name + "_o")
-        d = d.withColumn(name + "_t", F.transform_values(o, lambda k, x: F.schema_of_variant(x)))
-        d = d.withColumn(name + "_n", F.transform_values(o, lambda k, x: F.try_variant_get(x, "$", "double")))
+        d = d.withColumn(name + "_t", F.struct(*[F.schema_of_variant(o[k]).alias(k) for k in keys]))
+        d = d.withColumn(
+            name + "_n", F.struct(*[F.try_variant_get(o[k], "$", "double").alias(k) for k in keys])
+        )
     item_types = None
     if section == "logging":
         tags = F.try_variant_get(v, f"{path}.tags", "array<variant>")
@@ -139,11 +152,11 @@ def with_views(df: DataFrame, v_col: str, section: str, path: str, tag: str) ->
         item_types = F.col(f"__{tag}_tags")
 
     def rec(sub: str) -> Rec:
-        name, p = views[sub]
+        name, p, _ = views[sub]
         return Rec(F.col(name + "_t"), F.col(name + "_n"), v, p)
 
     root = rec("")
-    root.subs = {s: rec(s) for s in SUB_OBJECTS[section]}
+    root.subs = {s: rec(s) for s in SECTION_KEYS[section] if s}
     root.item_types = item_types
     return d, root
 
