@@ -120,7 +120,8 @@ SECTION_KEYS = {
 }
 
 
-def with_views(df: DataFrame, v_col: str, section: str, path: str, tag: str) -> tuple[DataFrame, Rec]:
+def with_views(df: DataFrame, v_col: str, section: str, path: str, tag: str,
+               only_when: Column | None = None) -> tuple[DataFrame, Rec]:
     """Materialise the typed views of ``path`` and its sub-objects.
 
     Each object is extracted once as ``STRUCT<key VARIANT, ...>`` over the keys
@@ -137,7 +138,8 @@ def with_views(df: DataFrame, v_col: str, section: str, path: str, tag: str) ->
         p = path + (f".{sub}" if sub else "")
         name = f"__{tag}_{sub or 'root'}"
         shape = "struct<" + ",".join(f"`{k}`:variant" for k in keys) + ">"
-        d = d.withColumn(name + "_o", F.try_variant_get(v, p, shape))
+        obj = F.try_variant_get(v, p, shape)
+        d = d.withColumn(name + "_o", obj if only_when is None else F.when(only_when, obj))
         views[sub] = (name, p, keys)
     for sub, (name, _, keys) in views.items():
         o = F.col(name + "_o")
@@ -315,15 +317,16 @@ SECTION_CHECKS = {
 
 
 def with_section_errors(df: DataFrame, v_col: str, section: str, out: str, path: str | None = None,
-                        missing_message: bool = True) -> DataFrame:
+                        missing_message: bool = True, only_when: Column | None = None) -> DataFrame:
     """Errors of one section as ``ARRAY<STRING>`` column ``out``.
 
     ``path`` locates the section (default ``$.<section>``, i.e. inside a full
     record); an absent section gives its 'Missing ... configuration' message
-    (or no message with ``missing_message=False``).
+    (or no message with ``missing_message=False``). ``only_when`` limits the
+    extraction to the rows that need this section's rules.
     """
     p = path or f"$.{section}"
-    d, rec = with_views(df, v_col, section, p, out)
+    d, rec = with_views(df, v_col, section, p, out, only_when)
     present = F.try_variant_get(F.col(v_col), p, "variant").isNotNull()
     errs = SECTION_CHECKS[section](rec)
     absent = F.array(F.lit(MISSING_SECTION[section])) if missing_message else F.array().cast("array<string>")
@@ -375,10 +378,13 @@ def check_files(spark: SparkSession, root: str, suffix: str = ".json", lines: bo
     rootp = root.rstrip("/").removeprefix("file:")
     rel = F.regexp_replace(F.col("file_path"), "^.*?\\Q" + rootp + "\\E/", "")
     parts = F.split(rel, "/")
-    section = F.when(F.size(parts) > 1, F.element_at(parts, 1))
+    # The first folder names the section; a Hive-style "name=value" folder
+    # (as written by partitionBy) names it by its value.
+    section = F.when(F.size(parts) > 1, F.regexp_replace(F.element_at(parts, 1), "^[^=]*=", ""))
     d = files.withColumn("section", section).withColumn("__v", F.try_parse_json(F.col("value")))
     for name in SECTION_CHECKS:
-        d = with_section_errors(d, "__v", name, f"__err_{name}", path=doc_path, missing_message=False)
+        d = with_section_errors(d, "__v", name, f"__err_{name}", path=doc_path, missing_message=False,
+                                only_when=F.col("section") == name)
     errs = F.lit(None).cast("array<string>")
     for name in SECTION_CHECKS:
         errs = F.when(F.col("section") == name, F.col(f"__err_{name}")).otherwise(errs)

@@ -453,14 +453,17 @@ def q_config_files(spark, d):
     folders are parsed only."""
     recs = records(spark, d).withColumn("v", F.try_parse_json("record_json"))
     root = scratch_path(spark, "configs")
-    for sec in _SEC_FILES:
-        part = recs.select(
-            F.to_json(
-                F.struct(F.col("event_id").alias("id"), F.try_variant_get("v", f"$.{sec}", "variant").alias("doc"))
-            ).alias("value")
-        ).where(F.get_json_object("value", "$.doc").isNotNull())
-        part.write.mode("overwrite").text(f"{root}/{sec}")
-    recs.select(F.col("record_json").alias("value")).write.mode("overwrite").text(f"{root}/unknown_kind")
+    # One job writes every section's documents (and whole records into a
+    # folder no rule knows) into section=<name>/ folders.
+    docs = F.array(
+        *[F.struct(F.lit(sec).alias("section"), F.to_json(F.struct(
+            F.col("event_id").alias("id"), F.try_variant_get("v", f"$.{sec}", "variant").alias("doc")
+        )).alias("value"), F.try_variant_get("v", f"$.{sec}", "variant").isNotNull().alias("keep"))
+          for sec in _SEC_FILES],
+        F.struct(F.lit("unknown_kind").alias("section"), F.col("record_json").alias("value"), F.lit(True).alias("keep")),
+    )
+    out = recs.select(F.inline(docs)).where("keep").select("section", "value")
+    out.write.mode("overwrite").partitionBy("section").text(root)
     checked = V.check_files(spark, root, suffix=".txt", lines=True, doc_path="$.doc")
     rep = checked.where(F.col("section").isin(*_SEC_FILES)).select(
         "section", F.get_json_object("value", "$.id").cast("long").alias("event_id"),
