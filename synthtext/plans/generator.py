@@ -51,7 +51,8 @@ class TextGenerator:
         """Chunks of a streaming prompt DataFrame (``prompt_id``, ``prompt``);
         finished chunks post-processed; ``callback(batch_df, epoch)`` per
         micro-batch after it is written."""
-        chunks = finalize_responses(generate_stream(prompts, self.backend, self.cfg.generation),
+        spread = 2 * self.spark.sparkContext.defaultParallelism
+        chunks = finalize_responses(generate_stream(prompts, self.backend, self.cfg.generation, spread_to=spread),
                                     self.cfg.post_processing)
         return start_stream(chunks, self.cfg.output.dir, checkpoint, run_id, callback=callback,
                             available_now=available_now)

@@ -25,6 +25,11 @@ from synthtext.sources.prompts import read_prompts_stream
 from synthtext.streaming.generate import finalize_responses, finished_only, generate_stream, start_stream
 
 ECHO = BackendSpec.of("echo", template="Answer: {prompt}")
+
+
+def _spread(spark):
+    """Partitions per micro-batch before the model."""
+    return 2 * spark.sparkContext.defaultParallelism
 GEN = Generation(prompt_template="Q: {prompt}", batch_size=16)
 
 
@@ -80,8 +85,6 @@ _CONV_SCHEMA = T.StructType([
 
 def _run_stream(spark, d, build):
     prompts = read_prompts_stream(spark, d, "parquet", _CONV_SCHEMA, glob="conversations.parquet")
-    # A micro-batch of one file is one partition: spread it before the model.
-    prompts = prompts.repartition(2 * spark.sparkContext.defaultParallelism)
     out = scratch_path(spark, "stream")
     q = start_stream(build(prompts), out, f"{out}/_checkpoint", "stream")
     q.awaitTermination()
@@ -95,7 +98,7 @@ def _run_stream(spark, d, build):
 def q_stream_prompts(spark, d):
     """S10 -> ST3 (a backend without streaming: one finished chunk per prompt)."""
     batch_only = BackendSpec.of("echo_batch_only", template="Answer: {prompt}")
-    res = _run_stream(spark, d, lambda p: generate_stream(p, batch_only))
+    res = _run_stream(spark, d, lambda p: generate_stream(p, batch_only, spread_to=_spread(spark)))
     return res.select("prompt", "text", "finished")
 
 
@@ -108,7 +111,9 @@ def _stream_finalize_oracle():
 @register("q_stream_finalize", _stream_finalize_oracle())
 def q_stream_finalize(spark, d):
     """S10 -> ST1 (word-by-word chunks) -> ST2 -> F4 -> sink (ST4/ST5)."""
-    res = _run_stream(spark, d, lambda p: finished_only(finalize_responses(generate_stream(p, ECHO), FULL)))
+    res = _run_stream(
+        spark, d, lambda p: finished_only(finalize_responses(generate_stream(p, ECHO, spread_to=_spread(spark)), FULL))
+    )
     return res.select("prompt", "text")
 
 
@@ -120,7 +125,7 @@ def q_stream_finalize(spark, d):
 )
 def q_stream_chunks(spark, d):
     """ST1 + ST2: every chunk is written (intermediate ones raw)."""
-    res = _run_stream(spark, d, lambda p: finalize_responses(generate_stream(p, ECHO), FULL))
+    res = _run_stream(spark, d, lambda p: finalize_responses(generate_stream(p, ECHO, spread_to=_spread(spark)), FULL))
     return res.agg(
         F.count(F.lit(1)).cast("long").alias("chunks"),
         F.countDistinct("prompt").cast("long").alias("prompts"),

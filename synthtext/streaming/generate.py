@@ -76,11 +76,16 @@ def _stream_fn(spec, params, batch_size, id_col, prompt_col, keep):
 def generate_stream(
     prompts: DataFrame, backend: BackendSpec, gen: Generation | None = None,
     id_col: str = "prompt_id", prompt_col: str = "prompt", keep: tuple[str, ...] = ("prompt",),
+    spread_to: int | None = None,
 ) -> DataFrame:
     """ST1/ST3: ``(keep..., request_id, seq, text, finished, chunk_seconds)`` chunks.
 
     Works on batch and streaming DataFrames alike (``mapInPandas``).
+    ``spread_to`` round-robins each micro-batch over that many partitions
+    first (a micro-batch of one file is one partition otherwise).
     """
+    if spread_to:
+        prompts = prompts.repartition(int(spread_to))
     gen = gen or Generation()
     keep_fields = [prompts.schema[c] for c in keep]
     schema = T.StructType(keep_fields + CHUNK_FIELDS)
