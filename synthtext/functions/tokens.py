@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,8 +54,6 @@ def udf_tokenizer(factory: Callable[[], Callable[[str], list[int]]]) -> Callable
     Returns a Column function producing ``ARRAY<INT>`` token ids through an
     Arrow-batched pandas UDF (never a row-at-a-time UDF).
     """
-    import pandas as pd
-
     key = id(factory)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))

@@ -89,3 +89,30 @@ def test_batch_job(spark, scratch):
     assert spark.read.parquet(paths.samples).count() == 8  # min(log_samples=10, batch of 8)
     ev = spark.read.parquet(paths.events)
     assert ev.select("batch_id").distinct().count() == 1  # log_interval 100: batch 0 only
+
+
+def test_attach_outputs(spark):
+    from synthtext.operators.generate import attach_outputs
+
+    prompts = prompts_from_list(spark, ["a", "b", "c"])
+    outs = spark.createDataFrame([(0, "A"), (2, "C")], "prompt_id long, generated_text string")
+    left = sorted((r.prompt, r.generated_text) for r in attach_outputs(prompts, outs).collect())
+    assert left == [("a", "A"), ("b", None), ("c", "C")]
+    inner = attach_outputs(prompts, outs, how="inner").count()
+    assert inner == 2  # like a positional zip, prompts without output drop
+
+
+def test_user_tokenizer(spark):
+    from synthtext.functions.tokens import udf_tokenizer
+    from synthtext.operators import metrics as M
+
+    def factory():
+        vocab = {}
+        return lambda text: [vocab.setdefault(w.lower(), len(vocab)) for w in text.split()]
+
+    tok = udf_tokenizer(factory)
+    df = spark.createDataFrame([("A b a",), ("B c",)], "text string")
+    ids = [r.ids for r in df.select(tok("text").alias("ids")).collect()]
+    assert all(isinstance(i, int) for row in ids for i in row) and sum(len(r) for r in ids) == 5
+    r = M.token_diversity(df, text_col="text", tokenizer=tok).first()
+    assert r.total_tokens == 5 and r.unique_tokens <= 5
