@@ -50,9 +50,18 @@ def with_ordinal(
     num_partitions: int | None = None,
     total_col: str | None = None,
     checkpoint: bool = False,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """B1 building block: dense 0-based ``name`` in ``order_by`` order.
 
+    The range shuffle samples its whole input in a separate pass, so wide
+    rows would be read twice. With ``unique_keys=True`` (the ``order_by``
+    columns identify a row) the ordinals are computed on a key-only
+    projection - a column-pruned scan - and joined back on the keys: the wide
+    rows are read once and shuffled once. Rows of one batch are then no
+    longer co-located; keep the default where the next stage works per batch
+    (generation).
+
     ``order_by`` should be unique for a reproducible order; ties get distinct,
     dense ordinals in an unspecified order. ``num_partitions`` defaults to
     ``default_range_partitions``. ``total_col`` also attaches the row
@@ -60,6 +69,10 @@ def with_ordinal(
     folder first (for inputs that are not deterministic to re-read).
     """
     spark = df.sparkSession
+    if unique_keys and all(isinstance(c, str) for c in order_by) and len(df.columns) > len(order_by):
+        keys = list(order_by)
+        narrow = with_ordinal(df.select(*keys), keys, name, num_partitions, total_col, checkpoint)
+        return df.join(narrow, keys)
     n = int(num_partitions or default_range_partitions(df))
     keys = _cols(order_by) + [F.xxhash64(*[F.col(c) for c in df.columns])]
     ranged = df.repartitionByRange(n, *keys)
@@ -90,7 +103,7 @@ def with_ordinal(
 
 def assign_batches(
     df: DataFrame, batch_size: int, order_by: Sequence[str | Column],
-    num_partitions: int | None = None, total_col: str | None = None,
+    num_partitions: int | None = None, total_col: str | None = None, unique_keys: bool = False,
 ) -> DataFrame:
     """B1: contiguous batches of ``batch_size`` rows in ``order_by`` order.
 
@@ -101,7 +114,7 @@ def assign_batches(
     """
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
-    d = with_ordinal(df, order_by, "ordinal", num_partitions, total_col=total_col)
+    d = with_ordinal(df, order_by, "ordinal", num_partitions, total_col=total_col, unique_keys=unique_keys)
     return d.withColumn("batch_id", (F.col("ordinal") / F.lit(batch_size)).cast("long"))
 
 

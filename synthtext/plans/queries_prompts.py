@@ -66,7 +66,7 @@ BS, LOG_SAMPLES, LOG_INTERVAL = 16, 10, 3
 
 def _batched_docs(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return B.assign_batches(docs, BS, ["doc_id"], total_col="total")
+    return B.assign_batches(docs, BS, ["doc_id"], total_col="total", unique_keys=True)
 
 
 _ORD = "(row_number() OVER (ORDER BY doc_id) - 1)"

@@ -180,10 +180,12 @@ def _batch_diversity_oracle():
 
 @register("q_token_diversity_by_batch", _batch_diversity_oracle())
 def q_token_diversity_by_batch(spark, d):
-    df = table(spark, d, "documents").select("doc_id", "text")
-    batched = B.assign_batches(df, BATCH, ["doc_id"])
-    processed = apply_post_processing(batched, "text", FULL)
-    div = M.token_diversity(processed, text_col="text", group_cols=["batch_id"], tokenizer=tokenize_clean)
+    # X6 is row-local and batches depend on doc_id only: post-process first,
+    # then join the key-only ordinals, so no raw text is shuffled or re-read.
+    df = spread(table(spark, d, "documents").select("doc_id", "text"))
+    processed = apply_post_processing(df, "text", FULL)
+    batched = B.assign_batches(processed, BATCH, ["doc_id"], unique_keys=True)
+    div = M.token_diversity(batched, text_col="text", group_cols=["batch_id"], tokenizer=tokenize_clean)
     return div.select(
         "batch_id", "unique_tokens", "total_tokens", r6("unique_ratio").alias("unique_ratio"),
         r6("entropy").alias("entropy"),

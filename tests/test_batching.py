@@ -68,3 +68,12 @@ def test_samples(spark):
     # batch 0 -> row 2 ("17"), batch 1 -> row 2 of batch ("45"); batch 2 is not sampled (2 >= log_samples? no: 2 < 3)
     assert [r.prompt_preview for r in p] == ["17...", "45...", "66..."]
     assert len(p[0].text_preview) == 203
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_dense_ordinals_key_only_join(spark, parts):
+    df = frame(spark, 500, parts).withColumn("payload", F.repeat(F.lit("x"), 50))
+    d = B.assign_batches(df, 16, ["key"], total_col="total", unique_keys=True).collect()
+    got = sorted((r.key, r.ordinal) for r in d)
+    assert [o for _, o in got] == list(range(500))
+    assert {r.total for r in d} == {500} and {r.batch_id for r in d} == set(range(32))
