@@ -112,7 +112,9 @@ PAD_BATCH, MAX_TOKENS = 8, 64
 )
 def q_pad_batch(spark, d):
     conv = table(spark, d, "conversations").select("conv_id", "turn", "text")
-    b = B.assign_batches(conv, PAD_BATCH, ["conv_id", "turn"])
+    # (conv_id, turn) is unique and the padding window re-partitions by
+    # batch_id anyway, so rank a key-only projection and join it back.
+    b = B.assign_batches(conv, PAD_BATCH, ["conv_id", "turn"], unique_keys=True)
     b = b.withColumn("tok", truncate_tokens(tokenize("text"), MAX_TOKENS, "right"))
     p = pad_batch(b, "tok", "<pad>", side="right")
     return p.select(
