@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,6 +107,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -113,24 +115,35 @@ def ship_package(spark: SparkSession) -> None:
 
     Python stages (the generation stage, user tokenizers) run functions of
     this package in worker processes that do not share the driver's
-    ``sys.path``. The package's ``.py`` files are zipped once per
-    SparkContext and added with ``addPyFile``; Spark's file server ships the
-    zip to the executors, so only the driver reads the local file.
+    ``sys.path``. The package's ``.py`` files are zipped once per application
+    (a path fixed by the application id, so a repeated call adds the same
+    file) and added with ``addPyFile``; Spark's file server ships the zip to
+    the executors, so only the driver reads the local file.
     """
     import zipfile
 
     sc = spark.sparkContext
     key = sc.applicationId
-    if key in _SHIPPED:
-        return
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    base = os.path.dirname(pkg_dir)
-    zpath = os.path.join(tempfile.mkdtemp(prefix="synthtext-py-"), "synthtext.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
-        for dirpath, _dirs, files in os.walk(pkg_dir):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(dirpath, f)
-                    z.write(full, os.path.relpath(full, base))
-    sc.addPyFile(zpath)
-    _SHIPPED.add(key)
+    with _SHIP_LOCK:
+        if key in _SHIPPED:
+            return
+        pkg_dir = os.path.dirname(os.path.abspath(__file__))
+        base = os.path.dirname(pkg_dir)
+        folder = os.path.join(tempfile.gettempdir(), f"synthtext-py-{key}")
+        zpath = os.path.join(folder, "synthtext.zip")
+        if not os.path.exists(zpath):
+            os.makedirs(folder, exist_ok=True)
+            tmp = zpath + f".{os.getpid()}.part"
+            with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
+                for dirpath, _dirs, files in os.walk(pkg_dir):
+                    for f in files:
+                        if f.endswith(".py"):
+                            full = os.path.join(dirpath, f)
+                            z.write(full, os.path.relpath(full, base))
+            os.replace(tmp, zpath)
+        try:
+            sc.addPyFile(zpath)
+        except Exception as e:  # noqa: BLE001 - already registered by an earlier import
+            if "already" not in str(e).lower():
+                raise
+        _SHIPPED.add(key)
