@@ -98,3 +98,12 @@ def test_config_files(spark, scratch):
     os.remove(f"{scratch}/cfg/post_processing/invalid.json")
     os.remove(f"{scratch}/cfg/logging/broken.json")
     assert V.check_config_files(spark, f"{scratch}/cfg")
+
+
+def test_config_files_hive_style_folders(spark, scratch):
+    p = f"{scratch}/cfg2/section=post_processing/a.json"
+    os.makedirs(os.path.dirname(p), exist_ok=True)
+    with open(p, "w") as f:
+        f.write(json.dumps({"enabled": "x"}))
+    rows = V.check_files(spark, f"{scratch}/cfg2").collect()
+    assert [(r.section, r.errors) for r in rows] == [("post_processing", ["enabled must be a boolean"])]
