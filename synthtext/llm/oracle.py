@@ -28,3 +28,31 @@ e AS (
   WHERE 100 * p.c >= 75 * (x.n + y.n - p.c)),
 r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
 """
+
+_WORDS8 = "[0-9a-z\\x{80}-\\x{10FFFF}]+"
+BENCHMARK_WINDOWS = f"""
+WITH b AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all({lower_az("coalesce(text, '')")}, '{_WORDS8}') AS ws
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item, least(len(ws), 13) AS size,
+    unnest(list_transform(range(1, len(ws) - least(len(ws), 13) + 2),
+      lambda i: array_to_string(ws[i:i + least(len(ws), 13) - 1], ' '))) AS w
+  FROM b WHERE len(ws) > 0),
+d AS (
+  SELECT doc_id, regexp_extract_all({lower_az("coalesce(text, '')")}, '{_WORDS8}') AS ws
+  FROM documents),
+at AS (
+  SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i
+  FROM d, (SELECT DISTINCT size FROM win) WHERE len(ws) >= size),
+hit AS (
+  SELECT a.doc_id, a.i, a.size, win.item
+  FROM (SELECT doc_id, i, size, array_to_string(ws[i:i + size - 1], ' ') AS w FROM at) a
+  JOIN win ON win.size = a.size AND win.w = a.w),
+word AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hit) GROUP BY doc_id),
+item AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+"""

@@ -25,6 +25,36 @@ def op7_near_duplicates(spark, sf_dir):
         (F.col("key") == F.col("component_id")).alias("kept"))
 
 
+@register("op4_secrets")
+def op4_secrets(spark, sf_dir):
+    """Operator 4 over all documents; tested against a plain statement of the contract."""
+    from .secrets import find_secrets
+
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
+@register(
+    "op8_benchmark_windows",
+    O.BENCHMARK_WINDOWS + """
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(word.n, 0)::BIGINT AS n_hit,
+  coalesce(item.n, 0)::BIGINT AS n_items, sha256(coalesce(item.items, '')) AS items_sha256,
+  coalesce(word.n, 0) > 0 AND 20 * coalesce(word.n, 0) >= len(d.ws) AS contaminated
+FROM d LEFT JOIN word USING (doc_id) LEFT JOIN item USING (doc_id)
+""")
+def op8_benchmark_windows(spark, sf_dir):
+    """Operator 8: every document against every window of the benchmark."""
+    from .decontaminate import covered, find_benchmark
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out, p = find_benchmark(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    n_words, n_hit = F.col(f"{p}n_words"), covered(f"{p}spans")
+    return out.select(
+        "doc_id", n_words.alias("n_words"), n_hit.alias("n_hit"),
+        F.size(f"{p}items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", f"{p}items"), 256).alias("items_sha256"),
+        ((n_hit > 0) & (20 * n_hit >= n_words)).alias("contaminated"))
+
+
 def queries():
     return dict(QUERIES)
 
