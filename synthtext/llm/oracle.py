@@ -42,12 +42,12 @@ win AS (
 d AS (
   SELECT doc_id, regexp_extract_all({lower_az("coalesce(text, '')")}, '{_WORDS8}') AS ws
   FROM documents),
-at AS (
+pos AS (
   SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i
   FROM d, (SELECT DISTINCT size FROM win) WHERE len(ws) >= size),
 hit AS (
   SELECT a.doc_id, a.i, a.size, win.item
-  FROM (SELECT doc_id, i, size, array_to_string(ws[i:i + size - 1], ' ') AS w FROM at) a
+  FROM (SELECT doc_id, i, size, array_to_string(ws[i:i + size - 1], ' ') AS w FROM pos) a
   JOIN win ON win.size = a.size AND win.w = a.w),
 word AS (
   SELECT doc_id, count(DISTINCT p) AS n

@@ -8,6 +8,20 @@ from . import oracle as O
 from .registry import ORACLES, QUERIES, register, table
 
 
+@register("op6_hilbert_shards")
+def op6_hilbert_shards(spark, sf_dir):
+    """Operator 6: all documents into 40 shards along source, language, size and id."""
+    from .shards import hilbert_shards
+
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", (F.octet_length(text) + 16).cast("bigint").alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
+    out = hilbert_shards(docs, ["source", "lang", "size", "doc_id"], 40, ["text_crc32", "doc_id", "size"])
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
 @register(
     "op7_near_duplicates",
     O.SHINGLE_COMPONENTS + """
@@ -25,6 +39,17 @@ def op7_near_duplicates(spark, sf_dir):
         (F.col("key") == F.col("component_id")).alias("kept"))
 
 
+@register("op2_language")
+def op2_language(spark, sf_dir):
+    """Operator 2: learned on the rows that are not held out, predicted for all."""
+    from .language import fit, held_out, predict
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.filter(~held_out()).select("doc_id", "text", "lang"))
+    out = predict(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 @register("op4_secrets")
 def op4_secrets(spark, sf_dir):
     """Operator 4 over all documents; tested against a plain statement of the contract."""
@@ -55,6 +80,26 @@ def op8_benchmark_windows(spark, sf_dir):
         ((n_hit > 0) & (20 * n_hit >= n_words)).alias("contaminated"))
 
 
+@register(
+    "op10_top_vectors",
+    """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10
+""")
+def op10_top_vectors(spark, sf_dir):
+    """Operator 10: the 10 best of every hundredth vector against all vectors."""
+    from .metric_tree import quantised, top_k
+
+    return top_k(quantised(table(spark, sf_dir, "embeddings")))
+
+
 def queries():
     return dict(QUERIES)
 
