@@ -80,6 +80,22 @@ def op8_benchmark_windows(spark, sf_dir):
         ((n_hit > 0) & (20 * n_hit >= n_words)).alias("contaminated"))
 
 
+@register("op9_fuzzy_lines")
+def op9_fuzzy_lines(spark, sf_dir):
+    """Operator 9 over all documents: the lines that go and the text that stays."""
+    from .lines import dedup_lines
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    before = F.size(F.split("text", "\n"))
+    out, p = dedup_lines(docs)
+    gone = F.size(f"{p}removed")
+    return out.select(
+        "doc_id", F.when(F.col("text").isNull(), 0).otherwise(
+            F.when((gone > 0) & (F.col("text") == ""), gone).otherwise(before + gone)).cast("bigint").alias("n_lines"),
+        gone.cast("bigint").alias("n_removed"), F.concat_ws(",", F.transform(f"{p}removed", lambda x: x.cast("string")))
+        .alias("removed"), F.sha2(F.col("text"), 256).alias("text_sha256"))
+
+
 @register(
     "op10_top_vectors",
     """

@@ -7,6 +7,8 @@ survives lost executors.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,3 +67,34 @@ def _mark(e: DataFrame) -> tuple:
     r = e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")),
               F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
     return r[0], r[1], r[2]
+
+
+BITMAP_BITS = 24
+
+
+def bitmap(keys: DataFrame, name: str, bits: int = BITMAP_BITS):
+    """A fixed-size bitmap (``2^bits`` bits, 2 MB by default, whatever the
+    number of keys) of hashed bigint keys, combined by Spark word by word."""
+    at = F.pmod(F.col(name), F.lit(1 << bits))
+    rows = keys.select((at / 64).cast("int").alias("w"), F.expr(f"shiftleft(1L, int(pmod({name}, 64)))").alias("m")) \
+        .groupBy("w").agg(F.bit_or("m").alias("m"))
+    out = np.zeros(1 << (bits - 6), np.int64)
+    for r in rows.toLocalIterator():
+        out[r.w] = r.m
+    return out
+
+
+def maybe_in(df: DataFrame, name: str, words, out: str = "maybe") -> DataFrame:
+    """``df`` with a boolean column ``out``: False only for keys that are not in the
+    bitmap. It spares the shuffle of rows that an exact join would not match;
+    that join still has to follow."""
+    shared = df.sparkSession.sparkContext.broadcast(words)
+
+    @F.pandas_udf("boolean")
+    def hit(keys: pd.Series) -> pd.Series:
+        x = keys.to_numpy(np.int64, na_value=0)
+        own = shared.value
+        at = np.mod(x, len(own) * 64)
+        return pd.Series((own[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return df.withColumn(out, hit(name))
