@@ -11,7 +11,11 @@ compared. In a bucket every class is first compared with the bucket's
 smallest class (a star, not all pairs); after the components of the confirmed
 links, a bucket whose classes are all in one component is done, and only pairs
 between different components of one bucket are compared as well. So no
-link between candidates is lost and no group emits all its pairs.
+link between candidates is lost and no group emits all its pairs. Before texts
+are fetched for the exact check, the last bits of 192 coordinates are compared: a
+pair at 0.75 agrees in 168 of them on average (deviation 4.6) and is let through
+from 136, seven deviations below, so it costs no link (2e-11) and documents that
+merely share a passage (0.3 agrees in 125) are not fetched.
 
 Defined results: a null or wordless text has an empty set (0 shingles) and is
 linked with nothing; fewer than five words are one shingle; a row without
@@ -33,6 +37,9 @@ from .tables import connected_components, written
 WIDTH = 5
 BANDS = 40
 ROWS = 5
+#: 192 one-bit coordinates; at the threshold 168 agree on average, 4.6 the deviation
+SKETCH = 192
+AGREE = 136
 #: white space: U+0020 and U+0009 to U+000D
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 _COEF = W.constants(WIDTH, 11)
@@ -86,15 +93,17 @@ def _signer(bands: int, rows: int):
     coef = W.constants(rows, 13)
     tag = W.constants(bands, 14)
     schema = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("fp", pa.int64()),
-                        ("bands", pa.list_(pa.int64()))])
+                        ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
 
     def flush(part):
         sets = [s for _, s in part]
         full = [k for k, s in enumerate(sets) if len(s)]
         keys = np.zeros((len(sets), bands), np.int64)
         fp = np.zeros(len(sets), np.uint64)
+        sketch = np.zeros((len(sets), SKETCH // 64), np.int64)
         if full:
-            sig = signatures([sets[k] for k in full], bands * rows).astype(np.uint64)
+            sig = signatures([sets[k] for k in full], max(bands * rows, SKETCH)).astype(np.uint64)
+            sketch[full] = np.packbits((sig[:, :SKETCH] & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
             with np.errstate(over="ignore"):
                 for b in range(bands):
                     s = tag[b] + (sig[:, b * rows : (b + 1) * rows] * coef).sum(1, dtype=np.uint64)
@@ -102,11 +111,11 @@ def _signer(bands: int, rows: int):
                 for k in full:  # one number for the whole set
                     fp[k] = W.mix64(sets[k] + tag[0]).sum(dtype=np.uint64)
         n = np.array([len(s) for s in sets], np.int64)
-        lists = pa.ListArray.from_arrays(
-            np.concatenate([[0], np.cumsum(np.where(n > 0, bands, 0))]).astype(np.int32),
-            keys[n > 0].ravel())
+        lists = [pa.ListArray.from_arrays(
+            np.concatenate([[0], np.cumsum(np.where(n > 0, x.shape[1], 0))]).astype(np.int32),
+            x[n > 0].ravel()) for x in (keys, sketch)]
         return pa.record_batch([pa.array([k for k, _ in part], pa.int64()), pa.array(n),
-                                pa.array(W.signed(fp)), lists], schema=schema)
+                                pa.array(W.signed(fp)), *lists], schema=schema)
 
     def run(batches):
         for batch in batches:
@@ -156,12 +165,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = BANDS,
     ship_package(docs.sparkSession)
     texts = keyed(docs)
     signed = written(texts.mapInArrow(_signer(bands, rows),
-                                      "key bigint, n bigint, fp bigint, bands array<bigint>"),
+                                      "key bigint, n bigint, fp bigint, bands array<bigint>, "
+                                      "sketch array<bigint>"),
                      "near_dup_signatures")
     full = signed.filter("n > 0")
-    classes = full.groupBy("fp", "n").agg(F.min("key").alias("node"))
+    classes = written(full.groupBy("fp", "n").agg(F.min("key").alias("node"), F.min("sketch").alias("sketch")),
+                      "near_dup_classes")
     # one row of each class carries the bands
-    ends = (full.join(classes.withColumnRenamed("node", "key"), ["fp", "n", "key"])
+    ends = (full.drop("sketch").join(classes.select("fp", "n", F.col("node").alias("key")), ["fp", "n", "key"])
             .select(F.col("key").alias("node"), "n", F.explode(F.array_distinct("bands")).alias("bucket")))
     # the bucket's smallest class; map-side combined, buckets of one class end here
     pivots = (ends.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("p"),
@@ -172,7 +183,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = BANDS,
                    .select("bucket", F.col("node").alias("a"), F.col("n").alias("na"), "b", "nb"),
                    "near_dup_buckets")
     fits = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
-    stars = near.filter("a <> b").filter(fits).select("a", "b").distinct()
+    sketches = classes.select("node", "sketch")
+    alike = sum((F.bit_count(F.col("sa")[k].bitwiseXOR(F.col("sb")[k])) for k in range(SKETCH // 64)),
+                F.lit(0)) <= SKETCH - AGREE
+    stars = (near.filter("a <> b").filter(fits).select("a", "b").distinct()
+             .join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b").filter(alike).select("a", "b"))
     links = written(_linked(stars, texts, percent), "near_dup_links")
     comps = connected_components(links, "near_dup_components")
 
@@ -181,12 +196,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = BANDS,
         "bucket", "a", "na", "b", F.coalesce("component", "a").alias("c"))
     mixed = members.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter(
         "lo < hi").select("bucket")
-    rest = written(members.join(mixed, "bucket"), "near_dup_mixed")
-    left = rest.select("bucket", "a", "na", "b", "c")
-    right = rest.select("bucket", F.col("a").alias("a2"), F.col("na").alias("nb"), F.col("c").alias("c2"))
-    cross = (left.join(right, "bucket")
-             .filter("c < c2").filter("a <> b and a2 <> b").filter(fits)
-             .select("a", F.col("a2").alias("b")).distinct())
+    rest = written(members.filter("a <> b").join(mixed, "bucket").join(sketches.toDF("a", "sa"), "a"),
+                   "near_dup_mixed")
+    right = rest.select("bucket", F.col("a").alias("b"), F.col("na").alias("nb"), F.col("c").alias("c2"),
+                        F.col("sa").alias("sb"))
+    cross = (rest.drop("b").join(right, "bucket").filter("c < c2").filter(fits).filter(alike)
+             .select("a", "b").distinct())
     more = written(_linked(cross, texts, percent), "near_dup_links")
     comps = connected_components(links.union(more), "near_dup_components")
 
