@@ -56,3 +56,56 @@ item AS (
   SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
 """
+
+_TURN = "coalesce(role, 'unknown')"
+_BODY = "coalesce(text, '')"
+MAXIMAL_CHATS = f"""
+WITH t AS (SELECT DISTINCT conv_id, turn, {_TURN} AS role, {_BODY} AS text FROM conversations),
+c AS (
+  SELECT conv_id, list({{'role': role, 'text': text}}
+    ORDER BY turn NULLS FIRST, role, sha256(length(role)::VARCHAR || ':' || role || text)) AS turns
+  FROM t GROUP BY conv_id),
+p AS (SELECT DISTINCT turns[1:i] AS turns FROM (SELECT turns, unnest(range(1, len(turns))) AS i FROM c)),
+k AS (
+  SELECT arg_min(conv_id, (length(conv_id::VARCHAR), conv_id::VARCHAR)) AS conv_id, turns, count(*) AS copies
+  FROM c ANTI JOIN p USING (turns) GROUP BY turns),
+s AS (SELECT *, unnest(range(0, (len(turns) + 63) // 64)) AS segment FROM k)
+SELECT conv_id, segment::BIGINT AS segment, len(turns)::BIGINT AS n_turns, copies::BIGINT AS copies,
+  sha256(array_to_string(list_transform(turns[segment * 64 + 1:segment * 64 + 64], lambda x:
+    '<|im_start|>' || replace(x.role, '<|', '< |') || chr(10) || replace(x.text, '<|', '< |')
+    || '<|im_end|>' || chr(10)), '')) AS chat_sha256
+FROM s
+"""
+
+
+def _day(x: str, at: int) -> str:
+    return f"('0x' || substr(md5({x}), {at}, 2))::INT % 30"
+
+
+_HOST = "[A-Za-z][A-Za-z0-9+.-]*://"
+URL_VERDICTS = f"""
+WITH c AS (
+  SELECT page_id, ts,
+    nullif(lower(regexp_extract(url, '^{_HOST}(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') AS host,
+    lower(regexp_extract(url, '^{_HOST}[^/?#]*/([^/?#]*)', 1)) AS seg
+  FROM pages LEFT JOIN events ON event_id = page_id),
+h AS (SELECT DISTINCT host, array_to_string(string_split(host, '.')[-3:], '.') AS d FROM c WHERE host IS NOT NULL),
+e AS (
+  SELECT DISTINCT d AS rule, 'block' AS action, {_day('d', 1)} AS day FROM h
+  UNION ALL SELECT DISTINCT d, 'allow', {_day('d', 3)} FROM h
+  UNION ALL SELECT DISTINCT d || '/de', 'block', {_day('d', 7)} FROM h
+  UNION ALL SELECT host, 'allow', {_day('host', 1)} FROM h WHERE {_day('host', 5)} % 2 = 0
+  UNION ALL SELECT host, 'block', {_day('host', 3)} FROM h WHERE {_day('host', 5)} % 2 = 0),
+l AS (SELECT rule, max(action) AS action, TIMESTAMP '2024-01-01 00:00:00' + day * INTERVAL 1 DAY AS since
+  FROM e GROUP BY rule, day),
+r AS (
+  SELECT page_id, ts, n, k,
+    array_to_string(string_split(host, '.')[n:], '.') || CASE WHEN k = 0 THEN '/' || seg ELSE '' END AS rule
+  FROM (SELECT *, unnest(range(1, len(string_split(host, '.')) + 1)) AS n FROM c WHERE host IS NOT NULL), (VALUES (0), (1)) v(k)
+  WHERE k = 1 OR seg <> ''),
+a AS (
+  SELECT page_id, r.rule, l.action, row_number() OVER (PARTITION BY page_id ORDER BY k, n, l.since DESC) AS i
+  FROM r JOIN l ON l.rule = r.rule AND l.since <= r.ts)
+SELECT c.page_id, c.host, coalesce(a.action, 'allow') AS verdict, a.rule
+FROM c LEFT JOIN a ON a.page_id = c.page_id AND a.i = 1
+"""

@@ -8,6 +8,41 @@ from . import oracle as O
 from .registry import ORACLES, QUERIES, register, table
 
 
+def dated_list(hosts):
+    """A list derived from the pages' own hosts: each domain blocked and allowed
+    again, its ``/de`` pages blocked, half the hosts with entries of their own,
+    on days taken from a digest."""
+    from functools import reduce
+
+    def day(c, at):
+        return F.conv(F.substring(F.md5(F.encode(F.col(c), "UTF-8")), at, 2), 16, 10).cast("int") % 30
+
+    d = hosts.select("d").distinct()
+    own = hosts.filter(day("host", 5) % 2 == 0)
+    parts = [d.select(F.col("d").alias("rule"), F.lit("block").alias("action"), day("d", 1).alias("day")),
+             d.select("d", F.lit("allow"), day("d", 3)),
+             d.select(F.concat("d", F.lit("/de")), F.lit("block"), day("d", 7)),
+             own.select("host", F.lit("allow"), day("host", 1)), own.select("host", F.lit("block"), day("host", 3))]
+    return reduce(lambda a, b: a.union(b), parts).select(
+        "rule", "action", F.timestamp_add("DAY", "day", F.lit("2024-01-01 00:00:00").cast("timestamp")).alias("since"))
+
+
+@register("op5_url_lists", O.URL_VERDICTS)
+def op5_url_lists(spark, sf_dir):
+    """Operator 5: every page, fetched at the time of the event of its number,
+    against a dated list derived from the pages' hosts."""
+    from .url_lists import filter_captures, host_of
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("page_id"), F.col("ts").cast("timestamp").alias("fetched_at"))
+    hosts = (pages.select(host_of(F.col("url")).alias("host")).filter("host is not null").distinct()
+             .withColumn("d", F.substring_index("host", ".", -3)))
+    out, p = filter_captures(pages.join(events, "page_id", "left"), dated_list(hosts))
+    return out.select("page_id", F.col(f"{p}host").alias("host"), F.col(f"{p}verdict").alias("verdict"),
+                      F.col(f"{p}rule").alias("rule"))
+
+
 @register("op6_hilbert_shards")
 def op6_hilbert_shards(spark, sf_dir):
     """Operator 6: all documents into 40 shards along source, language, size and id."""
@@ -50,6 +85,15 @@ def op2_language(spark, sf_dir):
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@register("op3_chat", O.MAXIMAL_CHATS)
+def op3_chat(spark, sf_dir):
+    """Operator 3: all conversations; the digest of each rendered segment."""
+    from .chat import chat_segments
+
+    return chat_segments(table(spark, sf_dir, "conversations")).select(
+        "conv_id", "segment", "n_turns", "copies", F.sha2("chat", 256).alias("chat_sha256"))
+
+
 @register("op4_secrets")
 def op4_secrets(spark, sf_dir):
     """Operator 4 over all documents; tested against a plain statement of the contract."""
