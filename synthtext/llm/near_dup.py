@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
@@ -148,10 +148,9 @@ def _confirm(num: int, den: int):
     return run
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``key`` (doc_id, or a hash of the text where it is null) and ``text``."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("key"),
-                       F.col("text"))
+def row_key() -> Column:
+    """doc_id, or a hash of the text where it is null."""
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = BANDS,
@@ -163,7 +162,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, bands: int = BANDS,
     with probability 2e-5, one at 0.8 with 1e-7.
     """
     ship_package(docs.sparkSession)
-    texts = keyed(docs)
+    texts = docs.select(row_key().alias("key"), "text")
     signed = written(texts.mapInArrow(_signer(bands, rows),
                                       "key bigint, n bigint, fp bigint, bands array<bigint>, "
                                       "sketch array<bigint>"),

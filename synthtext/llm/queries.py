@@ -74,6 +74,19 @@ def op7_near_duplicates(spark, sf_dir):
         (F.col("key") == F.col("component_id")).alias("kept"))
 
 
+@register("op1_sentence_pieces")
+def op1_sentence_pieces(spark, sf_dir):
+    """Operator 1: all documents encoded and decoded again; tested against the
+    SentencePiece library."""
+    from .pieces import decode, encode, load_pieces, same_text
+
+    pieces = load_pieces()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decode(encode(docs, pieces), pieces)
+    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"),
+                      F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), same_text().alias("round_trip"))
+
+
 @register("op2_language")
 def op2_language(spark, sf_dir):
     """Operator 2: learned on the rows that are not held out, predicted for all."""
