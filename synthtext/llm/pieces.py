@@ -1,7 +1,7 @@
 """Operator 1: SentencePiece encoding and decoding over a relational lattice.
 
 Encoding. Spaces become U+2581, one is put before the text, and the text is cut
-into chunks (a run of U+2581 with what follows it; characters that occur in no
+into chunks (U+2581 with the word after it; ASCII characters that occur in no
 longer piece stand alone): no piece crosses a cut, so chunks are encoded
 independently and each distinct chunk once. Its lattice is relational: all
 substrings of 2 to the longest piece's characters are exploded, joined by
@@ -34,11 +34,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,7 +49,7 @@ from ..session import ship_package
 from . import words as W
 
 SPACE = "▁"
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 
 
 @dataclass
@@ -66,15 +68,11 @@ class Pieces:
         return max(map(len, self.ids), default=1)
 
     def chunk_pattern(self) -> str:
-        """Chunks of a text; ASCII characters of no longer piece stand alone.
-        In BPE tables runs of U+2581 are chunks of their own but for the last,
-        which goes to the word that follows."""
+        """Chunks of a word with U+2581 before it; ASCII characters of no longer
+        piece stand alone."""
         inside = {c for p in self.ids if len(p) > 1 for c in p}
         lone = re.escape("".join(chr(c) for c in range(128) if chr(c) not in inside))
-        word = f"[^{SPACE}{lone}]"
-        if self.kind == "bpe":
-            return f"{SPACE}+(?={SPACE}{word})|{SPACE}?{word}+|{SPACE}+|[{lone}]"
-        return f"{SPACE}+{word}*|{word}+|[{lone}]"
+        return f"{SPACE}+[^{SPACE}{lone}]*|[^{SPACE}{lone}]+|[{lone}]"
 
     @cached_property
     def run_sizes(self) -> set[int]:
@@ -185,7 +183,7 @@ def bpe_fold(edges: Column, size: Column) -> Column:
         return F.when(use, F.overlay(ends, F.concat(F.lit("1"), F.repeat(F.lit("0"), n - 1), F.lit("1")), e["start"])
                       ).otherwise(ends)
 
-    return F.aggregate(F.array_sort(edges), F.repeat(F.lit("1"), size + 1), step)
+    return F.aggregate(F.sort_array(edges), F.repeat(F.lit("1"), size + 1), step)
 
 
 def viterbi_fold(edges: Column, size: Column, chunk: Column, single: Column, unknown: float) -> Column:
@@ -238,19 +236,35 @@ def segmentations(chunks: DataFrame, table: Pieces, keys: list[str]) -> DataFram
 
 # -- texts -> blocks -> chunks -> blocks
 
-def _chunks(text: str, pattern: re.Pattern) -> list[str]:
-    return pattern.findall(SPACE + text.replace(" ", SPACE)) if text else []
-
-
-def _asked(texts: list[str], pattern: re.Pattern, buckets: int) -> dict[int, list[str]]:
+def _words(text: str | None, kind: str) -> list[str]:
+    """The words of a text: what stands between spaces (U+2581 counts as one). In
+    BPE tables spaces beyond the first are empty words, spelled as a run; else they
+    are part of the word after them."""
+    if not text:
+        return []
+    words = text.replace(SPACE, " ").split(" ")
+    if kind == "bpe" or "" not in words:
+        return words
+    out, run = [], ""
+    for w in words:
+        if w:
+            out.append(run + w)
+            run = ""
+        else:
+            run += SPACE
+    return [*out, run[1:]] if run else out
+
+
+def _asked(texts: list[str], kind: str, pattern: re.Pattern, buckets: int) -> dict[int, list[str]]:
     """Distinct chunks of two or more characters, sorted, by bucket."""
-    every: set[str] = set()
+    words: set[str] = set()
     for t in texts:
-        every.update(_chunks(t, pattern))
+        words.update(_words(t, kind))
+    chunks = {c for w in words for c in pattern.findall(SPACE + w)}
     out: dict[int, list[str]] = {}
-    for c in sorted(every):
+    for c in sorted(chunks):
         if len(c) > 1:
-            out.setdefault(int.from_bytes(hashlib.blake2b(c.encode(), digest_size=6).digest(), "big") % buckets, []).append(c)
+            out.setdefault(zlib.crc32(c.encode()) % buckets, []).append(c)
     return out
 
 
@@ -288,27 +302,77 @@ def _rows(raw: bytes) -> pa.Table:
     return pa.ipc.open_stream(raw).read_all()
 
 
-def _ask(pattern: str, buckets: int):
+def _ask(kind: str, pattern: str, buckets: int):
+    """(bucket, asks): the block's name, then its chunks of that bucket."""
     p = re.compile(pattern)
 
     def run(batches):
         for batch in batches:
             for name, raw in zip(batch.column("block").to_pylist(), batch.column("rows")):
-                asked = _asked(_rows(raw.as_py())["text"].to_pylist(), p, buckets)
-                yield pa.record_batch([pa.array([name] * len(asked), pa.int64()), pa.array(list(asked), pa.int64()),
-                                       pa.array([" ".join(x) for x in asked.values()], pa.string())],
-                                      names=["block", "bucket", "chunks"])
+                asked = _asked(_rows(raw.as_py())["text"].to_pylist(), kind, p, buckets)
+                yield pa.record_batch([pa.array(list(asked), pa.int64()),
+                                       pa.array([" ".join([str(name), *x]) for x in asked.values()], pa.string())],
+                                      names=["bucket", "asks"])
 
     return run
 
 
-def _answer(asks: pa.Table, known: pa.Table) -> pa.Table:
+def _answer(key, asks: pa.Table, known: pa.Table) -> pa.Table:
     """The cuts of each ask's chunks, in its order ('' where a chunk has no piece
     of two characters)."""
     cut = dict(zip(known["chunk"].to_pylist(), known["cut"].to_pylist()))
-    return pa.table([asks["block"].combine_chunks(), asks["bucket"].combine_chunks(),
-                     pa.array([" ".join([cut.get(c, "") for c in x.split(" ")]) for x in asks["chunks"].to_pylist()],
-                              pa.string())], names=["block", "bucket", "cuts"])
+    blocks, cuts = [], []
+    for ask in asks["asks"].to_pylist():
+        name, *chunks = ask.split(" ")
+        blocks.append(int(name))
+        cuts.append(" ".join([cut.get(c, "") for c in chunks]))
+    return pa.table([pa.array(blocks, pa.int64()), pa.array([key[0].as_py()] * len(blocks), pa.int64()),
+                     pa.array(cuts, pa.string())], names=["block", "bucket", "cuts"])
+
+
+class _Speller:
+    """Ids of the words of a block, given the cuts of its chunks."""
+
+    def __init__(self, table: Pieces, pattern: re.Pattern):
+        self.table, self.pattern, self.bpe = table, pattern, table.kind == "bpe"
+        self.space = table.spell(SPACE)
+        self.chunks: dict[str, list[int]] = {}
+        self.words: dict[str, list[int]] = {}
+
+    def learn(self, chunks: list[str], cuts: str) -> None:
+        for c, cut in zip(chunks, cuts.split(" "), strict=True):
+            own, i = [], 0
+            for n in (ord(x) - 48 for x in cut) if cut else [1] * len(c):
+                own += self.table.spell(c[i : i + n])
+                i += n
+            self.chunks[c] = own
+
+    def word(self, w: str) -> list[int]:
+        own = self.words.get(w)
+        if own is None:
+            own = []
+            for c in self.pattern.findall(SPACE + w):
+                part = self.chunks.get(c)
+                own += part if part is not None else self.table.spell(c)
+            self.words[w] = own
+        return own
+
+    def text(self, words: list[str]) -> list[int]:
+        if not self.bpe or "" not in words:
+            return [i for w in words for i in self.word(w)]
+        out, run = [], 0
+        for w in words:
+            if not w:
+                run += 1
+                continue
+            own = self.word(w)
+            if run:
+                if own[: len(self.space)] == self.space:  # the word left its own U+2581 to the run
+                    run, own = run + 1, own[len(self.space):]
+                out += self.table.spell_run(run)
+                run = 0
+            out += own
+        return out + self.table.spell_run(run) if run else out
 
 
 def _spell(shared, buckets: int, keep: list[str], out: str):
@@ -320,36 +384,13 @@ def _spell(shared, buckets: int, keep: list[str], out: str):
         for raw in blocks["rows"]:
             rows = _rows(raw.as_py())
             texts = rows["text"].to_pylist()
-            ids: dict[str, list[int]] = {}
-            for bucket, chunks in _asked(texts, p, buckets).items():
-                for c, cut in zip(chunks, cuts[bucket].split(" "), strict=True):
-                    own, i = [], 0
-                    for n in (ord(x) - 48 for x in cut) if cut else [1] * len(c):
-                        own += table.spell(c[i : i + n])
-                        i += n
-                    ids[c] = own
-            flat, ends = [], [0]
-            bpe, space = table.kind == "bpe", table.spell(SPACE)
-            for t in texts:
-                run = 0  # U+2581 just before, not yet written
-                for c in _chunks(t, p):
-                    if bpe and c[0] == SPACE == c[-1]:
-                        run = len(c)
-                        continue
-                    own = ids.get(c)
-                    if own is None:
-                        own = ids[c] = table.spell(c)
-                    if run:
-                        if c[0] == SPACE and own[: len(space)] == space:  # the word left its own to the run
-                            run, own = run + 1, own[len(space):]
-                        flat += table.spell_run(run)
-                        run = 0
-                    flat += own
-                if run:
-                    flat += table.spell_run(run)
-                ends.append(len(flat))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
-            done.append(rows.select(keep).append_column(out, lists))
+            speller = _Speller(table, p)
+            for bucket, chunks in _asked(texts, table.kind, p, buckets).items():
+                speller.learn(chunks, cuts[bucket])
+            parts = [np.array(speller.text(_words(t, table.kind)), np.int32) for t in texts]
+            ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+            flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+            done.append(rows.select(keep).append_column(out, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))))
         return pa.concat_tables(done)
 
     return run
@@ -365,13 +406,15 @@ def encode(docs: DataFrame, table: Pieces, out: str = "ids") -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // BLOCK))
     shared = spark.sparkContext.broadcast(table)
-    # rows of about BLOCK bytes; the exchange is read twice, for the asks and for the result
-    blocks = docs.mapInArrow(_pack(), "block bigint, rows binary").repartition("block")
-    asks = blocks.mapInArrow(_ask(table.chunk_pattern(), buckets), "block bigint, bucket bigint, chunks string")
-    asks = asks.repartition("bucket")
-    chunks = asks.select("bucket", F.explode(F.split("chunks", " ")).alias("chunk")).distinct()
-    known = segmentations(chunks, table, ["bucket"])
-    answers = (asks.groupBy("bucket").cogroup(known.withColumnRenamed("bucket", "own").groupBy("own"))
+    # rows of about BLOCK bytes; both exchanges are read twice, so both readers use
+    # the same columns; their partition counts are fixed, as few bytes become many rows
+    parts = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    blocks = docs.mapInArrow(_pack(), "block bigint, rows binary").repartition(parts, "block")
+    asks = (blocks.mapInArrow(_ask(table.kind, table.chunk_pattern(), buckets), "bucket bigint, asks string")
+            .repartition(parts, "bucket"))
+    chunks = asks.select("bucket", F.explode(F.slice(F.split("asks", " "), 2, 1 << 30)).alias("chunk")).distinct()
+    known = segmentations(chunks, table, ["bucket"]).withColumnRenamed("bucket", "own")
+    answers = (asks.groupBy("bucket").cogroup(known.groupBy("own"))
                .applyInArrow(_answer, "block bigint, bucket bigint, cuts string"))
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
@@ -385,15 +428,26 @@ def decode(rows: DataFrame, table: Pieces, ids: str = "ids", out: str = "decoded
 
     def run(batches):
         raw = shared.value
+        size = np.array([len(x) for x in raw])
+        first, letters = np.cumsum(size) - size, np.frombuffer(b"".join(raw), np.uint8)
         for batch in batches:
-            text = []
-            for own in batch.column(ids).to_pylist():
-                if own is None:
-                    text.append(None)
-                    continue
-                s = b"".join([raw[i] for i in own]).decode("utf-8", "replace")
-                text.append(s[1:] if s.startswith(" ") else s)
-            yield batch.append_column(out, pa.array(text, pa.string()))
+            col = batch.column(ids)
+            count = np.nan_to_num(col.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+            flat = col.flatten().to_numpy(zero_copy_only=False)
+            ends, text = np.concatenate([[0], np.cumsum(count)]), []
+            for i, j in W.runs(ends, 1 << 17):
+                own = flat[ends[i] : ends[j]]
+                n = size[own]
+                at = np.cumsum(n) - n
+                buf = letters[np.repeat(first[own] - at, n) + np.arange(int(n.sum()))].tobytes()
+                cut = np.append(at, len(buf))[ends[i : j + 1] - ends[i]]
+                for a, b in zip(cut, cut[1:]):
+                    s = buf[a:b].decode("utf-8", "replace")
+                    text.append(s[1:] if s.startswith(" ") else s)
+            found = pa.array(text, pa.string())
+            if col.null_count:
+                found = pc.if_else(col.is_null(), pa.scalar(None, pa.string()), found)
+            yield batch.append_column(out, found)
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(out, T.StringType())]))
 
