@@ -56,10 +56,12 @@ class Generation:
 
 @dataclass(frozen=True)
 class Logging:
-    """Cadence of logged samples and metric events."""
+    """Cadence of progress and logged samples (F3, W1, W2); metric events are
+    written for every batch."""
 
     log_interval: int = 100
     log_samples: int = 10
+    token_diversity: bool = True
 
 
 @dataclass(frozen=True)
@@ -70,8 +72,8 @@ class Output:
 
 @dataclass(frozen=True)
 class RunConfig:
-    model_name: str = "echo"
-    backend: str = "echo"
+    model_name: str = "model"
+    backend: str | None = None  # name of a registered backend
     generation: Generation = field(default_factory=Generation)
     post_processing: PostProcessing = field(default_factory=PostProcessing)
     logging: Logging = field(default_factory=Logging)

@@ -45,7 +45,7 @@ def count_tokens(col: Column | str, tokenizer: Callable[[Column], Column] = toke
     return F.size(tokenizer(col)).cast("long")
 
 
-_WORKER_TOKENIZERS: dict[int, Callable[[str], list[int]]] = {}
+_WORKER_TOKENIZERS: dict[str, Callable[[str], list[int]]] = {}
 
 
 def udf_tokenizer(factory: Callable[[], Callable[[str], list[int]]]) -> Callable[[Column], Column]:
@@ -54,7 +54,9 @@ def udf_tokenizer(factory: Callable[[], Callable[[str], list[int]]]) -> Callable
     Returns a Column function producing ``ARRAY<INT>`` token ids through an
     Arrow-batched pandas UDF (never a row-at-a-time UDF).
     """
-    key = id(factory)
+    from synthtext.operators.backends import factory_digest
+
+    key = factory_digest(factory)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def _encode(texts: pd.Series) -> pd.Series:

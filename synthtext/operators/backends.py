@@ -13,14 +13,18 @@ Protocol::
             '''One list of ``params["n"]`` texts per prompt, in prompt order.'''
         # optional
         def stream(self, prompts, params, seeds=None):
-            '''Yields (index, seq, text_so_far, finished) chunks.'''
+            '''Yields (index, sequence, seq, text_so_far, finished) chunks:
+            prompt, which of its texts, and the chunk's number.'''
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import cloudpickle
+
 _FACTORIES: dict[str, Callable[..., object]] = {}
 _INSTANCES: dict[tuple, object] = {}
 
@@ -34,100 +38,41 @@ def backend_names() -> list[str]:
     return sorted(_FACTORIES)
 
 
+def factory_digest(factory: Callable[..., object]) -> str:
+    """Digest of a pickled factory: what a worker may key a built object on."""
+    return hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
+
+
 @dataclass(frozen=True)
 class BackendSpec:
     """What a task needs to build a backend: name, options and the factory.
 
-    The factory is resolved from the registry on the driver and pickled into
-    the task closure, so backends registered in the driver process work on
-    executors too; the backend itself is built on the worker."""
+    The factory is pickled into the task closure, so backends registered in the
+    driver process work on executors too; the backend itself is built on the
+    worker. ``digest`` tells factories of one name apart."""
 
     name: str
-    options: tuple = ()
-    factory: Callable[..., object] | None = None
+    options: tuple
+    factory: Callable[..., object]
+    digest: str
 
     @staticmethod
     def of(name: str, **options) -> "BackendSpec":
+        """A registered backend."""
         factory = _FACTORIES.get(name)
         if factory is None:
             raise KeyError(f"unknown backend {name!r}; registered: {backend_names()}")
-        return BackendSpec(name, tuple(sorted(options.items())), factory)
+        return BackendSpec.from_factory(name, factory, **options)
+
+    @staticmethod
+    def from_factory(name: str, factory: Callable[..., object], **options) -> "BackendSpec":
+        return BackendSpec(name, tuple(sorted(options.items())), factory, factory_digest(factory))
 
 
 def get_backend(spec: BackendSpec):
     """Lazily build (once per Python worker) and return the backend."""
-    key = (spec.name, spec.options)
+    key = (spec.name, spec.options, spec.digest)
     inst = _INSTANCES.get(key)
     if inst is None:
-        factory = spec.factory or _FACTORIES.get(spec.name)
-        if factory is None:
-            raise KeyError(f"unknown backend {spec.name!r}; registered: {backend_names()}")
-        inst = _INSTANCES[key] = factory(**dict(spec.options))
+        inst = _INSTANCES[key] = spec.factory(**dict(spec.options))
     return inst
-
-
-class EchoBackend:
-    """Deterministic test double: formats each prompt with a template.
-
-    ``template`` may use ``{prompt}`` and ``{index}`` (the sequence index).
-    ``stream`` emits the text word by word as cumulative chunks, the last one
-    marked finished. Not a model: it exists so pipelines can be tested and
-    measured without one.
-    """
-
-    name = "echo"
-
-    def __init__(self, template: str = "{prompt}"):
-        self.template = template
-
-    def _texts(self, prompt: str, n: int) -> list[str]:
-        return [self.template.format(prompt=prompt, index=i) for i in range(n)]
-
-    def generate(self, prompts: list[str], params: dict, seeds=None) -> list[list[str]]:
-        n = int(params.get("n", 1) or 1)
-        return [self._texts(p, n) for p in prompts]
-
-    def stream(self, prompts: list[str], params: dict, seeds=None) -> Iterator[tuple[int, int, str, bool]]:
-        for i, p in enumerate(prompts):
-            text = self._texts(p, 1)[0]
-            words = text.split(" ")
-            for j in range(len(words)):
-                yield i, j, " ".join(words[: j + 1]), j == len(words) - 1
-
-
-class BatchOnlyEchoBackend(EchoBackend):
-    """Test double without ``stream``: exercises the batch fallback (ST3)."""
-
-    stream = None  # type: ignore[assignment]
-
-
-def _transformers_backend(model: str, **kw):  # pragma: no cover - optional dependency
-    """Hugging Face causal LM, when ``transformers`` is installed on the workers."""
-    try:
-        from transformers import pipeline
-    except ImportError as e:
-        raise ImportError("the 'transformers' backend needs the transformers package") from e
-    pipe = pipeline("text-generation", model=model, **kw)
-
-    class _HF:
-        name = "transformers"
-
-        def generate(self, prompts, params, seeds=None):
-            n = int(params.get("n", 1) or 1)
-            outs = pipe(
-                prompts,
-                max_length=params.get("max_tokens"),
-                do_sample=not params.get("use_beam_search", False),
-                temperature=params.get("temperature"),
-                top_p=params.get("top_p"),
-                top_k=params.get("top_k"),
-                num_return_sequences=n,
-            )
-            return [[o["generated_text"] for o in out] for out in outs]
-
-    return _HF()
-
-
-register_backend("echo", EchoBackend)
-register_backend("echo_batch_only", BatchOnlyEchoBackend)
-register_backend("transformers", _transformers_backend)

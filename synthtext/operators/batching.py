@@ -4,16 +4,18 @@ The reference cuts a positional list into contiguous slices. On Spark the
 position is a dense ordinal over a sort key, computed without a global
 ``row_number()`` (which would pull every row through one task):
 
-1. range-partition on the key (plus a row hash as tie-breaker, so one hot key
-   value is still spread over several partitions) and sort inside partitions;
-2. tag rows with their partition id and in-partition index;
-3. count rows per partition - a table with one row per partition - and
-   prefix-sum it;
-4. broadcast that table (its size is the partition count, which the caller
-   fixes) and add the offset to the in-partition index.
-
-The range shuffle has a fixed partition count, so adaptive execution does not
-coalesce it and both uses read the same partitions; the exchange is reused.
+1. bounds: the rows with the smallest hashes (a fixed number for each bucket)
+   are a sample; every so-many-th of their sorted keys is a bound. The choice
+   depends on the rows only, so every evaluation gives the same bounds;
+2. a row's bucket is a column expression over the bounds (a scalar subquery),
+   with a hash of the row as last part of the key, so one hot key value is still
+   spread over several buckets;
+3. rows are counted per bucket and the counts summed (at most ``MAX_BUCKETS``
+   rows, so that table is broadcast); the ordinal is the count before the bucket
+   plus the rank inside it.
+
+No step runs a job while the plan is built, and nothing relies on two parts of
+the plan sharing an exchange.
 """
 
 from __future__ import annotations
@@ -25,84 +27,89 @@ from pyspark.sql import functions as F
 
 from synthtext.session import checkpoint_root
 
-_PID = "__pid"
-_MID = "__mid"
-_LOW33 = (1 << 33) - 1
+#: sampled rows for each bucket, and the most buckets (bounds are searched in two steps)
+SAMPLE = 32
+MAX_BUCKETS = 2048
+_STEP = 32
 
 
-def _cols(cols: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
+def default_buckets(df: DataFrame) -> int:
+    """Buckets of an ordinal pass: four for each shuffle partition, so sorted
+    pieces stay well below a task's memory; up to ``MAX_BUCKETS``."""
+    return min(MAX_BUCKETS, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def default_range_partitions(df: DataFrame) -> int:
-    """Range partitions for an ordinal pass: the larger of the shuffle-partition
-    setting and the input's split count, so partitions stay near the input
-    split size (``spark.sql.files.maxPartitionBytes``) however large the input
-    is. The offsets table broadcast later has one 16-byte row per partition."""
-    conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(conf, df.rdd.getNumPartitions())
+def _bounds(df: DataFrame, key: Column, buckets: int) -> Column:
+    """One struct: the sorted bounds ``b`` and every ``_STEP``-th of them, ``c``."""
+    pick = F.xxhash64(F.lit(7), key)
+    sample = df.select(pick.alias("p"), key.alias("k")).orderBy("p", "k").limit(SAMPLE * buckets)
+    every = sample.agg(F.array_sort(F.collect_list("k")).alias("s"))
+    n = F.size("s")
+    b = F.when(n < 2, F.slice("s", 1, 0)).otherwise(F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(buckets), n) - 1),
+        lambda i: F.element_at("s", (i * n / F.least(F.lit(buckets), n)).cast("int") + 1)))
+    b = F.when(F.lit(buckets) < 2, F.slice("s", 1, 0)).otherwise(b)
+    every = every.select(b.alias("b"))
+    c = F.filter("b", lambda x, i: i % _STEP == 0)
+    return every.select(F.struct(F.col("b"), c.alias("c"))).scalar()
+
+
+def _bucket(bounds: Column, key: Column) -> Column:
+    """Number of bounds not above the key: first among every ``_STEP``-th, then
+    in the step they lead to."""
+    coarse = F.size(F.filter(bounds["c"], lambda x: x <= key))
+    fine = F.size(F.filter(F.slice(bounds["b"], F.greatest(coarse - 1, F.lit(0)) * _STEP + 1, _STEP), lambda x: x <= key))
+    return F.greatest(coarse - 1, F.lit(0)) * _STEP + fine
 
 
 def with_ordinal(
     df: DataFrame,
-    order_by: Sequence[str | Column],
+    order_by: Sequence[str],
     name: str = "ordinal",
     num_partitions: int | None = None,
     total_col: str | None = None,
     checkpoint: bool = False,
     unique_keys: bool = False,
 ) -> DataFrame:
-    """B1 building block: dense 0-based ``name`` in ``order_by`` order.
+    """B1 building block: dense 0-based ``name`` in ``order_by`` order (nulls first).
 
-    The range shuffle samples its whole input in a separate pass, so wide
-    rows would be read twice. With ``unique_keys=True`` (the ``order_by``
-    columns identify a row) the ordinals are computed on a key-only
-    projection - a column-pruned scan - and joined back on the keys: the wide
-    rows are read once and shuffled once. Rows of one batch are then no
-    longer co-located; keep the default where the next stage works per batch
-    (generation).
+    With ``unique_keys=True`` (the ``order_by`` columns identify a row) the
+    ordinals are computed on a key-only projection - a column-pruned scan - and
+    joined back on the keys, so wide rows are read and shuffled once.
 
     ``order_by`` should be unique for a reproducible order; ties get distinct,
-    dense ordinals in an unspecified order. ``num_partitions`` defaults to
-    ``default_range_partitions``. ``total_col`` also attaches the row
-    count. ``checkpoint=True`` writes the tagged rows to the shared checkpoint
-    folder first (for inputs that are not deterministic to re-read).
+    dense ordinals ordered by a hash of the row. ``num_partitions`` is the number
+    of buckets (``default_buckets``). ``total_col`` also attaches the row count.
+    ``checkpoint=True`` writes the rows to the shared checkpoint folder first,
+    for inputs that read differently each time.
     """
-    spark = df.sparkSession
-    if unique_keys and all(isinstance(c, str) for c in order_by) and len(df.columns) > len(order_by):
+    if unique_keys and len(df.columns) > len(order_by):
         keys = list(order_by)
         narrow = with_ordinal(df.select(*keys), keys, name, num_partitions, total_col, checkpoint)
         return df.join(narrow, keys)
-    n = int(num_partitions or default_range_partitions(df))
-    keys = _cols(order_by) + [F.xxhash64(*[F.col(c) for c in df.columns])]
-    ranged = df.repartitionByRange(n, *keys)
-    tagged = ranged.sortWithinPartitions(*keys).withColumn(
-        _PID, F.spark_partition_id()
-    ).withColumn(_MID, F.monotonically_increasing_id())
     if checkpoint:
-        checkpoint_root(spark)
-        tagged = tagged.checkpoint(eager=True)
-        counted = tagged
-    else:
-        # Counting needs no order: read the same (reused) range exchange unsorted.
-        counted = ranged.select(F.spark_partition_id().alias(_PID))
-    counts = counted.groupBy(_PID).agg(F.count(F.lit(1)).alias("__cnt"))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        _PID,
+        checkpoint_root(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    buckets = max(1, min(MAX_BUCKETS, int(num_partitions or default_buckets(df))))
+    key = F.struct(*order_by, F.xxhash64(*[F.col(c) for c in df.columns]).alias("__row"))
+    placed = df.withColumn("__key", key).withColumn("__bounds", _bounds(df, key, buckets)).withColumn(
+        "__bucket", _bucket(F.col("__bounds"), F.col("__key"))).drop("__bounds")
+    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__cnt")).select(
+        "__bucket",
         F.coalesce(F.sum("__cnt").over(before), F.lit(0)).cast("long").alias("__off"),
         F.sum("__cnt").over(Window.partitionBy()).cast("long").alias("__total"),
     )
-    out = tagged.join(F.broadcast(offsets), _PID).withColumn(
-        name, F.col("__off") + F.col(_MID).bitwiseAND(F.lit(_LOW33))
-    )
+    rank = F.row_number().over(Window.partitionBy("__bucket").orderBy("__key"))
+    out = placed.withColumn("__rank", rank).join(F.broadcast(offsets), "__bucket").withColumn(
+        name, F.col("__off") + F.col("__rank") - 1)
     if total_col:
         out = out.withColumnRenamed("__total", total_col)
-    return out.drop(_PID, _MID, "__off", "__total")
+    return out.drop("__key", "__bucket", "__rank", "__off", "__total")
 
 
 def assign_batches(
-    df: DataFrame, batch_size: int, order_by: Sequence[str | Column],
+    df: DataFrame, batch_size: int, order_by: Sequence[str],
     num_partitions: int | None = None, total_col: str | None = None, unique_keys: bool = False,
 ) -> DataFrame:
     """B1: contiguous batches of ``batch_size`` rows in ``order_by`` order.
@@ -119,7 +126,7 @@ def assign_batches(
 
 
 def assign_shards(
-    df: DataFrame, num_shards: int, order_by: Sequence[str | Column],
+    df: DataFrame, num_shards: int, order_by: Sequence[str],
     num_partitions: int | None = None,
 ) -> DataFrame:
     """B2: ``per = n DIV k``; shard = ``least(ordinal DIV per, k-1)``; with
@@ -141,6 +148,7 @@ def partition_by_shard(df: DataFrame, num_shards: int) -> DataFrame:
 
 
 def with_row_seed(df: DataFrame, seed: int, id_col: str, name: str = "seed") -> DataFrame:
-    """Per-row seed from (run seed, row id): independent of partitioning and
-    identical when a task is retried."""
-    return df.withColumn(name, F.xxhash64(F.lit(int(seed)), F.col(id_col)))
+    """Per-row seed (60 bits of an MD5 digest) from (run seed, row id):
+    independent of partitioning and identical when a task is retried."""
+    digest = F.md5(F.concat(F.lit(f"{int(seed)}:"), F.col(id_col).cast("string")))
+    return df.withColumn(name, F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"))

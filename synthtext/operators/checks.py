@@ -346,13 +346,28 @@ def with_record_errors(df: DataFrame, v_col: str, out: str = "errors") -> DataFr
     return d.drop(*[f"__err_{s}" for s in SECTION_CHECKS])
 
 
+INVALID_JSON, NOT_A_RECORD = "invalid JSON", "not a record"
+
+
+def _parsed(col: str) -> Column:
+    """The VARIANT of a JSON text, null where it is not JSON; a text above the
+    size that a VARIANT holds raises, as it may well be valid."""
+    v = F.try_parse_json(F.col(col))
+    return F.when(v.isNull() & (F.octet_length(col) > F.lit(128 << 20)), F.raise_error(
+        F.lit("a JSON record of more than 128 MiB does not fit a VARIANT"))).otherwise(v)
+
+
 def check_records(df: DataFrame, json_col: str = "config_json", out: str = "errors") -> DataFrame:
     """V6 + V8 over a table of JSON run records: unparsable text is reported
-    under ``syntax``; otherwise section -> messages."""
-    d = df.withColumn("__v", F.try_parse_json(F.col(json_col)))
+    under ``syntax``, a value that is no object under ``loading``; otherwise
+    section -> messages."""
+    d = df.withColumn("__v", _parsed(json_col))
     d = with_record_errors(d, "__v", "__errs")
-    syntax = F.create_map(F.lit("syntax"), F.array(F.lit("invalid JSON")))
-    d = d.withColumn(out, F.when(F.col("__v").isNull(), syntax).otherwise(F.col("__errs")))
+    v = F.col("__v")
+    syntax = F.create_map(F.lit("syntax"), F.array(F.lit(INVALID_JSON)))
+    loading = F.create_map(F.lit("loading"), F.array(F.lit(NOT_A_RECORD)))
+    flat = ~F.schema_of_variant(v).startswith("OBJECT")
+    d = d.withColumn(out, F.when(v.isNull(), syntax).when(flat, loading).otherwise(F.col("__errs")))
     return d.drop("__v", "__errs")
 
 
@@ -381,7 +396,7 @@ def check_files(spark: SparkSession, root: str, suffix: str = ".json", lines: bo
     # The first folder names the section; a Hive-style "name=value" folder
     # (as written by partitionBy) names it by its value.
     section = F.when(F.size(parts) > 1, F.regexp_replace(F.element_at(parts, 1), "^[^=]*=", ""))
-    d = files.withColumn("section", section).withColumn("__v", F.try_parse_json(F.col("value")))
+    d = files.withColumn("section", section).withColumn("__v", _parsed("value"))
     for name in SECTION_CHECKS:
         d = with_section_errors(d, "__v", name, f"__err_{name}", path=doc_path, missing_message=False,
                                 only_when=F.col("section") == name)
@@ -389,12 +404,14 @@ def check_files(spark: SparkSession, root: str, suffix: str = ".json", lines: bo
     for name in SECTION_CHECKS:
         errs = F.when(F.col("section") == name, F.col(f"__err_{name}")).otherwise(errs)
     v = F.col("__v")
+    # what parses but is no record cannot be loaded as one
+    flat = v.isNotNull() & ~F.schema_of_variant(F.try_variant_get(v, doc_path, "variant")).startswith("OBJECT")
     return d.select(
         "file_path",
         "value",
         "section",
-        F.when(v.isNull(), F.lit("syntax")).otherwise(F.lit("validation")).alias("kind"),
-        F.when(v.isNull(), F.array(F.lit("invalid JSON")))
+        F.when(v.isNull(), F.lit("syntax")).when(flat, F.lit("loading")).otherwise(F.lit("validation")).alias("kind"),
+        F.when(v.isNull(), F.array(F.lit(INVALID_JSON))).when(flat, F.array(F.lit(NOT_A_RECORD)))
         .otherwise(F.coalesce(errs, F.array().cast("array<string>")))
         .alias("errors"),
     )
@@ -441,13 +458,14 @@ def all_valid(checked: DataFrame, errors_col: str = "errors") -> bool:
 
 
 def check_config_files(spark: SparkSession, root: str) -> bool:
-    """V9 over a folder; a folder that does not exist is not valid."""
-    from py4j.protocol import Py4JJavaError
-
+    """V9 over a folder; a folder that does not exist is not valid. Other
+    failures (a lost executor, say) are raised."""
     from pyspark.errors import AnalysisException
 
     try:
         checked = check_files(spark, root)
-        return all_valid(checked)
-    except (AnalysisException, Py4JJavaError):
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return all_valid(checked)

@@ -1,9 +1,10 @@
 """Batch inference through a user backend.
 
 One ``mapInPandas`` stage: Arrow ships each partition's rows to a Python
-worker, the backend is built once per worker, and rows are cut into calls of
-at most ``batch_size`` prompts that never cross a ``batch_id`` boundary (a
-batch that straddles two partitions becomes two calls whose times add up).
+worker, the backend is built once per worker, and rows are cut into calls. Rows
+are laid out by ``batch_id``, and a batch that arrives in several Arrow frames is
+joined again, so a call holds exactly the rows of one batch (without
+``batch_id``: ``batch_size`` rows, fewer only at a partition's end).
 Every row carries its share of the call time (``gen_seconds``), so per-batch
 timing is a plain aggregate of the written output.
 """
@@ -11,7 +12,7 @@ timing is a plain aggregate of the written output.
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,45 +42,53 @@ def request_params(gen: Generation) -> dict:
     }
 
 
-def _chunks(batch_ids, n_rows: int, batch_size: int) -> Iterator[tuple[int, int]]:
-    start = 0
-    while start < n_rows:
-        end = min(start + batch_size, n_rows)
-        if batch_ids is not None:
-            b = batch_ids[start]
-            stop = start + 1
-            while stop < end and batch_ids[stop] == b:
-                stop += 1
-            end = stop
-        yield start, end
-        start = end
-
-
-def _generate_fn(spec, params, batch_size, prompt_col, out_col, batch_col, seed_col, many):
+def _whole_batches(frames, batch_size: int, batch_col: str | None) -> Iterator:
+    """The rows of a partition, one frame for each call of the backend. What an
+    Arrow frame leaves unfinished waits for the next one."""
+    import pandas as pd
+
+    held, rows = [], 0
+    for pdf in frames:
+        if not len(pdf):
+            continue
+        if batch_col:
+            cut = [0, *(pdf[batch_col].ne(pdf[batch_col].shift()).to_numpy().nonzero()[0][1:]), len(pdf)]
+            parts = [pdf.iloc[a:b] for a, b in zip(cut, cut[1:])]
+        else:
+            parts = [pdf]
+        for part in parts:
+            if batch_col and held and held[-1][batch_col].iloc[-1] != part[batch_col].iloc[0]:
+                yield pd.concat(held)
+                held, rows = [], 0
+            while len(part):
+                take = part.iloc[: batch_size - rows]
+                held.append(take)
+                rows += len(take)
+                part = part.iloc[len(take):]
+                if rows == batch_size:
+                    yield pd.concat(held)
+                    held, rows = [], 0
+    if held:
+        yield pd.concat(held)
+
+
+def _generate_fn(spec, params, batch_size, prompt_col, out_col, batch_col, seed_col, many, clock=time.perf_counter):
     def run(frames):
-        import numpy as np
-
         backend = get_backend(spec)
-        for pdf in frames:
+        for pdf in _whole_batches(frames, batch_size, batch_col):
             n = len(pdf)
-            if n == 0:
-                continue
             prompts = pdf[prompt_col].tolist()
-            bids = pdf[batch_col].to_numpy() if batch_col else None
             seeds = pdf[seed_col].tolist() if seed_col else None
             texts: list = [None] * n
-            secs = np.zeros(n, dtype="float64")
-            for s, e in _chunks(bids, n, batch_size):
-                t0 = time.perf_counter()
-                out = backend.generate(prompts[s:e], params, seeds[s:e] if seeds else None)
-                dt = time.perf_counter() - t0
-                # Texts align with prompts by position; missing ones stay null.
-                for i, seqs in zip(range(s, e), out):
-                    texts[i] = list(seqs) if many else (seqs[0] if seqs else None)
-                secs[s:e] = dt / (e - s)
-            pdf = pdf.copy()
+            t0 = clock()
+            out = backend.generate(prompts, params, seeds)
+            dt = clock() - t0
+            # Texts align with prompts by position; missing ones stay null.
+            for i, seqs in zip(range(n), out):
+                texts[i] = list(seqs) if many else (seqs[0] if seqs else None)
+            pdf = pdf.reset_index(drop=True)
             pdf[out_col] = texts
-            pdf[GEN_SECONDS] = secs
+            pdf[GEN_SECONDS] = dt / n
             yield pdf
 
     return run
@@ -93,6 +102,7 @@ def generate(
     out_col: str = "generated_text",
     batch_col: str | None = "batch_id",
     seed_col: str | None = None,
+    clock: Callable[[], float] = time.perf_counter,
 ) -> DataFrame:
     """U1 (and U3 when ``num_return_sequences > 1``): one text per prompt
     (``ARRAY<STRING>`` of k texts for k > 1) plus ``gen_seconds``.
@@ -111,10 +121,13 @@ def generate(
     )
     src = df.drop(out_col, GEN_SECONDS) if out_col in df.columns else df
     if batch_col:
-        order = ["ordinal"] if "ordinal" in src.columns else [batch_col]
-        src = src.sortWithinPartitions(*order)
+        # a batch lies in one partition; the fixed count keeps the stage parallel
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        order = [batch_col, "ordinal"] if "ordinal" in src.columns else [batch_col]
+        src = src.repartition(n, batch_col).sortWithinPartitions(*order)
     fn = _generate_fn(
-        backend, request_params(gen), int(gen.batch_size), prompt_col, out_col, batch_col, seed_col, many
+        backend, request_params(gen), int(gen.batch_size), prompt_col, out_col, batch_col, seed_col, many,
+        clock,
     )
     ship_package(df.sparkSession)
     return src.mapInPandas(fn, schema)

@@ -160,6 +160,14 @@ def running_metrics(
     )
 
 
+RATIOS = ("tokens_per_second", "samples_per_second", "tokens_per_sample", "seconds_per_sample")
+
+
+def name_spaced(df: DataFrame, prefix: str, cols: Sequence[str]) -> DataFrame:
+    """``cols`` renamed to ``prefix/col``, the names metrics are logged under."""
+    return df.withColumnsRenamed({c: f"{prefix}/{c}" for c in cols})
+
+
 def generation_report(totals: DataFrame, batch_size: int | Column, group_cols: Sequence[str] = ()) -> DataFrame:
     """M7: report row of throughput/*, generation/* and time/* values over M4 output."""
     bs = batch_size if isinstance(batch_size, Column) else F.lit(int(batch_size))

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from synthtext.config import RunConfig
 from synthtext.operators.backends import BackendSpec
-from synthtext.operators.generate import generate
+from synthtext.operators.generate import explode_sequences, generate
 from synthtext.operators.postprocess import post_process_stage
 from synthtext.plans.job import RunOutputs, run_batch_job
 from synthtext.sources.prompts import load_prompts
@@ -26,7 +26,14 @@ class TextGenerator:
     def __init__(self, spark: SparkSession, cfg: RunConfig, backend: BackendSpec | None = None):
         self.spark = spark
         self.cfg = cfg
-        self.backend = backend or BackendSpec.of(cfg.backend)
+        self._backend = backend
+
+    @property
+    def backend(self) -> BackendSpec:
+        """The given backend, or the registered one that the configuration names."""
+        if self._backend is None and self.cfg.backend is None:
+            raise ValueError("give a backend, or the name of a registered one as cfg.backend")
+        return self._backend or BackendSpec.of(self.cfg.backend)
 
     def load_prompts(self) -> DataFrame:
         """Prompts from the configured file, or synthetic ones, templated."""
@@ -34,8 +41,11 @@ class TextGenerator:
 
     def generate_batch(self, prompts: DataFrame) -> DataFrame:
         """Texts for a prompt DataFrame (``prompt`` column), post-processed
-        when enabled; lazy - write it once before computing on it."""
+        when enabled, a row for each of several texts (``seq_index``); lazy -
+        write it once before computing on it."""
         out = generate(prompts, self.backend, self.cfg.generation, batch_col="batch_id")
+        if self.cfg.generation.num_return_sequences > 1:
+            out = explode_sequences(out)
         return post_process_stage(out, "generated_text", self.cfg.post_processing)
 
     def generate(self, prompts: DataFrame | None = None, run_id: str | None = None) -> RunOutputs:
@@ -51,8 +61,7 @@ class TextGenerator:
         """Chunks of a streaming prompt DataFrame (``prompt_id``, ``prompt``);
         finished chunks post-processed; ``callback(batch_df, epoch)`` per
         micro-batch after it is written."""
-        spread = 2 * self.spark.sparkContext.defaultParallelism
-        chunks = finalize_responses(generate_stream(prompts, self.backend, self.cfg.generation, spread_to=spread),
+        chunks = finalize_responses(generate_stream(prompts, self.backend, self.cfg.generation),
                                     self.cfg.post_processing)
         return start_stream(chunks, self.cfg.output.dir, checkpoint, run_id, callback=callback,
                             available_now=available_now)

@@ -486,3 +486,45 @@ def q_rule_checks(spark, d):
     return recs.select(
         "event_id", *[F.array_join(f"{sec}_e", "; ").alias(f"{sec}_errors") for sec in V.SECTION_CHECKS]
     )
+
+
+_REQUIRED = {"model": {"name": "", "model_type": ""}, "generation": {"temperature": 0, "vllm": {"swap_space": 0}}, "logging": ""}
+
+
+def _required_sql():
+    """V1 over the schema above, stated path by path."""
+    cases = []
+    for path in ("model", "model.name", "model.model_type", "generation", "generation.temperature", "generation.vllm",
+                 "generation.vllm.swap_space", "logging"):
+        head, _, key = path.rpartition(".")
+        parents = [".".join(head.split(".")[:i + 1]) for i in range(len(head.split(".")))] if head else []
+        below = " AND ".join([_isobj("$." + x) for x in parents] + [f"NOT {_has('$.' + path)}"])
+        cases.append(f"CASE WHEN {below} THEN '{head + '.' if head else ''}Missing required field: {key}' END")
+    return _list(*cases)
+
+
+@register(
+    "q_rule_required",
+    f"WITH r AS ({RECORDS_SQL}), j AS (SELECT event_id, record_json::JSON AS j FROM r) "
+    f"SELECT event_id, array_to_string({_required_sql()}, '; ') AS missing FROM j",
+)
+def q_rule_required(spark, d):
+    """V1: required fields, also below present objects."""
+    recs = records(spark, d).withColumn("v", F.try_parse_json("record_json"))
+    return recs.select("event_id", F.array_join(V.required_errors(F.col("v"), _REQUIRED), "; ").alias("missing"))
+
+
+@register(
+    "q_rule_malformed",
+    "SELECT CASE event_id % 3 WHEN 0 THEN 'syntax' ELSE 'loading' END AS section, "
+    "CASE event_id % 3 WHEN 0 THEN 'invalid JSON' ELSE 'not a record' END AS message, count(*)::BIGINT AS n "
+    "FROM events GROUP BY ALL",
+)
+def q_rule_malformed(spark, d):
+    """V8: records cut off, arrays and bare texts in place of records."""
+    r = F.col("record_json")
+    bad = (F.when(F.col("event_id") % 3 == 0, F.substring(r, 1, 5)).when(F.col("event_id") % 3 == 1, F.concat(
+        F.lit("["), r, F.lit("]"))).otherwise(F.lit('"text"')))
+    checked = V.check_records(records(spark, d).withColumn("record_json", bad), "record_json")
+    rep = V.error_report(checked, ("event_id",))
+    return rep.groupBy(F.col("kind").alias("section"), "message").agg(F.count(F.lit(1)).alias("n"))

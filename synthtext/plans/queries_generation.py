@@ -1,8 +1,9 @@
-"""Generation through the deterministic test backend, batch and streaming
-(U1-U3, B3, P3, ST1-ST5, S10, F4).
+"""Generation through deterministic stand-ins, batch and streaming (U1-U5, B3,
+B4, P3, ST1-ST5, S10, F4, K4-K8).
 
-The echo test double stands in for a model: its output is a fixed function of
-the prompt, so the oracle can state it in SQL.
+The echo doubles stand for a model: their output is a fixed function of the
+prompt and seed, so the oracle can state it in SQL. Every query runs over all
+conversation turns.
 """
 
 from __future__ import annotations
@@ -10,39 +11,37 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from synthtext.config import Generation
+from synthtext.config import Generation, Output, PostProcessing, RunConfig
 from synthtext.functions.tokens import count_tokens, tokenize_clean
 from synthtext.operators import batching as B
-from synthtext.operators.backends import BackendSpec
-from synthtext.operators.generate import explode_sequences, generate
+from synthtext.operators.backends import register_backend
+from synthtext.operators.generate import attach_outputs, explode_sequences, generate, timing_table
+from synthtext.operators.metrics import run_totals
 from synthtext.operators.postprocess import apply_post_processing
 from synthtext.operators.prompts import apply_template, build_output_record
 from synthtext.plans import oracle as O
+from synthtext.plans.doubles import EchoBackend, batch_only_echo, echo
+from synthtext.plans.generator import TextGenerator
+from synthtext.plans.job import run_batch_job
 from synthtext.plans.queries_text import FULL
-from synthtext.plans.registry import register, table
+from synthtext.plans.registry import r6, register, table
 from synthtext.session import scratch_path
 from synthtext.sources.prompts import read_prompts_stream
 from synthtext.streaming.generate import finalize_responses, finished_only, generate_stream, start_stream
 
-ECHO = BackendSpec.of("echo", template="Answer: {prompt}")
-
-
-def _spread(spark):
-    """Partitions per micro-batch before the model."""
-    return 2 * spark.sparkContext.defaultParallelism
+ECHO = echo("Answer: {prompt}")
 GEN = Generation(prompt_template="Q: {prompt}", batch_size=16)
+_ID = "conv_id * 1000 + turn"
+_ORD = f"(row_number() OVER (ORDER BY {_ID}) - 1)"
 
 
-def _user_prompts(spark, d):
-    conv = table(spark, d, "conversations").where(F.col("role") == "user")
-    return conv.select(
-        "conv_id", "turn", (F.col("conv_id") * 1000 + F.col("turn")).alias("prompt_id"),
-        F.col("text").alias("prompt"),
-    )
+def _prompts(spark, d):
+    conv = table(spark, d, "conversations")
+    return conv.select("conv_id", "turn", F.expr(_ID).alias("prompt_id"), F.col("text").alias("prompt"))
 
 
 def _output_record_oracle():
-    src = "(SELECT conv_id, turn, 'Q: ' || text AS prompt, 'Answer: Q: ' || text AS text FROM conversations WHERE role = 'user')"
+    src = "(SELECT conv_id, turn, 'Q: ' || text AS prompt, 'Answer: Q: ' || text AS text FROM conversations)"
     ctes, last = O.post_process_ctes(src, "conv_id, turn, prompt", 2048, True, True)
     return (
         f"WITH {ctes}\nSELECT conv_id, turn, prompt, t AS generated_text, 'echo' AS model, "
@@ -53,7 +52,7 @@ def _output_record_oracle():
 
 @register("q_output_record", _output_record_oracle())
 def q_output_record(spark, d):
-    prompts = apply_template(_user_prompts(spark, d), GEN.prompt_template)
+    prompts = apply_template(_prompts(spark, d), GEN.prompt_template)
     batched = B.assign_batches(prompts, GEN.batch_size, ["prompt_id"])
     gen = generate(batched, ECHO, GEN)
     processed = apply_post_processing(gen, "generated_text", FULL)
@@ -65,15 +64,83 @@ def q_output_record(spark, d):
 @register(
     "q_multi_sequence",
     "SELECT conv_id, turn, unnest(range(3))::INTEGER AS seq_index, "
-    "text || ' #' || unnest(range(3))::VARCHAR AS generated_text FROM conversations WHERE role = 'user'",
+    "text || ' #' || unnest(range(3))::VARCHAR AS generated_text FROM conversations",
 )
 def q_multi_sequence(spark, d):
     gen = Generation(num_return_sequences=3)
-    backend = BackendSpec.of("echo", template="{prompt} #{index}")
-    out = generate(_user_prompts(spark, d), backend, gen, batch_col=None)
+    out = generate(_prompts(spark, d), echo("{prompt} #{index}"), gen, batch_col=None)
     return explode_sequences(out).select("conv_id", "turn", "seq_index", "generated_text")
 
 
+@register(
+    "q_attach_outputs",
+    f"SELECT {_ID} AS prompt_id, text AS prompt, CASE WHEN turn % 2 = 0 THEN 'Answer: ' || text END AS generated_text "
+    "FROM conversations",
+)
+def q_attach_outputs(spark, d):
+    """B3, join form: outputs of the even turns only, in a table of their own."""
+    prompts = _prompts(spark, d)
+    outputs = generate(prompts.where("turn % 2 = 0"), ECHO, batch_col=None).select("prompt_id", "generated_text")
+    return attach_outputs(prompts.select("prompt_id", "prompt"), outputs)
+
+
+_SEED = f"('0x' || substr(md5('42:' || ({_ID})::VARCHAR), 1, 15))::BIGINT"
+
+
+@register(
+    "q_row_seeds",
+    f"SELECT {_ID} AS prompt_id, {_SEED} AS seed, 'seed ' || ({_SEED})::VARCHAR AS generated_text FROM conversations",
+)
+def q_row_seeds(spark, d):
+    """The seed of every row, as the backend gets it."""
+    seeded = B.with_row_seed(_prompts(spark, d), 42, "prompt_id")
+    return generate(seeded, echo("seed {seed}"), batch_col=None, seed_col="seed").select(
+        "prompt_id", "seed", "generated_text")
+
+
+class TickClock:
+    """A clock that moves half a second with each reading."""
+
+    def __init__(self):
+        self.now = 0.0
+
+    def __call__(self) -> float:
+        self.now += 0.5
+        return self.now
+
+
+_TICK_SQL = (
+    f"WITH o AS (SELECT {_ORD} // 16 AS batch_id, len({O.tokens_raw(chr(39) + 'Answer: ' + chr(39) + ' || text')}) AS n "
+    "FROM conversations) "
+)
+
+
+@register(
+    "q_batch_seconds",
+    _TICK_SQL + "SELECT batch_id::BIGINT AS batch_id, 0.5::DOUBLE AS seconds, sum(n)::BIGINT AS num_tokens, "
+    "count(*)::BIGINT AS num_samples FROM o GROUP BY batch_id",
+)
+def q_batch_seconds(spark, d):
+    """A call a batch, half a second each by the injected clock."""
+    batched = B.assign_batches(_prompts(spark, d), 16, ["prompt_id"])
+    out = timing_table(generate(batched, ECHO, GEN, clock=TickClock()))
+    return out.select("batch_id", r6("seconds").alias("seconds"), "num_tokens", "num_samples")
+
+
+@register(
+    "q_timed_totals",
+    _TICK_SQL + "SELECT sum(n)::BIGINT AS total_tokens, count(*)::BIGINT AS total_samples, "
+    "0.5 * count(DISTINCT batch_id)::DOUBLE AS total_time, "
+    "round(sum(n) / (0.5 * count(DISTINCT batch_id)), 6) AS tokens_per_second FROM o",
+)
+def q_timed_totals(spark, d):
+    """U5 + M3/M4: totals and throughput of the same run."""
+    batched = B.assign_batches(_prompts(spark, d), 16, ["prompt_id"])
+    t = run_totals(timing_table(generate(batched, ECHO, GEN, clock=TickClock())))
+    return t.select("total_tokens", "total_samples", r6("total_time").alias("total_time"),
+                    r6("tokens_per_second").alias("tokens_per_second"))
+
+
 # --------------------------------------------------------------------------
 # Streaming: conversations as a file stream, drained with availableNow
 # --------------------------------------------------------------------------
@@ -83,23 +150,28 @@ _CONV_SCHEMA = T.StructType([
 ])
 
 
-def _run_stream(spark, d, build):
+def _stream(spark, d, build, callback=None):
     prompts = read_prompts_stream(spark, d, "parquet", _CONV_SCHEMA, glob="conversations.parquet")
     out = scratch_path(spark, "stream")
-    q = start_stream(build(prompts), out, f"{out}/_checkpoint", "stream")
+    q = start_stream(build(prompts), out, f"{out}/_checkpoint", "stream", callback=callback)
     q.awaitTermination()
-    return spark.read.parquet(f"{out}/records/run_id=stream")
+    return out
+
+
+def _run_stream(spark, d, build):
+    return spark.read.parquet(f"{_stream(spark, d, build)}/records/run_id=stream")
 
 
 @register(
     "q_stream_prompts",
-    "SELECT text AS prompt, 'Answer: ' || text AS text, true AS finished FROM conversations WHERE text IS NOT NULL",
+    "SELECT text AS prompt, unnest(range(2))::BIGINT AS seq_index, text || ' #' || unnest(range(2))::VARCHAR AS text, "
+    "true AS finished FROM conversations WHERE text IS NOT NULL",
 )
 def q_stream_prompts(spark, d):
-    """S10 -> ST3 (a backend without streaming: one finished chunk per prompt)."""
-    batch_only = BackendSpec.of("echo_batch_only", template="Answer: {prompt}")
-    res = _run_stream(spark, d, lambda p: generate_stream(p, batch_only, spread_to=_spread(spark)))
-    return res.select("prompt", "text", "finished")
+    """S10 -> ST3 (a backend without streaming: a finished chunk for each text)."""
+    gen = Generation(num_return_sequences=2)
+    res = _run_stream(spark, d, lambda p: generate_stream(p, batch_only_echo("{prompt} #{index}"), gen))
+    return res.select("prompt", "seq_index", "text", "finished")
 
 
 def _stream_finalize_oracle():
@@ -110,46 +182,80 @@ def _stream_finalize_oracle():
 
 @register("q_stream_finalize", _stream_finalize_oracle())
 def q_stream_finalize(spark, d):
-    """S10 -> ST1 (word-by-word chunks) -> ST2 -> F4 -> sink (ST4/ST5)."""
+    """S10 -> ST1 (word-by-word chunks, the unfinished dropped at once) -> ST2 -> F4 -> sink."""
     res = _run_stream(
-        spark, d, lambda p: finished_only(finalize_responses(generate_stream(p, ECHO, spread_to=_spread(spark)), FULL))
-    )
+        spark, d, lambda p: finished_only(finalize_responses(generate_stream(p, ECHO, only_finished=True), FULL)))
     return res.select("prompt", "text")
 
 
 @register(
     "q_stream_chunks",
-    "WITH w AS (SELECT text, string_split('Answer: ' || text, ' ') AS words FROM conversations "
-    "WHERE text IS NOT NULL) SELECT count(*)::BIGINT AS chunks, count(DISTINCT text)::BIGINT AS prompts "
-    "FROM (SELECT text, unnest(words) FROM w)",
+    "SELECT text AS prompt, 1::BIGINT AS n_finished, true AS growing, true AS prefixes FROM conversations "
+    "WHERE text IS NOT NULL",
 )
 def q_stream_chunks(spark, d):
-    """ST1 + ST2: every chunk is written (intermediate ones raw)."""
-    res = _run_stream(spark, d, lambda p: finalize_responses(generate_stream(p, ECHO, spread_to=_spread(spark)), FULL))
-    return res.agg(
-        F.count(F.lit(1)).cast("long").alias("chunks"),
-        F.countDistinct("prompt").cast("long").alias("prompts"),
-    )
+    """ST1 + ST2: every chunk is written; of each request one is finished, the
+    others are ever longer raw prefixes of the whole answer."""
+    res = _run_stream(spark, d, lambda p: finalize_responses(generate_stream(p, ECHO), FULL))
+    whole = F.concat(F.lit("Answer: "), F.col("prompt"))
+    early = F.when(~F.col("finished"), F.col("text"))
+    parts = F.array_sort(F.collect_list(F.when(~F.col("finished"), F.struct("seq", F.length("text").alias("n")))))
+    return res.groupBy("request_id", "prompt").agg(
+        F.count_if("finished").alias("n_finished"),
+        F.coalesce(F.bool_and(whole.startswith(early)), F.lit(True)).alias("prefixes"), parts.alias("parts"),
+    ).select("prompt", "n_finished", F.forall(
+        F.sequence(F.lit(1), F.greatest(F.size("parts"), F.lit(1))),
+        lambda i: (i < 2) | (F.get("parts", i - 1)["n"] > F.get("parts", i - 2)["n"])).alias("growing"), "prefixes")
+
+
+@register(
+    "q_stream_callback",
+    "SELECT text AS prompt, 'Answer: ' || text AS text FROM conversations WHERE text IS NOT NULL",
+)
+def q_stream_callback(spark, d):
+    """ST4: what the callback of each micro-batch is handed."""
+    seen = scratch_path(spark, "seen")
+
+    def callback(batch, epoch):
+        batch.select("prompt", "text").write.mode("overwrite").parquet(f"{seen}/epoch={epoch}")
+
+    _stream(spark, d, lambda p: generate_stream(p, ECHO, only_finished=True), callback)
+    return spark.read.parquet(seen).select("prompt", "text")
+
+
+@register(
+    "q_stream_metrics",
+    "WITH t AS (SELECT count(*) AS n, sum(len(" + O.tokens_raw("'Answer: ' || text") + ")) AS k FROM conversations "
+    "WHERE text IS NOT NULL) SELECT k::DOUBLE AS num_tokens, n::DOUBLE AS num_samples, k::DOUBLE AS total_tokens, "
+    "n::DOUBLE AS total_samples, round(k / n, 6) AS tokens_per_sample FROM t",
+)
+def q_stream_metrics(spark, d):
+    """ST5 + M5: events of the micro-batches of a streaming backend (sums of the
+    epochs' own values, last totals)."""
+    out = _stream(spark, d, lambda p: generate_stream(p, ECHO))
+    ev = spark.read.parquet(f"{out}/metric_events/run_id=stream")
+    names = ["num_tokens", "num_samples"]
+    last = ["total_tokens", "total_samples", "throughput/tokens_per_sample"]
+    own = ev.groupBy().pivot("name", names).sum("value")
+    end = ev.groupBy().pivot("name", last).agg(F.max_by("value", "epoch"))
+    return own.crossJoin(end).select(  # one row each
+        *names, "total_tokens", "total_samples", r6(F.col("`throughput/tokens_per_sample`")).alias("tokens_per_sample"))
 
 
 # --------------------------------------------------------------------------
-# The batch job end to end (K5, K7, K8 and the written records)
+# The batch job end to end
 # --------------------------------------------------------------------------
-def _job(spark, d):
-    from synthtext.config import Output, RunConfig
-    from synthtext.plans.job import run_batch_job
-
-    prompts = _user_prompts(spark, d).select("prompt_id", "prompt")
-    out = scratch_path(spark, "job")
-    cfg = RunConfig(model_name="echo", generation=GEN, post_processing=FULL, output=Output(dir=out, format="parquet"))
-    return run_batch_job(spark, prompts, cfg, ECHO, run_id="q")
+def _job(spark, d, fmt="parquet", pp=FULL, gen=GEN, backend=ECHO):
+    prompts = apply_template(_prompts(spark, d).select("prompt_id", "prompt"), gen.prompt_template)
+    cfg = RunConfig(model_name="echo", generation=gen, post_processing=pp,
+                    output=Output(dir=scratch_path(spark, "job"), format=fmt))
+    return run_batch_job(spark, prompts, cfg, backend, run_id="q")
 
 
 def _job_oracle_ctes():
     src = (
-        "(SELECT conv_id * 1000 + turn AS prompt_id, "
-        "(row_number() OVER (ORDER BY conv_id * 1000 + turn) - 1) AS ordinal, "
-        "'Q: ' || text AS prompt, 'Answer: Q: ' || text AS text FROM conversations WHERE role = 'user')"
+        f"(SELECT {_ID} AS prompt_id, {_ORD} AS ordinal, "
+        "'Q: ' || text AS prompt, 'Answer: Q: ' || text AS text FROM conversations)"
     )
     return O.post_process_ctes(src, "prompt_id, ordinal, prompt", 2048, True, True)
 
@@ -164,25 +270,67 @@ def _job_records_oracle():
 
 @register("q_batch_job", _job_records_oracle())
 def q_batch_job(spark, d):
-    """P1 -> B1 -> B4 -> U1 -> F5/X6 -> T4 -> P3 -> K3, read back from the written table."""
-    paths = _job(spark, d)
+    """P1 -> B1 -> B4 -> U1 -> F5/X6 -> T4 -> P3 -> K3 (K4: any case), read back from the written table."""
+    paths = _job(spark, d, "Parquet")
     rec = spark.read.parquet(paths.records)
     return rec.select("prompt_id", "batch_id", "prompt", "generated_text", "num_tokens", "model")
 
 
+@register(
+    "q_job_multi_sequence",
+    f"SELECT {_ID} AS prompt_id, unnest(range(3))::INTEGER AS seq_index, 'Q: ' || text AS prompt, "
+    "'Q: ' || text || ' #' || unnest(range(3))::VARCHAR AS generated_text FROM conversations",
+)
+def q_job_multi_sequence(spark, d):
+    """U3 in the job: a record for each of three texts a prompt, over CSV (K2)."""
+    gen = Generation(prompt_template="Q: {prompt}", batch_size=16, num_return_sequences=3)
+    paths = _job(spark, d, "CSV", PostProcessing(enabled=False), gen, echo("{prompt} #{index}"))
+    from synthtext.sinks.records import read_records
+
+    schema = T._parse_datatype_string("prompt_id bigint, seq_index int, prompt string, generated_text string")
+    return read_records(spark, paths.records, "csv", schema)
+
+
 @register(
     "q_job_totals",
     "WITH " + _job_oracle_ctes()[0] + f"\nSELECT sum(len({O.tokens_clean('t')}))::BIGINT AS total_tokens, "
-    f"count(*)::BIGINT AS total_samples FROM {_job_oracle_ctes()[1]}",
+    f"count(*)::BIGINT AS total_samples, round(sum(len({O.tokens_clean('t')})) / count(*), 6) AS tokens_per_sample "
+    f"FROM {_job_oracle_ctes()[1]}",
 )
 def q_job_totals(spark, d):
-    """K5: the run's metrics snapshot (its deterministic fields)."""
+    """K5: the run's metrics snapshot (its deterministic fields, one under its name space)."""
     paths = _job(spark, d)
     return spark.read.json(paths.metrics).select(
-        F.col("total_tokens").cast("long"), F.col("total_samples").cast("long")
+        F.col("total_tokens").cast("long"), F.col("total_samples").cast("long"),
+        r6(F.col("`throughput/tokens_per_sample`")).alias("tokens_per_sample"))
+
+
+def _events_oracle():
+    ctes, last = _job_oracle_ctes()
+    names = ("unique_tokens", "total_tokens", "unique_ratio", "entropy")
+    per = " UNION ALL ".join(f"SELECT batch_id, 'diversity/{n}' AS name, {n}::DOUBLE AS value FROM x" for n in names)
+    return (
+        f"WITH {ctes},\nb AS (SELECT ordinal // 16 AS batch_id, {O.tokens_clean('t')} AS tok FROM {last}), "
+        "c AS (SELECT batch_id, sum(sum(len(tok))) OVER w AS k, sum(count(*)) OVER w AS n FROM b GROUP BY batch_id "
+        "WINDOW w AS (ORDER BY batch_id)), "
+        "h AS (SELECT batch_id, tok, count(*) AS c FROM (SELECT batch_id, unnest(tok) AS tok FROM b) GROUP BY ALL), "
+        f"x AS ({O.diversity_select('h', 'batch_id')}), "
+        "e AS (SELECT batch_id, 'total_tokens' AS name, k::DOUBLE AS value FROM c UNION ALL "
+        "SELECT batch_id, 'total_samples', n::DOUBLE FROM c UNION ALL "
+        f"SELECT batch_id, 'throughput/tokens_per_sample', k / n FROM c UNION ALL {per}) "
+        "SELECT batch_id::BIGINT AS batch_id, name, round(value, 6) AS value FROM e"
     )
 
 
+@register("q_job_events", _events_oracle())
+def q_job_events(spark, d):
+    """K6: the metric events of every batch - running totals (M5) and diversity
+    (M6) - but for those that hold clock times."""
+    ev = spark.read.parquet(_job(spark, d).events)
+    timed = ["total_time", "throughput/tokens_per_second", "throughput/samples_per_second", "throughput/seconds_per_sample"]
+    return ev.where(~F.col("name").isin(timed)).select("batch_id", "name", r6("value").alias("value"))
+
+
 @register(
     "q_job_samples",
     "WITH " + _job_oracle_ctes()[0] + f"\nSELECT (ordinal // 16)::BIGINT AS batch_id, (ordinal % 16)::BIGINT "
@@ -196,39 +344,48 @@ def q_job_samples(spark, d):
 
 
 @register(
-    "q_stream_metrics",
-    "SELECT sum(n)::DOUBLE AS num_tokens, count(*)::DOUBLE AS num_samples FROM (SELECT len("
-    + O.tokens_raw("'Answer: ' || text") + ") AS n FROM conversations WHERE text IS NOT NULL)",
+    "q_job_config",
+    "SELECT 16::BIGINT AS batch_size, 'Q: {prompt}' AS prompt_template, count(*)::BIGINT AS records FROM conversations",
 )
-def q_stream_metrics(spark, d):
-    """ST5: per-micro-batch metric events appended by the stream, summed."""
-    batch_only = BackendSpec.of("echo_batch_only", template="Answer: {prompt}")
-    prompts = read_prompts_stream(spark, d, "parquet", _CONV_SCHEMA, glob="conversations.parquet")
-    out = scratch_path(spark, "stream")
-    start_stream(generate_stream(prompts, batch_only), out, f"{out}/_checkpoint", "m").awaitTermination()
-    ev = spark.read.parquet(f"{out}/metric_events").where(F.col("name") != "seconds")
-    return ev.groupBy().pivot("name", ["num_tokens", "num_samples"]).sum("value")
+def q_job_config(spark, d):
+    """K8: the configuration kept with a run, beside the number of its records."""
+    paths = _job(spark, d)
+    conf, n = spark.read.parquet(paths.config), spark.read.parquet(paths.records).select(F.count(F.lit(1))).scalar()
+    return conf.select(
+        F.get_json_object("config_json", "$.generation.batch_size").cast("bigint").alias("batch_size"),
+        F.get_json_object("config_json", "$.generation.prompt_template").alias("prompt_template"), n.alias("records"))
 
 
 def _job_raw_oracle():
     return (
-        "SELECT conv_id * 1000 + turn AS prompt_id, ((row_number() OVER (ORDER BY conv_id * 1000 + turn) - 1) "
-        "// 16)::BIGINT AS batch_id, 'Answer: Q: ' || text AS generated_text, "
-        f"len({O.tokens_raw(chr(39) + 'Answer: Q: ' + chr(39) + ' || text')})::BIGINT AS num_tokens "
-        "FROM conversations WHERE role = 'user'"
+        f"SELECT {_ID} AS prompt_id, ({_ORD} // 16)::BIGINT AS batch_id, 'Answer: Q: ' || text AS generated_text, "
+        f"len({O.tokens_raw(chr(39) + 'Answer: Q: ' + chr(39) + ' || text')})::BIGINT AS num_tokens FROM conversations"
     )
 
 
 @register("q_batch_job_raw", _job_raw_oracle())
 def q_batch_job_raw(spark, d):
     """F5 off: the job writes raw generations; tokens are counted on raw text."""
-    from synthtext.config import Output, PostProcessing, RunConfig
-    from synthtext.plans.job import run_batch_job
-
-    prompts = _user_prompts(spark, d).select("prompt_id", "prompt")
-    out = scratch_path(spark, "job")
-    cfg = RunConfig(model_name="echo", generation=GEN, post_processing=PostProcessing(enabled=False),
-                    output=Output(dir=out, format="jsonl"))
-    paths = run_batch_job(spark, prompts, cfg, ECHO, run_id="raw")
+    paths = _job(spark, d, "JSONL", PostProcessing(enabled=False))
     rec = spark.read.schema("prompt_id long, batch_id long, generated_text string, num_tokens long").json(paths.records)
     return rec.select("prompt_id", "batch_id", "generated_text", "num_tokens")
+
+
+@register(
+    "q_generator_run",
+    "SELECT 'Q: ' || text AS prompt, 'Answer: Q: ' || text AS generated_text, true AS templated FROM conversations "
+    "UNION ALL SELECT text, 'Answer: ' || text, false FROM conversations",
+)
+def q_generator_run(spark, d):
+    """The generator surface with a registered backend (U4): prompts loaded from a
+    file are templated once, given prompts not at all."""
+    register_backend("echo-answer", EchoBackend)
+    from synthtext.operators.backends import BackendSpec
+
+    cfg = RunConfig(model_name="echo", post_processing=PostProcessing(enabled=False), generation=Generation(
+        prompt_template="Q: {prompt}", prompt_file=f"{d.rstrip('/')}/conversations.parquet"),
+        output=Output(dir=scratch_path(spark, "job"), format="parquet"))
+    g = TextGenerator(spark, cfg, BackendSpec.of("echo-answer", template="Answer: {prompt}"))
+    loaded, given = g.generate(run_id="loaded"), g.generate(_prompts(spark, d).select("prompt_id", "prompt"), "given")
+    one = lambda p, t: spark.read.parquet(p.records).select("prompt", "generated_text", F.lit(t).alias("templated"))
+    return one(loaded, True).union(one(given, False))

@@ -24,13 +24,13 @@ BOS = "In"
 @register(
     "q_prompt_template",
     "WITH p AS (SELECT conv_id, turn, regexp_replace(text, '^" + O.WS[:-1] + "+|" + O.WS
-    + "$', '', 'g') AS prompt FROM conversations WHERE role = 'user'), "
+    + "$', '', 'g') AS prompt FROM conversations), "
     "t AS (SELECT conv_id, turn, prompt || ' [END] {done}' AS prompt FROM p WHERE length(prompt) > 0) "
     f"SELECT conv_id, turn, CASE WHEN starts_with(prompt, '{BOS}') THEN prompt "
     f"ELSE '{BOS}' || prompt END AS prompt FROM t",
 )
 def q_prompt_template(spark, d):
-    conv = table(spark, d, "conversations").where(F.col("role") == "user")
+    conv = table(spark, d, "conversations")
     p = conv.select("conv_id", "turn", X.ustrip("text").alias("prompt")).where(F.length("prompt") > 0)
     return prepend_bos(apply_template(p, TEMPLATE), BOS)
 
@@ -125,14 +125,33 @@ def q_pad_batch(spark, d):
     )
 
 
+@register(
+    "q_pad_batch_left",
+    "WITH o AS (SELECT conv_id, turn, (row_number() OVER (ORDER BY conv_id, turn) - 1) // "
+    f"{PAD_BATCH} AS batch_id, ({O.tokens_raw('text')})[-{MAX_TOKENS}:] AS tok FROM conversations), "
+    "w AS (SELECT *, max(len(tok)) OVER (PARTITION BY batch_id) AS width FROM o) "
+    "SELECT conv_id, turn, "
+    "array_to_string(list_concat(list_transform(range(width - len(tok)), lambda x: '<pad>'), tok), ' ') AS ids, "
+    "repeat('0', (width - len(tok))::BIGINT) || repeat('1', len(tok)::BIGINT) AS mask FROM w",
+)
+def q_pad_batch_left(spark, d):
+    """T2 and T3 on the left side."""
+    conv = table(spark, d, "conversations").select("conv_id", "turn", "text")
+    b = B.assign_batches(conv, PAD_BATCH, ["conv_id", "turn"], unique_keys=True)
+    b = b.withColumn("tok", truncate_tokens(tokenize("text"), MAX_TOKENS, "left"))
+    p = pad_batch(b, "tok", "<pad>", side="left")
+    return p.select("conv_id", "turn", F.array_join("input_ids", " ").alias("ids"),
+                    F.array_join(F.col("attention_mask").cast("array<string>"), "").alias("mask"))
+
+
 @register(
     "q_token_stream",
-    "WITH t AS (SELECT conv_id, turn, " + O.tokens_raw("text") + " AS tok FROM conversations "
-    "WHERE role = 'user') SELECT conv_id, turn, (generate_subscripts(tok, 1) - 1)::BIGINT AS position, "
+    "WITH t AS (SELECT conv_id, turn, " + O.tokens_raw("text") + " AS tok FROM conversations) "
+    "SELECT conv_id, turn, (generate_subscripts(tok, 1) - 1)::BIGINT AS position, "
     "unnest(tok) AS token FROM t",
 )
 def q_token_stream(spark, d):
-    conv = table(spark, d, "conversations").where(F.col("role") == "user")
+    conv = table(spark, d, "conversations")
     t = conv.select("conv_id", "turn", tokenize("text").alias("tok"))
     return token_stream(t, "tok", keep=("conv_id", "turn")).withColumn(
         "position", F.col("position").cast("long")

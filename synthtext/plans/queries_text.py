@@ -16,6 +16,8 @@ from synthtext.session import spread
 
 # Post-processing defaults of the reference configuration (X6 inputs).
 FULL = PostProcessing(max_length=2048, complete_sentences=True, deduplicate=True)
+# The same over whole texts: metrics count every token.
+WHOLE = PostProcessing(max_length=None, complete_sentences=True, deduplicate=True)
 
 
 # --------------------------------------------------------------------------
@@ -96,7 +98,7 @@ def q_token_histogram(spark, d):
 
 
 def _diversity_by_lang_oracle():
-    ctes, last = O.post_process_ctes("documents", "doc_id, lang", 2048, True, True)
+    ctes, last = O.post_process_ctes("documents", "doc_id, lang", None, True, True)
     return (
         f"WITH {ctes},\n"
         f"h AS (SELECT lang, tok, count(*) AS c FROM "
@@ -109,7 +111,7 @@ def _diversity_by_lang_oracle():
 def q_token_diversity_by_lang(spark, d):
     """Flagship: X6 over whole documents, then M2 per language."""
     df = spread(table(spark, d, "documents").select("doc_id", "lang", "text"))
-    processed = apply_post_processing(df, "text", FULL)
+    processed = apply_post_processing(df, "text", WHOLE)
     div = M.token_diversity(processed, text_col="text", group_cols=["lang"], tokenizer=tokenize_clean)
     return div.select(
         "lang", "unique_tokens", "total_tokens", r6("unique_ratio").alias("unique_ratio"),
@@ -165,7 +167,7 @@ def q_shards(spark, d):
 def _batch_diversity_oracle():
     ctes, last = O.post_process_ctes(
         "(SELECT doc_id, text, (row_number() OVER (ORDER BY doc_id) - 1) // 16 AS batch_id FROM documents)",
-        "doc_id, batch_id", 2048, True, True,
+        "doc_id, batch_id", None, True, True,
     )
     return (
         f"WITH {ctes},\n"
@@ -183,7 +185,7 @@ def q_token_diversity_by_batch(spark, d):
     # X6 is row-local and batches depend on doc_id only: post-process first,
     # then join the key-only ordinals, so no raw text is shuffled or re-read.
     df = spread(table(spark, d, "documents").select("doc_id", "text"))
-    processed = apply_post_processing(df, "text", FULL)
+    processed = apply_post_processing(df, "text", WHOLE)
     batched = B.assign_batches(processed, BATCH, ["doc_id"], unique_keys=True)
     div = M.token_diversity(batched, text_col="text", group_cols=["batch_id"], tokenizer=tokenize_clean)
     return div.select(

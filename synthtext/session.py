@@ -38,8 +38,8 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # Rows per Arrow batch into the Python stages: bounds worker memory
-        # when texts are long (the generation stage re-chunks to batch_size).
+        # Rows per Arrow batch into the Python stages: bounds worker memory when
+        # texts are long (the generation stage joins them to whole batches).
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -88,22 +88,26 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return path
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` partitions (default:
-    twice the default parallelism) when its scan yields fewer.
+#: Inputs above this estimated size have splits enough for any cluster.
+SPREAD_BYTES = 1 << 30
+#: Bytes of input for each partition of a spread input.
+SPREAD_SPLIT = 1 << 20
 
-    CPU-heavy row stages (regular expressions over whole texts, model calls)
-    run once per row; an input with few splits (one Parquet row group, one
-    JSON document) would run them in a handful of tasks. On a large input the
-    scan already has many partitions and this is a no-op, so no shuffle is
-    added where it is not needed. The decision uses the planned partition
-    count only (no job is run).
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a small ``df`` (up to ``SPREAD_BYTES``) over partitions of
+    about ``SPREAD_SPLIT`` bytes.
+
+    CPU-heavy row stages (regular expressions over whole texts, model calls) run
+    once per row; a small file that cannot be split (one Parquet row group, one
+    JSON document) would run them in a handful of tasks. The decision reads the
+    plan's size estimate: no job is run, and a large input gets no shuffle
+    whatever the number of cores.
     """
-    sc = df.sparkSession.sparkContext
-    target = int(min_partitions or 2 * sc.defaultParallelism)
-    if df.rdd.getNumPartitions() >= target:
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size > SPREAD_BYTES:
         return df
-    return df.repartition(target)
+    return df.repartition(max(1, -(-size // SPREAD_SPLIT)))
 
 
 _SHIPPED: set[str] = set()

@@ -30,18 +30,24 @@ def records_path(out_dir: str, run_id: str) -> str:
     return f"{out_dir.rstrip('/')}/records/run_id={run_id}"
 
 
+#: stands for null in CSV files: every value is quoted, so "" is an empty text
+CSV_NULL = "\u0001null\u0001"
+
+
 def write_records(df: DataFrame, path: str, fmt: str = "jsonl", mode: str = "append") -> None:
-    """K1-K3: append records as JSON lines (null fields kept), CSV (header,
-    nested ``parameters`` as JSON text) or Parquet."""
+    """K1-K3: records as JSON lines (null fields kept), CSV (header, nested
+    ``parameters`` as JSON text, white space, line ends and empty texts kept) or
+    Parquet."""
     f = check_format(fmt)
     if f == "jsonl":
         df.write.mode(mode).option("ignoreNullFields", False).json(path)
     elif f == "csv":
-        flat = df.select(
-            *[F.to_json(F.col(c.name)).alias(c.name) if isinstance(c.dataType, (T.StructType, T.ArrayType, T.MapType))
-              else F.col(c.name) for c in df.schema.fields]
-        )
-        flat.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+        nested = (T.StructType, T.ArrayType, T.MapType)
+        flat = df.select(*[
+            F.coalesce(F.to_json(c.name, {"ignoreNullFields": "false"}) if isinstance(c.dataType, nested)
+                       else F.col(c.name).cast("string"), F.lit(CSV_NULL)).alias(c.name) for c in df.schema.fields])
+        flat.write.mode(mode).options(header=True, escape='"', quoteAll=True, emptyValue="", ignoreLeadingWhiteSpace=False,
+                                      ignoreTrailingWhiteSpace=False).csv(path)
     else:
         df.write.mode(mode).parquet(path)
 
@@ -56,7 +62,8 @@ def read_records(spark: SparkSession, path: str, fmt: str, schema: T.StructType
         return r.json(path)
     if f == "parquet":
         return spark.read.parquet(path)
-    df = spark.read.csv(path, header=True, multiLine=True, escape='"')
+    df = spark.read.csv(path, header=True, multiLine=True, escape='"', nullValue=CSV_NULL, emptyValue="",
+                        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if schema is None:
         return df
     cols = []
@@ -74,14 +81,15 @@ def write_metrics_snapshot(metrics: DataFrame, path: str) -> None:
     metrics.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def append_metric_events(events: DataFrame, path: str) -> None:
-    """K6: long ``(run_id, batch_id, name, value)`` metric events."""
-    events.write.mode("append").parquet(path)
+def write_metric_events(events: DataFrame, path: str) -> None:
+    """K6: long ``(batch_id, name, value)`` metric events of one run, replacing
+    those of an earlier try."""
+    events.write.mode("overwrite").parquet(path)
 
 
-def append_samples(samples: DataFrame, path: str) -> None:
-    """K7: logged sample rows."""
-    samples.write.mode("append").parquet(path)
+def write_samples(samples: DataFrame, path: str) -> None:
+    """K7: logged sample rows of one run."""
+    samples.write.mode("overwrite").parquet(path)
 
 
 def run_config_frame(spark: SparkSession, run_id: str, config: dict) -> DataFrame:
@@ -90,4 +98,4 @@ def run_config_frame(spark: SparkSession, run_id: str, config: dict) -> DataFram
 
 
 def write_run_config(spark: SparkSession, run_id: str, config: dict, path: str) -> None:
-    run_config_frame(spark, run_id, config).write.mode("append").parquet(path)
+    run_config_frame(spark, run_id, config).drop("run_id").write.mode("overwrite").parquet(path)

@@ -4,8 +4,12 @@
 ``monotonically_increasing_id`` right after the scan, so it is unique, stable
 when a task is re-run over the same split, and increasing in line order within
 a file. Null prompts (empty CSV cells, JSON objects without ``prompt``) never
-become the text "nan": they are dropped in ``permissive`` mode (see
-``prompt_rejects``) and raise in ``failfast`` mode.
+become the text "nan".
+
+Items that give no prompt are rejects: ``failfast`` mode raises on the first,
+``permissive`` mode leaves them out of the prompts, and ``read_prompts_checked``
+returns them too, as ``(file, position, item, reason)``. A JSON value above the
+size that a VARIANT holds raises in either mode rather than counting as invalid.
 """
 
 from __future__ import annotations
@@ -29,18 +33,38 @@ TOPICS = ["space travel", "time travel", "dragons", "robots", "magic"]
 STORY_PREFIX = "Write a short story about "
 
 
-def _finish(df: DataFrame, prompt: Column, mode: str, what: str) -> DataFrame:
-    if mode == "failfast":
-        prompt = F.when(prompt.isNull(), F.raise_error(F.lit(f"{what}: missing prompt"))).otherwise(prompt)
-    elif mode != "permissive":
-        raise ValueError("mode must be 'permissive' or 'failfast'")
-    out = df.select(F.monotonically_increasing_id().alias("prompt_id"), prompt.alias("prompt"))
-    return out.where(F.col("prompt").isNotNull())
+#: bytes above which a JSON value does not fit a VARIANT
+VARIANT_BYTES = 128 << 20
+NO_PROMPT, NOT_JSON = "no prompt", "invalid JSON"
+
 
+def _raw(scan: DataFrame, **cols: Column) -> DataFrame:
+    """``file, position`` (the row's place in the scan) and ``cols`` of a file scan."""
+    return scan.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("position"),
+                       *[c.alias(n) for n, c in cols.items()])
 
-def prompt_rejects(raw: DataFrame) -> DataFrame:
-    """Rows a permissive read would drop, from a frame with a ``prompt`` column."""
-    return raw.where(F.col("prompt").isNull())
+
+def _json(raw: DataFrame, col: str) -> DataFrame:
+    """``raw`` with the parsed VARIANT ``v`` of ``col`` (null where it is not JSON)."""
+    v = F.try_parse_json(F.col(col))
+    large = F.octet_length(col) > F.lit(VARIANT_BYTES)
+    return raw.withColumn("v", F.when(v.isNull() & large, F.raise_error(F.concat(
+        F.lit("a JSON value of more than 128 MiB does not fit a VARIANT: "), F.col("file"),
+        F.lit("; use JSON lines")))).otherwise(v))
+
+
+def _split(items: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
+    """Prompts and rejects of ``items(file, position, item, prompt, reason)``."""
+    if mode not in ("permissive", "failfast"):
+        raise ValueError("mode must be 'permissive' or 'failfast'")
+    prompt = F.col("prompt")
+    if mode == "failfast":
+        prompt = F.when(F.col("prompt").isNull(), F.raise_error(F.concat(
+            F.col("reason"), F.lit(": "), F.coalesce("file", F.lit("table")), F.lit(", position "),
+            F.col("position").cast("string")))).otherwise(prompt)
+    prompts = items.select(F.monotonically_increasing_id().alias("prompt_id"), prompt.alias("prompt"))
+    rejects = items.where(F.col("prompt").isNull()).select("file", "position", "item", "reason")
+    return prompts.where(F.col("prompt").isNotNull()), rejects
 
 
 def read_prompts_text(spark: SparkSession, path: str) -> DataFrame:
@@ -58,6 +82,21 @@ def _item_prompt(item: Column) -> Column:
     )
 
 
+def _json_items(spark: SparkSession, path: str) -> DataFrame:
+    docs = _json(_raw(spark.read.text(path, wholetext=True), value=F.col("value")), "value")
+    v = F.col("v")
+    kind = F.schema_of_variant(v)
+    inner = F.try_variant_get(v, "$.prompts", "variant")
+    items = (F.when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
+             .when(kind.startswith("OBJECT") & inner.isNotNull(), F.try_variant_get(v, "$.prompts", "array<variant>"))
+             .when(kind.startswith("OBJECT"), F.array(v)))
+    rows = docs.select("file", "v", F.posexplode_outer(items).alias("position", "one"))
+    bad = F.when(v.isNull(), NOT_JSON).otherwise(NO_PROMPT)
+    return rows.select("file", F.coalesce(F.col("position").cast("bigint"), F.lit(0)).alias("position"),
+                       F.to_json(F.coalesce("one", "v")).alias("item"),
+                       F.when(F.col("one").isNotNull(), _item_prompt(F.col("one"))).alias("prompt"), bad.alias("reason"))
+
+
 def read_prompts_json(spark: SparkSession, path: str, mode: str = "permissive") -> DataFrame:
     """One JSON document per file.
 
@@ -65,32 +104,19 @@ def read_prompts_json(spark: SparkSession, path: str, mode: str = "permissive")
     with ``prompts`` gives that array; any other object gives its ``prompt``.
     A whole JSON document is not splittable; use JSONL for large inputs.
     """
-    docs = spark.read.text(path, wholetext=True)
-    parse = F.parse_json if mode == "failfast" else F.try_parse_json
-    v = docs.select(parse(F.col("value")).alias("v")).where(F.col("v").isNotNull())
-    kind = F.schema_of_variant(F.col("v"))
-    has_prompts = F.try_variant_get(F.col("v"), "$.prompts", "variant").isNotNull()
-    items = F.when(kind.startswith("ARRAY"), F.try_variant_get(F.col("v"), "$", "array<variant>")).when(
-        kind.startswith("OBJECT") & has_prompts,
-        F.try_variant_get(F.col("v"), "$.prompts", "array<variant>"),
-    )
-    single = F.when(
-        kind.startswith("OBJECT") & ~has_prompts, F.try_variant_get(F.col("v"), "$.prompt", "string")
-    )
-    exploded = v.select(
-        F.explode(
-            F.when(items.isNotNull(), F.transform(items, _item_prompt)).otherwise(F.array(single))
-        ).alias("p")
-    )
-    return _finish(exploded, F.col("p"), mode, "JSON prompt file")
+    return _split(_json_items(spark, path), mode)[0]
+
+
+def _jsonl_items(spark: SparkSession, path: str) -> DataFrame:
+    lines = _raw(spark.read.text(path), item=F.col("value")).where(F.length(ustrip("item")) > 0)
+    parsed = _json(lines, "item")
+    return parsed.select("file", "position", "item", _item_prompt(F.col("v")).alias("prompt"),
+                         F.when(F.col("v").isNull(), NOT_JSON).otherwise(NO_PROMPT).alias("reason"))
 
 
 def read_prompts_jsonl(spark: SparkSession, path: str, mode: str = "permissive") -> DataFrame:
     """S3: one JSON value per non-blank line; object -> ``prompt``, scalar -> itself."""
-    lines = spark.read.text(path).where(F.length(ustrip("value")) > 0)
-    parse = F.parse_json if mode == "failfast" else F.try_parse_json
-    v = lines.select(parse(F.col("value")).alias("v"))
-    return _finish(v, _item_prompt(F.col("v")), mode, "JSONL prompt file")
+    return _split(_jsonl_items(spark, path), mode)[0]
 
 
 def resolve_prompt_column(columns: Sequence[str]) -> str:
@@ -103,43 +129,68 @@ def resolve_prompt_column(columns: Sequence[str]) -> str:
     return columns[0]
 
 
+def _table_items(df: DataFrame, column: str | None = None, file: Column | None = None) -> DataFrame:
+    col = F.col(f"`{column or resolve_prompt_column(df.columns)}`").cast("string")
+    return df.select((F.lit(None).cast("string") if file is None else file).alias("file"),
+                     F.monotonically_increasing_id().alias("position"), F.lit(None).cast("string").alias("item"),
+                     col.alias("prompt"), F.lit(NO_PROMPT).alias("reason"))
+
+
 def select_prompts(df: DataFrame, mode: str = "permissive", column: str | None = None) -> DataFrame:
     """S6 applied to any DataFrame: pick the prompt column, cast to string."""
-    col = column or resolve_prompt_column(df.columns)
-    return _finish(df, F.col(f"`{col}`").cast("string"), mode, "prompt table")
+    return _split(_table_items(df, column), mode)[0]
+
+
+def _csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    return spark.read.csv(path, header=True, multiLine=multi_line, escape='"', inferSchema=False,
+                          ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def read_prompts_csv(spark: SparkSession, path: str, mode: str = "permissive",
                      multi_line: bool = True) -> DataFrame:
     """Header row; quoted newlines allowed (``multi_line=False`` keeps large
     clean files splittable). Every column is read as STRING: only one is used."""
-    df = spark.read.csv(path, header=True, multiLine=multi_line, escape='"', inferSchema=False)
-    return select_prompts(df, mode)
+    return select_prompts(_csv(spark, path, multi_line), mode)
 
 
 def read_prompts_parquet(spark: SparkSession, path: str, mode: str = "permissive") -> DataFrame:
     """The chosen column only (the scan reads just that column)."""
-    df = spark.read.parquet(path)
-    return select_prompts(df, mode)
+    return select_prompts(spark.read.parquet(path), mode)
 
 
-_READERS = {
-    ".txt": lambda s, p, m: read_prompts_text(s, p),
-    ".json": read_prompts_json,
-    ".jsonl": read_prompts_jsonl,
-    ".csv": read_prompts_csv,
-    ".parquet": read_prompts_parquet,
+def _text_items(spark: SparkSession, path: str) -> DataFrame:
+    lines = _raw(spark.read.text(path), item=F.col("value"), prompt=ustrip("value")).where(F.length("prompt") > 0)
+    return lines.withColumn("reason", F.lit(NO_PROMPT))
+
+
+_ITEMS = {
+    ".txt": _text_items,
+    ".json": _json_items,
+    ".jsonl": _jsonl_items,
+    ".csv": lambda s, p: _table_items(_csv(s, p, True), file=F.col("_metadata.file_path")),
+    ".parquet": lambda s, p: _table_items(s.read.parquet(p), file=F.col("_metadata.file_path")),
 }
 
 
-def read_prompts(spark: SparkSession, path: str, format: str | None = None,
-                 mode: str = "permissive") -> DataFrame:
-    """Dispatch on the file suffix, or on ``format`` for folders and globs."""
+def _reader(path: str, format: str | None):
     suffix = ("." + format.lower().lstrip(".")) if format else os.path.splitext(path.rstrip("/"))[1]
-    reader = _READERS.get(suffix)
+    reader = _ITEMS.get(suffix)
     if reader is None:
         raise ValueError(f"Unsupported prompt file format: {suffix}")
-    return reader(spark, path, mode)
+    return reader
+
+
+def read_prompts(spark: SparkSession, path: str, format: str | None = None,
+                 mode: str = "permissive") -> DataFrame:
+    """Dispatch on the file suffix, or on ``format`` for folders and globs."""
+    return _split(_reader(path, format)(spark, path), mode)[0]
+
+
+def read_prompts_checked(spark: SparkSession, path: str, format: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """S7 with what was left out: the prompts and the rejects ``(file, position,
+    item, reason)``; ``position`` is the item's place in its JSON document, or the
+    row's place in the scan."""
+    return _split(_reader(path, format)(spark, path), "permissive")
 
 
 def topic_for(seed: int, key: Column) -> Column:
@@ -174,10 +225,12 @@ def read_prompts_stream(spark: SparkSession, path: str, format: str = "text",
                         glob: str | None = None) -> DataFrame:
     """A streaming prompt feed from a folder of text / JSONL / JSON / Parquet files.
 
-    Returns ``(prompt_id, prompt)``. ``prompt_id`` is a hash of the file path
-    and the row's place in it (Parquet row index) or, for text/JSON lines, of
-    the file path and the line itself; it is stable across micro-batches,
-    retries and restarts.
+    Returns ``(prompt_id, prompt)``. ``prompt_id`` is a hash of the file path and
+    the row's place: the Parquet row index, or the line's number in its file (text
+    and JSON files are read whole, one row a file, and split into lines; keep
+    files of a feed to some 100 MB). Ids are the same after a replay, and equal
+    lines have ids of their own. CSV files have a header row; as Spark gives no row
+    numbers there, equal prompts of one CSV file share an id.
     """
     r = spark.readStream
     if max_files_per_trigger:
@@ -186,26 +239,29 @@ def read_prompts_stream(spark: SparkSession, path: str, format: str = "text",
         r = r.option("pathGlobFilter", glob)
     fmt = format.lower()
     meta = F.col("_metadata.file_path")
-    if fmt == "jsonl":
-        # S3 rules per line: object -> its prompt, scalar -> itself.
-        lines = r.text(path)
+    if fmt in ("jsonl", "json", "text"):
+        lines = r.text(path, wholetext=True).select(
+            meta.alias("file"), F.posexplode(F.split("value", "\r\n|\r|\n")).alias("line", "value"))
         lines = lines.where(F.length(ustrip("value")) > 0)
-        prompt = _item_prompt(F.try_parse_json(F.col("value")))
-        return lines.select(F.xxhash64(meta, F.col("value")).alias("prompt_id"), prompt.alias("prompt")).where(
-            F.col("prompt").isNotNull()
-        )
-    if fmt == "text":
-        df = r.text(path)
-        prompt = ustrip("value")
-        df = df.where(F.length(prompt) > 0)
-        return df.select(F.xxhash64(meta, prompt).alias("prompt_id"), prompt.alias("prompt"))
+        place = F.xxhash64("file", "line").alias("prompt_id")
+        if fmt == "json":  # one object a line, its fields by the schema
+            if schema is None:
+                raise ValueError("a streaming json source needs an explicit schema")
+            col = resolve_prompt_column(schema.fieldNames())
+            prompt = F.from_json("value", schema).getField(col).cast("string")
+        else:  # S3 rules per line: object -> its prompt, scalar -> itself
+            prompt = _item_prompt(F.try_parse_json(F.col("value"))) if fmt == "jsonl" else ustrip("value")
+        return lines.select(place, prompt.alias("prompt")).where(F.col("prompt").isNotNull())
     if schema is None:
-        raise ValueError("a streaming json/parquet source needs an explicit schema")
-    df = r.schema(schema).format(fmt).load(path)
-    col = resolve_prompt_column(df.columns)
-    prompt = F.col(f"`{col}`").cast("string")
-    pos = F.col("_metadata.row_index") if fmt == "parquet" else prompt
-    return df.where(prompt.isNotNull()).select(F.xxhash64(meta, pos).alias("prompt_id"), prompt.alias("prompt"))
+        raise ValueError(f"a streaming {fmt} source needs an explicit schema")
+    r = r.schema(schema).format(fmt)
+    if fmt == "csv":
+        r = r.options(header=True, multiLine=True, escape='"')
+    df = r.load(path)
+    prompt = F.col(f"`{resolve_prompt_column(df.columns)}`").cast("string")
+    place = F.col("_metadata.row_index") if fmt == "parquet" else prompt
+    return df.select(F.xxhash64(meta, place).alias("prompt_id"), prompt.alias("prompt")).where(
+        F.col("prompt").isNotNull())
 
 
 def load_prompts(spark: SparkSession, gen, mode: str = "permissive") -> DataFrame:

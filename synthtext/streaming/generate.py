@@ -5,8 +5,8 @@
         -> foreachBatch: write the micro-batch once, then per-batch metric
            events from what was written (ST5) and the user callback (ST4)
 
-Each micro-batch is written to its own ``epoch=<id>`` folder with overwrite,
-so a micro-batch that is replayed after a failure replaces its own output
+Each micro-batch writes records and metric events to its own ``epoch=<id>``
+folders with overwrite, so a micro-batch that is replayed after a failure replaces its own output
 instead of duplicating it.
 """
 
@@ -22,53 +22,69 @@ from pyspark.sql.streaming import StreamingQuery
 
 from synthtext.config import Generation, PostProcessing
 from synthtext.functions.tokens import count_tokens
+from synthtext.functions.ratios import throughput_columns
 from synthtext.operators.backends import BackendSpec, get_backend
-from synthtext.operators.generate import request_params
+from synthtext.operators.batching import with_row_seed
+from synthtext.operators.generate import _whole_batches, request_params
+from synthtext.operators.metrics import RATIOS, flatten_metrics, name_spaced
 from synthtext.operators.postprocess import apply_post_processing
 from synthtext.session import ship_package
 
 CHUNK_FIELDS = [
     T.StructField("request_id", T.LongType(), False),
+    T.StructField("seq_index", T.LongType(), False),
     T.StructField("seq", T.LongType(), False),
     T.StructField("text", T.StringType(), True),
     T.StructField("finished", T.BooleanType(), False),
     T.StructField("chunk_seconds", T.DoubleType(), False),
 ]
 
+#: Characters and chunks after which a worker hands on what it holds.
+FRAME_CHARS = 1 << 20
+FRAME_CHUNKS = 1024
 
-def _stream_fn(spec, params, batch_size, id_col, prompt_col, keep):
-    def run(frames):
-        import pandas as pd
 
+def _stream_fn(spec, params, batch_size, id_col, prompt_col, seed_col, keep, only_finished):
+    def run(frames):
         backend = get_backend(spec)
         streaming = callable(getattr(backend, "stream", None))
-        for pdf in frames:
-            for s in range(0, len(pdf), batch_size):
-                part = pdf.iloc[s : s + batch_size]
-                prompts = part[prompt_col].tolist()
-                rows = []
-                t0 = time.perf_counter()
-                if streaming:
-                    # ST1: chunks as the backend produces them.
-                    for i, seq, text, fin in backend.stream(prompts, params):
-                        t1 = time.perf_counter()
-                        rows.append((i, seq, text, bool(fin), t1 - t0))
-                        t0 = t1
-                else:
-                    # ST3: no streaming support -> one finished chunk per prompt.
-                    outs = backend.generate(prompts, params)
-                    dt = (time.perf_counter() - t0) / max(len(prompts), 1)
-                    rows = [(i, 0, o[0] if o else None, True, dt) for i, o in enumerate(outs)]
-                if not rows:
-                    continue
-                idx = [r[0] for r in rows]
-                out = part.iloc[idx][[*keep]].reset_index(drop=True)
-                out["request_id"] = part[id_col].iloc[idx].to_numpy()
-                out["seq"] = [r[1] for r in rows]
-                out["text"] = [r[2] for r in rows]
-                out["finished"] = [r[3] for r in rows]
-                out["chunk_seconds"] = [r[4] for r in rows]
-                yield pd.DataFrame(out)
+
+        def chunks(prompts, seeds):
+            """(prompt, sequence, chunk, text, finished, seconds)"""
+            t0 = time.perf_counter()
+            if streaming:  # ST1: chunks as the backend produces them
+                for i, k, seq, text, done in backend.stream(prompts, params, seeds):
+                    t1 = time.perf_counter()
+                    yield i, k, seq, text, bool(done), t1 - t0
+                    t0 = t1
+            else:  # ST3: no streaming support -> one finished chunk for each text
+                outs = backend.generate(prompts, params, seeds)
+                dt = (time.perf_counter() - t0) / max(sum(map(len, outs)), 1)
+                for i, texts in enumerate(outs):
+                    for k, text in enumerate(texts):
+                        yield i, k, 0, text, True, dt
+
+        def frame(part, rows):
+            idx = [r[0] for r in rows]
+            out = part.iloc[idx][[*keep]].reset_index(drop=True)
+            out["request_id"] = part[id_col].iloc[idx].to_numpy()
+            for at, name in enumerate(("seq_index", "seq", "text", "finished", "chunk_seconds"), 1):
+                out[name] = [r[at] for r in rows]
+            return out
+
+        for part in _whole_batches(frames, batch_size, None):
+            rows, held, seconds = [], 0, 0.0
+            for i, k, seq, text, done, dt in chunks(part[prompt_col].tolist(), part[seed_col].tolist()):
+                seconds += dt
+                if only_finished and not done:
+                    continue  # its time goes to the next chunk kept
+                rows.append((i, k, seq, text, done, seconds))
+                held, seconds = held + len(text or ""), 0.0
+                if held >= FRAME_CHARS or len(rows) >= FRAME_CHUNKS:
+                    yield frame(part, rows)
+                    rows, held = [], 0
+            if rows:
+                yield frame(part, rows)
 
     return run
 
@@ -76,22 +92,27 @@ def _stream_fn(spec, params, batch_size, id_col, prompt_col, keep):
 def generate_stream(
     prompts: DataFrame, backend: BackendSpec, gen: Generation | None = None,
     id_col: str = "prompt_id", prompt_col: str = "prompt", keep: tuple[str, ...] = ("prompt",),
-    spread_to: int | None = None,
+    spread_to: int | None = None, only_finished: bool = False,
 ) -> DataFrame:
-    """ST1/ST3: ``(keep..., request_id, seq, text, finished, chunk_seconds)`` chunks.
-
-    Works on batch and streaming DataFrames alike (``mapInPandas``).
-    ``spread_to`` round-robins each micro-batch over that many partitions
-    first (a micro-batch of one file is one partition otherwise).
+    """ST1/ST3: ``(keep..., request_id, seq_index, seq, text, finished,
+    chunk_seconds)`` chunks of every text of every prompt.
+
+    Works on batch and streaming DataFrames alike (``mapInPandas``). Each prompt
+    has the seed of B4. ``spread_to`` round-robins each micro-batch over that many
+    partitions first (a micro-batch of one file is one partition otherwise).
+    ``only_finished`` (F4) drops intermediate chunks where they arise; a worker
+    holds at most ``FRAME_CHARS`` characters of chunks.
     """
     if spread_to:
         prompts = prompts.repartition(int(spread_to))
     gen = gen or Generation()
     keep_fields = [prompts.schema[c] for c in keep]
     schema = T.StructType(keep_fields + CHUNK_FIELDS)
-    fn = _stream_fn(backend, request_params(gen), int(gen.batch_size), id_col, prompt_col, list(keep))
+    seeded = with_row_seed(prompts, gen.seed, id_col, "__seed")
+    fn = _stream_fn(backend, request_params(gen), int(gen.batch_size), id_col, prompt_col, "__seed", list(keep),
+                    only_finished)
     ship_package(prompts.sparkSession)
-    return prompts.mapInPandas(fn, schema)
+    return seeded.mapInPandas(fn, schema)
 
 
 def finalize_responses(chunks: DataFrame, pp: PostProcessing | None, text_col: str = "text") -> DataFrame:
@@ -112,24 +133,26 @@ def finished_only(chunks: DataFrame) -> DataFrame:
     return chunks.where(F.col("finished"))
 
 
-def micro_batch_metrics(written: DataFrame, run_id: str, epoch: int, text_col: str = "text") -> DataFrame:
-    """ST5: one micro-batch as one timing row -> long metric events."""
+def micro_batch_metrics(written: DataFrame, text_col: str = "text", before: DataFrame | None = None) -> DataFrame:
+    """ST5: one micro-batch as one timing row -> long metric events ``(name,
+    value)``: its finished texts, their tokens and the time of all chunks, and the
+    run's totals and ratios (M5). ``before``: the events of the epoch before."""
+    done = F.col("finished")
     agg = written.agg(
         F.coalesce(F.sum("chunk_seconds"), F.lit(0.0)).alias("seconds"),
-        F.coalesce(F.sum(count_tokens(text_col)), F.lit(0)).cast("long").alias("num_tokens"),
-        F.count(F.lit(1)).cast("long").alias("num_samples"),
-    )
-    return agg.select(
-        F.lit(run_id).alias("run_id"),
-        F.lit(int(epoch)).cast("long").alias("batch_id"),
-        F.explode(
-            F.create_map(
-                F.lit("seconds"), F.col("seconds").cast("double"),
-                F.lit("num_tokens"), F.col("num_tokens").cast("double"),
-                F.lit("num_samples"), F.col("num_samples").cast("double"),
-            )
-        ).alias("name", "value"),
+        F.coalesce(F.sum(F.when(done, count_tokens(text_col))), F.lit(0)).cast("double").alias("num_tokens"),
+        F.count_if(done).cast("double").alias("num_samples"),
     )
+    totals = {"total_tokens": "num_tokens", "total_samples": "num_samples", "total_time": "seconds"}
+    if before is None:
+        agg = agg.withColumns({t: F.col(c) for t, c in totals.items()})
+    else:
+        old = before.groupBy().pivot("name", list(totals)).sum("value")
+        for t, c in totals.items():
+            agg = agg.withColumn(t, F.col(c) + F.coalesce(old.select(t).scalar(), F.lit(0.0)))
+    rows = agg.select("*", *throughput_columns("total_tokens", "total_time", "total_samples"))
+    rows = name_spaced(rows, "throughput", RATIOS)
+    return flatten_metrics(rows, [])
 
 
 def start_stream(
@@ -143,7 +166,7 @@ def start_stream(
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """ST1 sink + ST4 + ST5: write every micro-batch once (idempotently),
-    then append its metric events and hand the written rows to ``callback``."""
+    then its metric events, and hand the written rows to ``callback``."""
     spark = df.sparkSession
     out = out_dir.rstrip("/")
 
@@ -156,9 +179,9 @@ def start_stream(
         else:
             w.parquet(path)
             written = spark.read.parquet(path)
-        micro_batch_metrics(written, run_id, epoch).write.mode("append").parquet(
-            f"{out}/metric_events"
-        )
+        events = f"{out}/metric_events/run_id={run_id}"
+        before = spark.read.schema("name string, value double").parquet(f"{events}/epoch={epoch - 1}") if epoch else None
+        micro_batch_metrics(written, before=before).write.mode("overwrite").parquet(f"{events}/epoch={epoch}")
         if callback is not None:
             callback(written, epoch)
 

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 from synthtext.config import Generation, Output, PostProcessing, RunConfig
 from synthtext.operators import batching as B
 from synthtext.operators.backends import BackendSpec, register_backend
+from synthtext.plans.doubles import echo
 from synthtext.operators.generate import explode_sequences, generate, generate_one, timing_table
 from synthtext.plans.job import run_batch_job
 from synthtext.sinks import records as K
 from synthtext.sources.prompts import prompts_from_list
 
-ECHO = BackendSpec.of("echo", template="Echo: {prompt}")
+ECHO = echo("Echo: {prompt}")
 
 
 def test_generate_keeps_order_and_batches(spark):
@@ -28,7 +29,7 @@ def test_generate_one(spark):
 
 def test_multi_sequence(spark):
     df = prompts_from_list(spark, ["a", "b"])
-    out = explode_sequences(generate(df, BackendSpec.of("echo", template="{prompt}{index}"), Generation(num_return_sequences=3)))
+    out = explode_sequences(generate(df, echo("{prompt}{index}"), Generation(num_return_sequences=3)))
     assert sorted((r.prompt, r.seq_index, r.generated_text) for r in out.collect()) == [
         ("a", 0, "a0"), ("a", 1, "a1"), ("a", 2, "a2"), ("b", 0, "b0"), ("b", 1, "b1"), ("b", 2, "b2")
     ]
@@ -59,17 +60,16 @@ def test_format_check():
 @pytest.mark.parametrize("fmt", ["jsonl", "csv", "parquet"])
 def test_record_roundtrip(spark, scratch, fmt):
     df = spark.createDataFrame(
-        [("a, \"quoted\"\nline", None, 1.5), ("é", "x", 2.0)], "prompt string, generated_text string, timestamp double"
+        [("a, \"quoted\"\nline", None, 1.5), ("é", "x", 2.0), ("  lead and trail \t", "", 0.0), ("\r\n", "\\N", -1.0)], "prompt string, generated_text string, timestamp double"
     ).withColumn("parameters", F.struct(F.lit(0.8).alias("temperature"), F.lit(50).alias("top_k")))
     path = f"{scratch}/rec_{fmt}"
     K.write_records(df, path, fmt)
     K.write_records(df, path, fmt)  # append
     back = K.read_records(spark, path, fmt, df.schema)
-    got = sorted((r.prompt, r.generated_text, r.parameters.top_k) for r in back.collect())
-    assert got == sorted([("a, \"quoted\"\nline", None, 50), ("é", "x", 50)] * 2)
+    key = lambda r: str(r)
+    assert sorted(back.collect(), key=key) == sorted(df.collect() * 2, key=key)
     if fmt == "jsonl":
-        line = spark.read.text(path).first().value
-        assert '"generated_text":null' in line or '"generated_text":"x"' in line
+        assert spark.read.text(path).where("value like '%\"generated_text\":null%'").count() == 2
 
 
 def test_batch_job(spark, scratch):
@@ -79,16 +79,63 @@ def test_batch_job(spark, scratch):
         post_processing=PostProcessing(max_length=60),
         output=Output(dir=scratch, format="jsonl"),
     )
-    paths = run_batch_job(spark, prompts, cfg, BackendSpec.of("echo", template="{prompt} {prompt}"), run_id="t1")
+    for _ in range(2):  # a second try of a run replaces the first
+        paths = run_batch_job(spark, prompts, cfg, echo("{prompt} {prompt}"), run_id="t1")
     recs = spark.read.json(paths.records)
     assert recs.count() == 40
     assert recs.where(F.length("generated_text") > 60).count() == 0
     m = spark.read.json(paths.metrics).first()
     assert m.total_samples == 40 and m.total_tokens > 0
-    assert spark.read.parquet(paths.config).first().run_id == "t1"
+    assert '"batch_size": 8' in spark.read.parquet(paths.config).first().config_json
+    assert spark.read.parquet(f"{scratch}/runs").first().run_id == "t1"
+    assert recs.where("prompt like 'Q: %'").count() == 0  # prompts are taken as they are
     assert spark.read.parquet(paths.samples).count() == 8  # min(log_samples=10, batch of 8)
     ev = spark.read.parquet(paths.events)
-    assert ev.select("batch_id").distinct().count() == 1  # log_interval 100: batch 0 only
+    assert {r.batch_id for r in ev.collect()} == set(range(5))  # every batch
+    assert {"throughput/tokens_per_second", "diversity/entropy"} <= {r.name for r in ev.collect()}
+    assert "throughput/tokens_per_second" in m.asDict()
+
+
+def test_job_with_several_texts(spark, scratch):
+    cfg = RunConfig(generation=Generation(batch_size=4, num_return_sequences=2), output=Output(dir=scratch, format="parquet"),
+                    post_processing=PostProcessing(max_length=60))
+    prompts = prompts_from_list(spark, [f"p{i}." for i in range(10)])
+    paths = run_batch_job(spark, prompts, cfg, echo("{prompt} {index}."), run_id="k")
+    recs = spark.read.parquet(paths.records).collect()
+    assert {(r.prompt, r.seq_index, r.generated_text) for r in recs} == {
+        (f"p{i}.", k, f"p{i}. {k}.") for i in range(10) for k in range(2)}
+    assert spark.read.json(paths.metrics).first().total_samples == 20
+
+
+@pytest.mark.parametrize("batch_size,batched", [(5000, True), (300, True), (5000, False)])
+def test_calls_hold_whole_batches(spark, batch_size, batched):
+    class Sizes:
+        def generate(self, prompts, params, seeds=None):
+            return [[str(len(prompts))] for _ in prompts]
+
+    n = 10_000
+    df = spark.range(n).select(F.col("id").alias("prompt_id"), F.col("id").cast("string").alias("prompt"))
+    df = B.assign_batches(df, batch_size, ["prompt_id"]) if batched else df.coalesce(1)
+    out = generate(df, BackendSpec.from_factory("sizes", Sizes), Generation(batch_size=batch_size))
+    got = {r.s: r["count"] for r in out.groupBy(F.col("generated_text").cast("int").alias("s")).count().collect()}
+    want = {batch_size: n // batch_size * batch_size}
+    if n % batch_size:
+        want[n % batch_size] = n % batch_size
+    assert got == want
+
+
+def test_re_registered_backends_are_new(spark):
+    for answer in ("A", "B"):
+        def factory(answer=answer):
+            class Fixed:
+                def generate(self, prompts, params, seeds=None):
+                    return [[answer] for _ in prompts]
+            return Fixed()
+
+        register_backend("fixed_test", factory)
+        df = spark.range(64).repartition(16).select(F.col("id").alias("prompt_id"), F.lit("x").alias("prompt"))
+        out = generate(df, BackendSpec.of("fixed_test"), batch_col=None)
+        assert {r.generated_text for r in out.collect()} == {answer}
 
 
 def test_attach_outputs(spark):

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from synthtext.config import Generation, Output, PostProcessing, RunConfig
-from synthtext.operators.backends import BackendSpec
+from synthtext.plans.doubles import echo
 from synthtext.plans.generator import TextGenerator
 from synthtext.sources.prompts import STORY_PREFIX, prompts_from_list, read_prompts_stream
 
@@ -27,7 +27,7 @@ def test_load_prompts_synthetic_and_file(spark, scratch):
 
 
 def test_generate_batch_and_run(spark, scratch):
-    g = TextGenerator(spark, cfg(scratch, num_prompts=9), BackendSpec.of("echo", template="{prompt}. {prompt}."))
+    g = TextGenerator(spark, cfg(scratch, num_prompts=9), echo("{prompt}. {prompt}."))
     out = g.generate_batch(prompts_from_list(spark, ["x", "y"])).orderBy("prompt_id").collect()
     assert [r.generated_text for r in out] == ["x.", "y."]  # adjacent duplicate removed
     paths = g.generate(run_id="g1")
@@ -40,7 +40,7 @@ def test_generate_streaming(spark, scratch):
     os.makedirs(src)
     with open(f"{src}/a.txt", "w") as f:
         f.write("one. two\n")
-    g = TextGenerator(spark, cfg(scratch), BackendSpec.of("echo", template="{prompt}"))
+    g = TextGenerator(spark, cfg(scratch), echo("{prompt}"))
     seen = []
     q = g.generate_streaming(read_prompts_stream(spark, src, "text"), f"{scratch}/ck", "s",
                              callback=lambda df, e: seen.append(df.where(F.col("finished")).first().text))

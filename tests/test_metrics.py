@@ -1,4 +1,4 @@
-"""M1-M10 on the reference's cases."""
+"""M1-M10 on small cases."""
 
 import math
 
@@ -7,10 +7,10 @@ from synthtext.operators import metrics as M
 
 
 def test_token_diversity_case(spark):
-    df = spark.createDataFrame([(["1", "2", "3", "4", "5"],), (["3", "4", "5", "6", "7"],)], "tokens array<string>")
+    df = spark.createDataFrame([(["a", "b", "b"],), (["b", "c", "d", "c", "e"],)], "tokens array<string>")
     r = M.token_diversity(df, tokens_col="tokens").first()
-    assert (r.unique_tokens, r.total_tokens, r.unique_ratio) == (7, 10, 0.7)
-    probs = [1 / 10] * 4 + [2 / 10] * 3
+    assert (r.unique_tokens, r.total_tokens, r.unique_ratio) == (5, 8, 0.625)
+    probs = [3 / 8, 2 / 8, 1 / 8, 1 / 8, 1 / 8]
     assert abs(r.entropy - (-sum(p * math.log2(p) for p in probs))) < 1e-12
 
 
@@ -22,19 +22,19 @@ def test_token_diversity_empty_group(spark):
 
 
 def test_throughput_case(spark):
-    df = spark.createDataFrame([(1000, 10.0, 100), (5, 0.0, 0)], "t long, s double, n long")
+    df = spark.createDataFrame([(630, 4.5, 18), (7, 0.0, 0)], "t long, s double, n long")
     from synthtext.functions.ratios import throughput_columns
 
     rows = df.select(*throughput_columns("t", "s", "n")).collect()
-    assert tuple(rows[0]) == (100.0, 10.0, 10.0, 0.1)
+    assert tuple(rows[0]) == (140.0, 4.0, 35.0, 0.25)
     assert tuple(rows[1]) == (0.0, 0.0, 0.0, 0.0)
 
 
 def test_run_totals_case(spark):
-    df = spark.createDataFrame([(1.0, 100, 10), (2.0, 200, 20)], "seconds double, num_tokens long, num_samples long")
+    df = spark.createDataFrame([(0.5, 12, 3), (1.5, 28, 1), (2.0, 0, 4)], "seconds double, num_tokens long, num_samples long")
     r = M.run_totals(df).first()
-    assert (r.total_tokens, r.total_samples, r.total_time) == (300, 30, 3.0)
-    assert r.tokens_per_second == 100.0 and r.samples_per_second == 10.0
+    assert (r.total_tokens, r.total_samples, r.total_time) == (40, 8, 4.0)
+    assert r.tokens_per_second == 10.0 and r.samples_per_second == 2.0
 
 
 def test_running_totals_two_level(spark):
@@ -50,10 +50,10 @@ def test_running_totals_two_level(spark):
 
 def test_device_usage_case(spark):
     g = 1024 ** 3
-    df = spark.createDataFrame([(0, g, 2 * g), (1, 2 * g, 4 * g), (2, 5, 0)], "device int, allocated_bytes long, reserved_bytes long")
+    df = spark.createDataFrame([(0, 3 * g, 12 * g), (1, g // 2, g), (2, 5, 0)], "device int, allocated_bytes long, reserved_bytes long")
     rows = {r.device: r for r in M.device_usage(df).collect()}
-    assert (rows[0].allocated_gb, rows[0].reserved_gb, rows[0].utilization) == (1.0, 2.0, 0.5)
-    assert (rows[1].allocated_gb, rows[1].reserved_gb, rows[1].utilization) == (2.0, 4.0, 0.5)
+    assert (rows[0].allocated_gb, rows[0].reserved_gb, rows[0].utilization) == (3.0, 12.0, 0.25)
+    assert (rows[1].allocated_gb, rows[1].reserved_gb, rows[1].utilization) == (0.5, 1.0, 0.5)
     assert rows[2].utilization == 0.0
 
 
@@ -69,7 +69,7 @@ def test_flatten_metrics(spark):
 
 
 def test_generation_report_names(spark):
-    df = spark.createDataFrame([(1.0, 100, 10), (2.0, 200, 20)], "seconds double, num_tokens long, num_samples long")
-    rep = M.generation_report(M.run_totals(df), 16).first().asDict()
-    assert rep["throughput/tokens_per_second"] == 100.0
-    assert rep["generation/batch_size"] == 16 and rep["time/total_seconds"] == 3.0
+    df = spark.createDataFrame([(0.5, 12, 3), (1.5, 28, 1)], "seconds double, num_tokens long, num_samples long")
+    rep = M.generation_report(M.run_totals(df), 4).first().asDict()
+    assert rep["throughput/tokens_per_second"] == 20.0
+    assert rep["generation/batch_size"] == 4 and rep["time/total_seconds"] == 2.0

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from synthtext.plans import registry as R
 from tools.oracle_check import TABLES, digest
 
 
@@ -28,11 +29,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(R.queries()) - set(R.oracle_sql())
     assert not missing, missing
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(R.queries()))
 def test_query_matches_oracle(spark, duck, sf_dir, name):
     sdf = E.queries()[name](spark, sf_dir)
     srows = [tuple(r) for r in sdf.collect()]
@@ -47,7 +48,7 @@ def test_query_matches_oracle(spark, duck, sf_dir, name):
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(R.queries()))
 def test_query_types_match_oracle(spark, duck, sf_dir, name):
     st = dict(E.queries()[name](spark, sf_dir).dtypes)
     rel = duck.sql(E.oracle_sql()[name])
