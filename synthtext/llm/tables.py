@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -27,46 +27,39 @@ def connected_components(edges: DataFrame, kind: str = "components") -> DataFram
     """``(node, component)`` for every node of ``edges(a, b)``; the component
     is its smallest node.
 
-    Alternating large-star and small-star steps: each joins a node's
-    neighbours to the smallest one, so chains shrink geometrically. The
-    smallest neighbour is a partial aggregate and the join back to the edges
-    has one row a node on the other side, so a node with very many
-    neighbours is combined map-side and split by the skew join. Edges are
-    written after each round; the loop ends when a round changes none.
+    Each round gives every node its smallest smaller neighbour as parent (a
+    partial aggregate), hooks its other smaller neighbours to that parent, and
+    replaces the parent by the parent's parent, so trees get half as deep and a
+    star is done in one round. A node with very many neighbours is combined
+    map-side, and the joins have one row a node on the other side, so the skew
+    join splits them. Edges are written after each round, with their count and
+    digest; the loop ends when a round changes none.
     """
-    e = written(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .filter("u > v").distinct(), kind)
-    mark = _mark(e)
+    e, mark = _kept(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), kind)
     while mark[0]:
-        # large star: neighbours greater than u go to the smallest of u's set
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(
-            "u", F.least("u", "m").alias("m"))
-        large = (both.filter("v > u").join(low, "u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        # small star: u and its smaller neighbours go to the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        j = large.join(low, "u")
-        small = (j.select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .union(j.select("u", F.col("m").alias("v")))
-                 .filter("u > v").distinct())
-        e = written(small, kind)
-        now = _mark(e)
+        up = e.groupBy("u").agg(F.min("v").alias("p"))
+        j = e.join(up, "u").join(up.select(F.col("u").alias("p"), F.col("p").alias("pp")), "p", "left")
+        top = F.coalesce("pp", "p")
+        step = j.select(F.explode(F.array(
+            F.struct(F.col("u").alias("u"), top.alias("v")),
+            F.struct(F.greatest("v", "p").alias("u"), F.least("v", "p").alias("v")))).alias("e")).select("e.u", "e.v")
+        e, now = _kept(step, kind)
         if now == mark:
             break
         mark = now
-    stars = e.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
-    roots = e.select(F.col("v").alias("node")).distinct()
-    return stars.union(roots.join(stars, "node", "left_anti")
-                       .select("node", F.col("node").alias("component")))
-
-
-def _mark(e: DataFrame) -> tuple:
-    """Count and order-free digest of the edges (two numbers)."""
-    r = e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")),
-              F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-    return r[0], r[1], r[2]
+    stars = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return stars.union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def _kept(edges: DataFrame, kind: str) -> tuple[DataFrame, tuple]:
+    """Distinct edges ``u > v``, written; their number and an order-free digest."""
+    seen = Observation()
+    rows = edges.filter("u > v").distinct().observe(
+        seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)).alias("x"),
+        F.coalesce(F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")), F.lit(0)).alias("s"))
+    e = written(rows, kind)
+    got = seen.get
+    return e, (got["n"], got["x"], got["s"])
 
 
 BITMAP_BITS = 24
