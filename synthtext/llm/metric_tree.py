@@ -35,8 +35,10 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from .tables import written
 
-PAGE = 32
-FAN = 8
+#: vectors of a leaf page and children of a node: pages large enough that numpy
+#: works on them as a whole
+PAGE = 128
+FAN = 16
 TREE_ROWS = 2048
 PIVOTS = 256
 BLOCK = 4096
@@ -174,9 +176,11 @@ class Tree:
             a, b = int(self.kid[node]), int(self.stop[node])
             slack = 1 + _SLACK * abs(dot)
             if self.leaf[node]:
-                keep = a + np.flatnonzero(dot + norm * self.far[a:b] + slack >= score)
-                s = self.x[keep] @ q
-                for v, i in zip(s[s >= score].tolist(), self.ids[keep][s >= score].tolist()):
+                near = dot + norm * self.far[a:b] + slack >= score
+                page, ids = (self.x[a:b], self.ids[a:b]) if near.all() else (self.x[a:b][near], self.ids[a:b][near])
+                s = page @ q
+                good = s >= (top[0][0] if len(top) == k else score)
+                for v, i in zip(s[good].tolist(), ids[good].tolist()):
                     if i != own and (v, -i) > best():
                         (heapq.heapreplace if len(top) == k else heapq.heappush)(top, (v, -i))
             else:
