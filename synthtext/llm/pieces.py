@@ -34,9 +34,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
 import zlib
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,7 @@ from . import words as W
 
 SPACE = "▁"
 BLOCK = 4 << 20
+MEMO = 300_000
 
 
 @dataclass
@@ -74,6 +77,11 @@ class Pieces:
         lone = re.escape("".join(chr(c) for c in range(128) if chr(c) not in inside))
         return f"{SPACE}+[^{SPACE}{lone}]*|[^{SPACE}{lone}]+|[{lone}]"
 
+    @cached_property
+    def memo(self) -> dict[str, list[int]]:
+        """Ids of chunks that a worker has met; emptied above ``MEMO``."""
+        return {}
+
     @cached_property
     def run_sizes(self) -> set[int]:
         return {len(p) for p in self.ids if not p.strip(SPACE)}
@@ -134,6 +142,10 @@ def load_pieces(path: str | None = None) -> Pieces:
          else " ⁇ ".encode() if p.type == 2 else b"" for p in m.pieces])
     if any(SPACE in p.lstrip(SPACE) for p in out.ids):
         raise ValueError("a piece crosses words")
+    if out.longest > 64:
+        raise ValueError("pieces of more than 64 characters are not supported")
+    if not set(string.ascii_letters) <= {c for p in out.ids if len(p) > 1 for c in p}:
+        raise ValueError("a letter is in no longer piece")
     if out.kind == "bpe":
         runs = {p: s for p, s in out.scores.items() if set(p) == {SPACE}}
         rest = {p: s for p, s in out.scores.items() if p not in runs}
@@ -260,7 +272,12 @@ def _asked(texts: list[str], kind: str, pattern: re.Pattern, buckets: int) -> di
     words: set[str] = set()
     for t in texts:
         words.update(_words(t, kind))
-    chunks = {c for w in words for c in pattern.findall(SPACE + w)}
+    chunks: set[str] = set()
+    for w in words:
+        if w.isalpha():  # no letter stands alone (load_pieces sees to that)
+            chunks.add(SPACE + w)
+        else:
+            chunks.update(pattern.findall(SPACE + w))
     out: dict[int, list[str]] = {}
     for c in sorted(chunks):
         if len(c) > 1:
@@ -340,23 +357,62 @@ class _Speller:
         self.words: dict[str, list[int]] = {}
 
     def learn(self, chunks: list[str], cuts: str) -> None:
+        ids, spell, memo = self.table.ids, self.table.spell, self.table.memo
+        if len(memo) > MEMO:
+            memo.clear()
         for c, cut in zip(chunks, cuts.split(" "), strict=True):
-            own, i = [], 0
-            for n in (ord(x) - 48 for x in cut) if cut else [1] * len(c):
-                own += self.table.spell(c[i : i + n])
-                i += n
+            own = memo.get(c)
+            if own is None:
+                own, i = [], 0
+                for n in cut.encode() if cut else b"1" * len(c):
+                    piece = c[i : i + n - 48]
+                    one = ids.get(piece)
+                    if one is None:
+                        own += spell(piece)
+                    else:
+                        own.append(one)
+                    i += n - 48
+                memo[c] = own
             self.chunks[c] = own
 
     def word(self, w: str) -> list[int]:
         own = self.words.get(w)
         if own is None:
-            own = []
-            for c in self.pattern.findall(SPACE + w):
-                part = self.chunks.get(c)
-                own += part if part is not None else self.table.spell(c)
+            own = self.chunks.get(SPACE + w)
+            if own is None:
+                own = []
+                for c in self.pattern.findall(SPACE + w):
+                    part = self.chunks.get(c)
+                    own = own + (part if part is not None else self.table.spell(c))
             self.words[w] = own
         return own
 
+    def texts(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and where each text's end: each distinct word is
+        spelled once, the texts are put together with numpy."""
+        place: dict[str, int] = {}
+        lists: list[list[int]] = []
+        at = []
+        for words in texts:
+            if self.bpe and "" in words:  # runs of spaces join the words beside them
+                lists.append(self.text(words))
+                at.append(np.array([len(lists) - 1]))
+                continue
+            for w in set(words):
+                if w not in place:
+                    place[w] = len(lists)
+                    lists.append(self.word(w))
+            at.append(np.fromiter(map(place.__getitem__, words), np.int64, len(words)))
+        size = np.array([len(x) for x in lists], np.int64)
+        flat = np.fromiter(chain.from_iterable(lists), np.int32, int(size.sum()))
+        first = np.cumsum(size) - size
+        own = np.concatenate(at) if at else np.zeros(0, np.int64)
+        n = size[own]
+        end = np.cumsum(n)
+        out = flat[np.repeat(first[own] - (end - n), n) + np.arange(int(n.sum()))]
+        stops = np.cumsum([0, *map(len, at)])
+        return out, np.concatenate([[0], end])[stops]
+
     def text(self, words: list[str]) -> list[int]:
         if not self.bpe or "" not in words:
             return [i for w in words for i in self.word(w)]
@@ -387,10 +443,9 @@ def _spell(shared, buckets: int, keep: list[str], out: str):
             speller = _Speller(table, p)
             for bucket, chunks in _asked(texts, table.kind, p, buckets).items():
                 speller.learn(chunks, cuts[bucket])
-            parts = [np.array(speller.text(_words(t, table.kind)), np.int32) for t in texts]
-            ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-            flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-            done.append(rows.select(keep).append_column(out, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))))
+            flat, ends = speller.texts([_words(t, table.kind) for t in texts])
+            done.append(rows.select(keep).append_column(
+                out, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))))
         return pa.concat_tables(done)
 
     return run
