@@ -144,7 +144,7 @@ def op9_fuzzy_lines(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     before = F.size(F.split("text", "\n"))
-    out, p = dedup_lines(docs, links="grams")
+    out, p = dedup_lines(docs, min_words=1, links="grams")
     gone = F.size(f"{p}removed")
     return out.select(
         "doc_id", F.when(F.col("text").isNull(), 0).otherwise(
