@@ -43,7 +43,14 @@ CLASSES = {
     "hex": (_DIGIT | frozenset("abcdefABCDEF"), 20, 3.0, (_DIGIT, frozenset("abcdefABCDEF"))),
     "alnum": (_DIGIT | _LOWER | _UPPER, 20, 3.6, (_DIGIT, _LOWER, _UPPER)),
     "token": (_DIGIT | _LOWER | _UPPER | frozenset("+/_=-"), 24, 3.9, (_DIGIT, _LOWER, _UPPER)),
+    "lower": (_DIGIT | _LOWER, 20, 3.6, (_DIGIT, _LOWER)),
+    "upper": (_DIGIT | _UPPER, 20, 3.6, (_DIGIT, _UPPER)),
+    "letters": (_LOWER | _UPPER, 24, 4.05, (_LOWER, _UPPER)),
+    # letters of one case: shorter windows of words run together have the entropy of random ones
+    "lower_letters": (_LOWER, 48, 4.1, (_LOWER,)),
+    "upper_letters": (_UPPER, 48, 4.1, (_UPPER,)),
 }
+_RUNS = {k: re.compile(f"[{re.escape(''.join(sorted(chars)))}]{{{width},}}") for k, (chars, width, _, _) in CLASSES.items()}
 #: allow-list: strings that look random but are public by convention
 ALLOW = (
     re.compile(r"example|sample|placeholder|changeme|your[_-]", re.I),
@@ -55,8 +62,7 @@ _TOKEN = np.zeros(256, bool)
 _TOKEN[[ord(c) for c in CLASSES["token"][0]]] = True
 _HEX = np.zeros(256, bool)
 _HEX[[ord(c) for c in "0123456789abcdef"]] = True
-_IS_DIGIT = np.zeros(256, bool)
-_IS_DIGIT[48:58] = True
+_IS_DIGIT, _IS_LOWER, _IS_UPPER = (np.isin(np.arange(256), [ord(c) for c in x]) for x in (_DIGIT, _LOWER, _UPPER))
 
 
 def class_runs(data: np.ndarray, offsets: np.ndarray, chars: np.ndarray, least: int):
@@ -81,8 +87,8 @@ def class_runs(data: np.ndarray, offsets: np.ndarray, chars: np.ndarray, least:
 def entropy_spans(s: str) -> list[tuple[int, int]]:
     """Spans of ``s`` covered by high-entropy windows of any class."""
     spans = []
-    for chars, width, least, needs in CLASSES.values():
-        for m in re.finditer(f"[{re.escape(''.join(sorted(chars)))}]{{{width},}}", s):
+    for kind, (_, width, least, needs) in CLASSES.items():
+        for m in _RUNS[kind].finditer(s):
             spans += [(m.start() + a, m.start() + b) for a, b in window_spans(m.group(), width, least, needs)]
     out: list[list[int]] = []
     for a, b in sorted(spans):
@@ -97,7 +103,7 @@ def window_spans(s: str, width: int, least: float, needs) -> list[tuple[int, int
     """Windows of ``width`` with entropy >= ``least`` that hold a character of
     every set in ``needs``. The sum of c * log2(c) and the sets' counts follow
     each character that enters or leaves."""
-    part = [0.0] + [c * log2(c) for c in range(1, width + 1)]
+    part = [0.0] + [c * log2(c) for c in range(1, width + 2)]  # one more while a character enters
     count: dict[str, int] = {}
     total, has, out = 0.0, [0] * len(needs), []
     for i, c in enumerate(s):
@@ -186,8 +192,12 @@ def _base_and_entropy(raw: np.ndarray, o: np.ndarray):
                         yield r, m.start(), kind, m.end()
 
     a, b = class_runs(raw, o, _TOKEN, MIN_RUN)
-    digits = np.concatenate([[0], np.cumsum(_IS_DIGIT[raw])])
-    some = digits[b] > digits[a]  # every class asks for a digit
+    def has(chars):
+        n = np.concatenate([[0], np.cumsum(chars[raw])])
+        return n[b] > n[a]
+
+    # without a digit and both cases only the classes of one case's letters are left
+    some = has(_IS_DIGIT) | (has(_IS_LOWER) & has(_IS_UPPER)) | (b - a >= CLASSES["lower_letters"][1])
     a, b = a[some], b[some]
     for x, y, r in zip(a, b, np.searchsorted(o, a, "right") - 1):
         s = buf[x:y].decode()
