@@ -5,8 +5,9 @@ high-entropy strings: candidates are maximal runs of token characters; for
 each character class a window slides over the candidate's runs in that class,
 its Shannon entropy kept by incremental counts (one character enters, one
 leaves). Overlapping windows at or above the class's threshold form one span.
-Candidates on the allow-list (documentation samples, UUIDs, alphabet and digit
-ladders) are suppressed; base spans always stay.
+The parts of a candidate, between separators, that are on the allow-list
+(documentation samples, UUIDs, alphabet and digit ladders) are left out and the
+pieces between them searched on their own; base spans always stay.
 
 One row-local Arrow stage over whole texts, no shuffle. Runs are found with
 numpy on the batch's bytes; regular expressions only see texts that hold one
@@ -54,7 +55,7 @@ _RUNS = {k: re.compile(f"[{re.escape(''.join(sorted(chars)))}]{{{width},}}") for
 #: allow-list: strings that look random but are public by convention
 ALLOW = (
     re.compile(r"example|sample|placeholder|changeme|your[_-]", re.I),
-    re.compile(r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"),
+    re.compile(r"(?<![0-9A-Za-z])[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9A-Za-z])"),
     re.compile(r"0123456789abcdef|abcdefghijklmnop|1234567890", re.I),
 )
 
@@ -128,8 +129,28 @@ def window_spans(s: str, width: int, least: float, needs) -> list[tuple[int, int
     return out
 
 
-def allowed(s: str) -> bool:
-    return any(p.search(s) for p in ALLOW)
+_PART = re.compile("[0-9A-Za-z]+")
+
+
+def open_pieces(s: str) -> list[tuple[int, int]]:
+    """The pieces of a run without its parts on the allow-list, and without the
+    separators next to those; the whole run if it has none."""
+    hits = [m.span() for p in ALLOW for m in p.finditer(s)]
+    if not hits:
+        return [(0, len(s))]
+    out, last = [], 0
+    for a, b in [m.span() for m in _PART.finditer(s) if any(u < m.end() and m.start() < v for u, v in hits)]:
+        out.append((last, a))
+        last = b
+    out.append((last, len(s)))
+    ends = []
+    for k, (a, b) in enumerate(out):
+        while k and a < b and not s[a].isalnum():
+            a += 1
+        while k < len(out) - 1 and a < b and not s[b - 1].isalnum():
+            b -= 1
+        ends.append((a, b))
+    return [(a, b) for a, b in ends if b - a >= MIN_RUN]
 
 
 def _scanner(keep: list[str]):
@@ -201,11 +222,11 @@ def _base_and_entropy(raw: np.ndarray, o: np.ndarray):
     a, b = a[some], b[some]
     for x, y, r in zip(a, b, np.searchsorted(o, a, "right") - 1):
         s = buf[x:y].decode()
-        if allowed(s):
-            continue
-        for p, q in entropy_spans(s):
-            if not any(u <= x + p and x + q <= v for u, v in base.get(int(r), ())):
-                yield int(r), own(x + p, r), 3, own(x + q, r)
+        for at, end in open_pieces(s):
+            for p, q in entropy_spans(s[at:end]):
+                p, q = x + at + p, x + at + q
+                if not any(u <= p and q <= v for u, v in base.get(int(r), ())):
+                    yield int(r), own(p, r), 3, own(q, r)
 
 
 def find_secrets(docs: DataFrame, keep: str = "doc_id") -> DataFrame:
