@@ -11,8 +11,9 @@ the jumps of the others.
 
 The search is one row-local Arrow stage without a shuffle. The windows go to
 the tasks in parts of at most ``PART_WORDS`` benchmark words (more for a single
-longer item), so what is broadcast has a bound; a larger benchmark takes more
-passes, written to the shared folder in between.
+longer item), so what the driver builds and broadcasts at once has a bound; a larger
+benchmark takes more passes, written to the shared folder in between. Parts are ranges
+of ``BUCKETS`` hash buckets of the items, filled by the counts of their words.
 
 Defined results: a null or wordless text has no words and no hits; a wordless
 item has no window; a null item_id counts as the string "null"; rows of one
@@ -35,6 +36,7 @@ from .tables import written
 WIDTH = 13
 BLOCK = 3
 PART_WORDS = 500_000
+BUCKETS = 1 << 16
 _BITS = 20
 #: word bytes: 0-9, a-z (A-Z folded) and all bytes of non-ASCII characters
 SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
@@ -146,6 +148,17 @@ def merged(spans):
     return out
 
 
+def part_starts(counts, part_words: int) -> list[int]:
+    """First buckets of the parts: each of at most ``part_words`` words or one bucket."""
+    starts, held = [0], 0
+    for bucket, n in sorted(counts):
+        if held and held + n > part_words:
+            starts.append(bucket)
+            held = 0
+        held += n
+    return starts
+
+
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                    keep: list[str] | None = None, part_words: int = PART_WORDS) -> tuple[DataFrame, str]:
     """``docs`` (columns ``keep``, all by default) with, under a prefix that no
@@ -162,11 +175,13 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     names = {k: prefix + k for k in ("n_words", "spans", "items")}
     bench = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
                              F.coalesce("text", F.lit("")).alias("text"))
-    total = bench.agg(F.sum(F.size(F.split("text", " ")))).first()[0] or 0
-    parts = max(1, -(-total // part_words))
+    bench = bench.distinct().withColumn("bucket", F.pmod(F.xxhash64("item", "text"), F.lit(BUCKETS)))
+    n = F.regexp_count("text", F.lit(r"[0-9A-Za-z\x{80}-\x{10ffff}]+"))
+    starts = part_starts(bench.groupBy("bucket").agg(F.sum(n).alias("n")).collect(), part_words)
+    parts = len(starts)
     out = docs
-    for part in range(parts):
-        rows = bench.filter(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part).collect()
+    for part, (low, high) in enumerate(zip(starts, [*starts[1:], BUCKETS])):
+        rows = bench.filter((F.col("bucket") >= low) & (F.col("bucket") < high)).collect()
         shared = spark.sparkContext.broadcast(item_windows([(r.item, r.text) for r in rows]))
         end = part == parts - 1
         held = keep if end else docs.columns
