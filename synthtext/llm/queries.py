@@ -173,6 +173,34 @@ def op10_top_vectors(spark, sf_dir):
     return top_k(quantised(table(spark, sf_dir, "embeddings")))
 
 
+@register("op11_token_alignment")
+def op11_token_alignment(spark, sf_dir):
+    """Operator 11: all documents encoded by both tokenizers and aligned; tested against
+    the tokenizers' own ids and sets of common ends."""
+    from .align import align_documents, load_tokenizers
+
+    out = align_documents(table(spark, sf_dir, "documents"), load_tokenizers(), ["doc_id"], groups="sha256")
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                      F.col("groups").alias("groups_sha256"))
+
+
+@register("op12_spelling_variants")
+def op12_spelling_variants(spark, sf_dir):
+    """Operator 12: the words of all documents, one in 97 (document, word) pairs misspelled."""
+    from .variants import spelling_variants, word_counts
+
+    words = word_counts(table(spark, sf_dir, "documents"), drop=97, min_chars=5, min_count=3)
+    return spelling_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@register("op13_fingerprints")
+def op13_fingerprints(spark, sf_dir):
+    """Operator 13: every document, its edited text and the document after it."""
+    from .fingerprints import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries():
     return dict(QUERIES)
 
