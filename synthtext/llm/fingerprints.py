@@ -114,13 +114,13 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     keys = written(rows.select("key", "id", F.char_length("text").alias("n_chars")).distinct(), "fingerprint_keys")
     ranked = written(with_ordinal(keys, ["id", "key"], "at", total_col="total"), "fingerprint_order")
     before = ranked.select(((F.col("at") + 1) % F.col("total")).alias("at"), F.col("key").alias("prev_key"),
-                           F.floor(F.col("n_chars") / 4).cast("int").alias("quarter"))
-    asked = ranked.select("at", "key").join(before, "at").select("key", "prev_key", "quarter")
-    # the texts move once: both branches read one exchange by key
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    placed = rows.dropDuplicates(["key"]).repartition(parts, "key")
+                           F.col("id").alias("prev_id"), F.floor(F.col("n_chars") / 4).cast("int").alias("quarter"))
+    asked = ranked.select("at", "key").join(before, "at").select("key", "prev_key", "prev_id", "quarter")
+    # the texts move once: both branches read the same columns of one exchange by key
+    placed = rows.groupBy("key").agg(F.first("text").alias("text"))
     heads = placed.join(asked, "key").select(
-        F.col("prev_key").alias("key"), F.col("key").alias("next_key"), F.left("text", F.col("quarter")).alias("head"))
+        F.col("prev_key").alias("key"), F.col("prev_id").alias("id"), F.col("key").alias("next_key"),
+        F.left("text", F.col("quarter")).alias("head"))
     return placed.join(heads, "key").select("key", "id", "text", F.char_length("text").alias("n_chars"), "head", "next_key")
 
 
