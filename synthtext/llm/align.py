@@ -132,7 +132,12 @@ def align(ends_a: np.ndarray, ends_b: np.ndarray, first_a: np.ndarray, first_b:
         cut_a = np.full(len(lo_a), -1, np.int64)
         cut_b = np.full(len(lo_a), -1, np.int64)
         seek = np.flatnonzero((hi_a - lo_a > 1) & (hi_b - lo_b > 1))
-        near, far = 0, 1  # distances from the middle looked at in this round: near .. far - 1
+        found = np.searchsorted(ends_b, ends_a[mid[seek]])
+        same = ends_b[found] == ends_a[mid[seek]]
+        cut_a[seek[same]], cut_b[seek[same]] = mid[seek[same]], found[same]
+        seek = seek[~same]
+        near, far = 1, 2  # distances from the middle looked at in this round: near .. far - 1
+        seek = seek[(mid[seek] - near >= lo_a[seek]) | (mid[seek] + near <= hi_a[seek] - 2)]
         while len(seek):
             d = np.arange(near, far)
             at = mid[seek, None] + np.stack([-d, d], 1).reshape(-1)[None, :]
@@ -210,9 +215,9 @@ class Aligner:
 
     def encoded(self, texts: list[str]) -> tuple[np.ndarray, ...]:
         """Ids and tokens a text, of A and B; none for texts that do not come back."""
-        ids_a = [self.both.a.encode_to_numpy(" " + t) if t else np.zeros(0, np.uint32) for t in texts]
+        ids_a = [self.both.a.encode_ordinary(" " + t) if t else [] for t in texts]
         n_a = np.array([len(x) for x in ids_a], np.int64)
-        a = np.concatenate([*ids_a, np.zeros(0, np.uint32)]).astype(np.int64)
+        a = np.fromiter(chain.from_iterable(ids_a), np.int64, int(n_a.sum()))
         ids_b = self.both.b.encode(texts, num_threads=1)
         n_b = np.array([len(x) for x in ids_b], np.int64)
         b = np.fromiter(chain.from_iterable(ids_b), np.int64, int(n_b.sum()))
