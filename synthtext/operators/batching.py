@@ -14,6 +14,14 @@ position is a dense ordinal over a sort key, computed without a global
    rows, so that table is broadcast); the ordinal is the count before the bucket
    plus the rank inside it.
 
+Large inputs take a second level, so that the pieces follow the rows: every bucket has
+bounds of its own, one for about ``PIECE_ROWS`` of its rows (each ``SAMPLE``-th of the keys
+that a hash picks), and a bucket's counts are summed piece by piece. The bounds and counts of
+all pieces are never in one place: they are joined to the rows, bounds by bucket
+and a salt, counts by bucket and piece, where the rank's window has put the rows anyway.
+A piece is the gap between ``SAMPLE`` picked keys, so hardly ever more than twice
+``PIECE_ROWS`` rows, whatever the input.
+
 No step runs a job while the plan is built, and nothing relies on two parts of
 the plan sharing an exchange.
 """
@@ -25,8 +33,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from synthtext.session import checkpoint_root
+from synthtext.session import SPREAD_BYTES, checkpoint_root
 
+#: rows of a piece of the second level, and parts that a bucket is dealt over to find them
+PIECE_ROWS = 1 << 20
+_SALTS = 64
 #: sampled rows for each bucket, and the most buckets (bounds are searched in two steps)
 SAMPLE = 32
 MAX_BUCKETS = 2048
@@ -62,6 +73,26 @@ def _bucket(bounds: Column, key: Column) -> Column:
     return F.greatest(coarse - 1, F.lit(0)) * _STEP + fine
 
 
+def default_levels(df: DataFrame) -> int:
+    """Two levels above ``SPREAD_BYTES`` of the plan's own estimate. It changes the plan
+    and never the ordinals."""
+    return 2 if int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > SPREAD_BYTES else 1
+
+
+def _pieces(placed: DataFrame) -> DataFrame:
+    """Second level: ``placed(.., __key, __bucket)`` with ``__piece``, its place among the
+    bounds of its bucket."""
+    picked = placed.where(F.pmod(F.xxhash64(F.lit(11), "__key"), F.lit(PIECE_ROWS)) < SAMPLE)
+    every = picked.groupBy("__bucket").agg(F.array_sort(F.collect_list("__key")).alias("s"))
+    b = F.filter("s", lambda x, i: i % SAMPLE == SAMPLE - 1)
+    every = every.select("__bucket", b.alias("b")).select(
+        "__bucket", F.struct(F.col("b"), F.filter("b", lambda x, i: i % _STEP == 0).alias("c")).alias("__bounds"),
+        F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("__salt"))
+    salted = placed.withColumn("__salt", F.pmod(F.xxhash64(F.lit(13), "__key"), F.lit(_SALTS)).cast("int"))
+    return salted.join(every, ["__bucket", "__salt"], "left").withColumn(
+        "__piece", F.coalesce(_bucket(F.col("__bounds"), F.col("__key")), F.lit(0))).drop("__bounds", "__salt")
+
+
 def with_ordinal(
     df: DataFrame,
     order_by: Sequence[str],
@@ -70,6 +101,7 @@ def with_ordinal(
     total_col: str | None = None,
     checkpoint: bool = False,
     unique_keys: bool = False,
+    levels: int | None = None,
 ) -> DataFrame:
     """B1 building block: dense 0-based ``name`` in ``order_by`` order (nulls first).
 
@@ -81,11 +113,12 @@ def with_ordinal(
     dense ordinals ordered by a hash of the row. ``num_partitions`` is the number
     of buckets (``default_buckets``). ``total_col`` also attaches the row count.
     ``checkpoint=True`` writes the rows to the shared checkpoint folder first,
-    for inputs that read differently each time.
+    for inputs that read differently each time. ``levels`` (``default_levels``): 2 cuts
+    the buckets into pieces of about ``PIECE_ROWS`` rows.
     """
     if unique_keys and len(df.columns) > len(order_by):
         keys = list(order_by)
-        narrow = with_ordinal(df.select(*keys), keys, name, num_partitions, total_col, checkpoint)
+        narrow = with_ordinal(df.select(*keys), keys, name, num_partitions, total_col, checkpoint, levels=levels)
         return df.join(narrow, keys)
     if checkpoint:
         checkpoint_root(df.sparkSession)
@@ -94,18 +127,29 @@ def with_ordinal(
     key = F.struct(*order_by, F.xxhash64(*[F.col(c) for c in df.columns]).alias("__row"))
     placed = df.withColumn("__key", key).withColumn("__bounds", _bounds(df, key, buckets)).withColumn(
         "__bucket", _bucket(F.col("__bounds"), F.col("__key"))).drop("__bounds")
+    parts = ["__bucket"]
+    if (levels or default_levels(df)) > 1:
+        placed, parts = _pieces(placed), ["__bucket", "__piece"]
+    counts = placed.groupBy(*parts).agg(F.count(F.lit(1)).alias("__cnt"))
+    buckets_of = counts if len(parts) == 1 else counts.groupBy("__bucket").agg(F.sum("__cnt").alias("__cnt"))
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__cnt")).select(
+    offsets = buckets_of.select(
         "__bucket",
         F.coalesce(F.sum("__cnt").over(before), F.lit(0)).cast("long").alias("__off"),
         F.sum("__cnt").over(Window.partitionBy()).cast("long").alias("__total"),
     )
-    rank = F.row_number().over(Window.partitionBy("__bucket").orderBy("__key"))
-    out = placed.withColumn("__rank", rank).join(F.broadcast(offsets), "__bucket").withColumn(
+    if len(parts) > 1:  # the pieces before it in its bucket
+        inside = Window.partitionBy("__bucket").orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.withColumn("__in", F.coalesce(F.sum("__cnt").over(inside), F.lit(0))).join(
+            F.broadcast(offsets), "__bucket").select(*parts, (F.col("__off") + F.col("__in")).alias("__off"), "__total")
+    else:
+        offsets = F.broadcast(offsets)
+    rank = F.row_number().over(Window.partitionBy(*parts).orderBy("__key"))
+    out = placed.withColumn("__rank", rank).join(offsets, parts).withColumn(
         name, F.col("__off") + F.col("__rank") - 1)
     if total_col:
         out = out.withColumnRenamed("__total", total_col)
-    return out.drop("__key", "__bucket", "__rank", "__off", "__total")
+    return out.drop("__key", "__bucket", "__piece", "__rank", "__off", "__total")
 
 
 def assign_batches(

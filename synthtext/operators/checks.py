@@ -167,8 +167,15 @@ def _drop_views(df: DataFrame, tag: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith(f"__{tag}_")])
 
 
+#: between messages of one record; no message holds it
+_BREAK = "\x01"
+
+
 def _errors(*cases: Column) -> Column:
-    return F.filter(F.array(*cases), lambda x: x.isNotNull())
+    """The cases that are not null. Joined and cut again as a text: that stays in generated
+    code, where a filter over an array of cases would interpret every rule."""
+    joined = F.concat_ws(_BREAK, *cases)
+    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, _BREAK))
 
 
 def _msg(cond: Column, text: str | Column) -> Column:
@@ -351,10 +358,16 @@ INVALID_JSON, NOT_A_RECORD = "invalid JSON", "not a record"
 
 def _parsed(col: str) -> Column:
     """The VARIANT of a JSON text, null where it is not JSON; a text above the
-    size that a VARIANT holds raises, as it may well be valid."""
+    size that a VARIANT holds raises, as it may well be valid. The size is looked at
+    first, so every text is parsed once."""
     v = F.try_parse_json(F.col(col))
-    return F.when(v.isNull() & (F.octet_length(col) > F.lit(128 << 20)), F.raise_error(
-        F.lit("a JSON record of more than 128 MiB does not fit a VARIANT"))).otherwise(v)
+    return F.when(F.octet_length(col) > F.lit(128 << 20), F.coalesce(v, F.raise_error(
+        F.lit("a JSON record of more than 128 MiB does not fit a VARIANT")))).otherwise(v)
+
+
+def _is_object(v: Column) -> Column:
+    """Whether a VARIANT is an object: its keys alone are read, not its whole tree."""
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
 
 
 def check_records(df: DataFrame, json_col: str = "config_json", out: str = "errors") -> DataFrame:
@@ -366,7 +379,7 @@ def check_records(df: DataFrame, json_col: str = "config_json", out: str = "erro
     v = F.col("__v")
     syntax = F.create_map(F.lit("syntax"), F.array(F.lit(INVALID_JSON)))
     loading = F.create_map(F.lit("loading"), F.array(F.lit(NOT_A_RECORD)))
-    flat = ~F.schema_of_variant(v).startswith("OBJECT")
+    flat = ~_is_object(v)
     d = d.withColumn(out, F.when(v.isNull(), syntax).when(flat, loading).otherwise(F.col("__errs")))
     return d.drop("__v", "__errs")
 
@@ -405,7 +418,7 @@ def check_files(spark: SparkSession, root: str, suffix: str = ".json", lines: bo
         errs = F.when(F.col("section") == name, F.col(f"__err_{name}")).otherwise(errs)
     v = F.col("__v")
     # what parses but is no record cannot be loaded as one
-    flat = v.isNotNull() & ~F.schema_of_variant(F.try_variant_get(v, doc_path, "variant")).startswith("OBJECT")
+    flat = v.isNotNull() & ~_is_object(F.try_variant_get(v, doc_path, "variant"))
     return d.select(
         "file_path",
         "value",

@@ -50,3 +50,14 @@ def echo(template: str = "{prompt}") -> BackendSpec:
 
 def batch_only_echo(template: str = "{prompt}") -> BackendSpec:
     return BackendSpec.from_factory("echo_batch_only", BatchOnlyEchoBackend, template=template)
+
+
+class EvenSeedEcho(EchoBackend):
+    """Has no text for prompts of odd seeds."""
+
+    def generate(self, prompts: list[str], params: dict, seeds=None) -> list[list[str]]:
+        return [texts if seeds[i] % 2 == 0 else [] for i, texts in enumerate(super().generate(prompts, params, seeds))]
+
+
+def even_seed_echo(template: str = "{prompt}") -> BackendSpec:
+    return BackendSpec.from_factory("echo_even_seeds", EvenSeedEcho, template=template)

@@ -32,8 +32,9 @@ from synthtext.sinks import records as K
 
 
 def prepare_prompts(prompts: DataFrame, cfg: RunConfig, num_partitions: int | None = None) -> DataFrame:
-    """Contiguous batches (B1) and per-row seeds."""
-    batched = B.assign_batches(prompts, cfg.generation.batch_size, ["prompt_id"], num_partitions)
+    """Contiguous batches (B1) and per-row seeds (B4). ``prompt_id`` identifies a prompt (as
+    every source sees to), so ordinals are computed on ids alone and texts move once."""
+    batched = B.assign_batches(prompts, cfg.generation.batch_size, ["prompt_id"], num_partitions, unique_keys=True)
     return B.with_row_seed(batched, cfg.generation.seed, "prompt_id")
 
 

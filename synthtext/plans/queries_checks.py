@@ -227,8 +227,9 @@ def _record(x):
 
 
 def records(spark, d):
-    # props is parsed once; the record expression reads the column many times.
-    ev = spread(table(spark, d, "events")).select(
+    # props is parsed once; the record expression reads the column many times. A few
+    # bytes of an event become a whole record, so splits are small.
+    ev = spread(table(spark, d, "events"), 1 << 18).select(
         "event_id", "event_type", F.get_json_object("props", "$.k").cast("long").alias("__k")
     )
     x = _Sp(ev)

@@ -15,18 +15,19 @@ from synthtext.config import Generation, Output, PostProcessing, RunConfig
 from synthtext.functions.tokens import count_tokens, tokenize_clean
 from synthtext.operators import batching as B
 from synthtext.operators.backends import register_backend
-from synthtext.operators.generate import attach_outputs, explode_sequences, generate, timing_table
+from synthtext.operators.generate import attach_outputs, explode_sequences, generate, generate_one, timing_table
 from synthtext.operators.metrics import run_totals
 from synthtext.operators.postprocess import apply_post_processing
 from synthtext.operators.prompts import apply_template, build_output_record
 from synthtext.plans import oracle as O
-from synthtext.plans.doubles import EchoBackend, batch_only_echo, echo
+from synthtext.plans.doubles import EchoBackend, batch_only_echo, echo, even_seed_echo
 from synthtext.plans.generator import TextGenerator
 from synthtext.plans.job import run_batch_job
 from synthtext.plans.queries_text import FULL
 from synthtext.plans.registry import r6, register, table
 from synthtext.session import scratch_path
-from synthtext.sources.prompts import read_prompts_stream
+from synthtext.sources.prompts import prompts_from_list, read_prompts_stream
+from synthtext.streaming.responses import RESPONSE, assemble_responses
 from synthtext.streaming.generate import finalize_responses, finished_only, generate_stream, start_stream
 
 ECHO = echo("Answer: {prompt}")
@@ -78,12 +79,37 @@ def q_multi_sequence(spark, d):
     "FROM conversations",
 )
 def q_attach_outputs(spark, d):
-    """B3, join form: outputs of the even turns only, in a table of their own."""
+    """B3, join form: every turn goes to a backend that has no answer for odd ones."""
     prompts = _prompts(spark, d)
-    outputs = generate(prompts.where("turn % 2 = 0"), ECHO, batch_col=None).select("prompt_id", "generated_text")
+    seen = generate(prompts, even_seed_echo("Answer: {prompt}"), batch_col=None, seed_col="turn")
+    outputs = seen.where("generated_text IS NOT NULL").select("prompt_id", "generated_text")
     return attach_outputs(prompts.select("prompt_id", "prompt"), outputs)
 
 
+@register(
+    "q_attach_all_outputs",
+    f"SELECT {_ID} AS prompt_id, text AS prompt, 'Answer: ' || text AS generated_text FROM conversations",
+)
+def q_attach_all_outputs(spark, d):
+    """B3, join form: outputs of all turns, generated apart and joined back."""
+    prompts = _prompts(spark, d)
+    outputs = generate(prompts, ECHO, batch_col=None).select("prompt_id", "generated_text")
+    return attach_outputs(prompts.select("prompt_id", "prompt"), outputs)
+
+
+@register(
+    "q_generate_one",
+    f"SELECT text AS prompt, 'Answer: ' || text AS generated_text FROM conversations "
+    f"WHERE text IS NOT NULL ORDER BY len(text) DESC, {_ID} LIMIT 3",
+)
+def q_generate_one(spark, d):
+    """The three longest prompts of the table, each generated by itself."""
+    longest = _prompts(spark, d).where("prompt IS NOT NULL").orderBy(F.char_length("prompt").desc(), "prompt_id").limit(3)
+    given = [r.prompt for r in longest.select("prompt").collect()]  # the caller's own list
+    answers = prompts_from_list(spark, [generate_one(spark, p, ECHO) for p in given])
+    return prompts_from_list(spark, given).join(answers.withColumnRenamed("prompt", "generated_text"), "prompt_id").drop("prompt_id")
+
+
 _SEED = f"('0x' || substr(md5('42:' || ({_ID})::VARCHAR), 1, 15))::BIGINT"
 
 
@@ -242,6 +268,42 @@ def q_stream_metrics(spark, d):
         *names, "total_tokens", "total_samples", r6(F.col("`throughput/tokens_per_sample`")).alias("tokens_per_sample"))
 
 
+_PIECE = 64
+_FIRST = "TIMESTAMP '2024-01-01 00:00:00'"
+
+
+@register(
+    "q_stream_state",
+    f"SELECT {_ID} AS request_id, 0::BIGINT AS seq_index, text, greatest(1, (len(text) + {_PIECE - 1}) // {_PIECE})::BIGINT "
+    "AS n_pieces, turn % 5 <> 4 AS complete FROM conversations WHERE text IS NOT NULL",
+)
+def q_stream_state(spark, d):
+    """ST2 with state: every turn as pieces of 64 characters, dealt over three epochs in no
+    order; every fifth turn never says that it is finished and leaves after the
+    watermark, which a last epoch of one finished piece a conversation moves on."""
+    conv = table(spark, d, "conversations").where("text IS NOT NULL").select(F.expr(_ID).alias("request_id"), "turn", "text")
+    last = F.greatest(F.lit(0), F.ceil(F.char_length("text") / _PIECE).cast("int") - 1)
+    pieces = conv.select("request_id", "turn", "text", last.alias("last"), F.explode(F.sequence(F.lit(0), last)).alias("seq")).select(
+        "request_id", F.lit(0).cast("bigint").alias("seq_index"), F.col("seq").cast("bigint").alias("seq"),
+        F.substring(F.col("text"), F.col("seq") * _PIECE + 1, F.lit(_PIECE)).alias("text"),
+        ((F.col("seq") == F.col("last")) & (F.col("turn") % 5 != 4)).alias("finished"),
+        F.timestamp_add("SECOND", F.pmod(F.xxhash64("seq", "request_id"), F.lit(300)).cast("int"), F.expr(_FIRST)).alias("event_time"))
+    after = table(spark, d, "conversations").select(
+        (-1 - F.col("conv_id")).alias("request_id"), F.lit(0).cast("bigint").alias("seq_index"), F.lit(0).cast("bigint").alias("seq"),
+        F.lit("").alias("text"), F.lit(True).alias("finished"), F.expr(_FIRST + " + INTERVAL 1 DAY").alias("event_time")).distinct()
+    path = scratch_path(spark, "pieces")
+    files = max(1, int(pieces._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) >> 30)
+    for epoch in range(3):
+        part = pieces.where(F.pmod(F.xxhash64("request_id", "seq"), F.lit(3)) == epoch)
+        part.repartition(files).write.mode("append").parquet(f"{path}/in")
+    after.repartition(files).write.mode("append").parquet(f"{path}/in")
+    feed = spark.readStream.schema(pieces.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/in")
+    q = assemble_responses(feed).writeStream.format("parquet").option("path", f"{path}/out").option(
+        "checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(RESPONSE).parquet(f"{path}/out").where("request_id >= 0")
+
+
 # --------------------------------------------------------------------------
 # The batch job end to end
 # --------------------------------------------------------------------------

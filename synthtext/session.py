@@ -41,6 +41,9 @@ def build_session(
         # Rows per Arrow batch into the Python stages: bounds worker memory when
         # texts are long (the generation stage joins them to whole batches).
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+        # Larger generated methods are not compiled by the JVM's JIT; operators then run
+        # with their own generated projections, which are cut into small methods.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
@@ -94,9 +97,9 @@ SPREAD_BYTES = 1 << 30
 SPREAD_SPLIT = 1 << 20
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, split: int = SPREAD_SPLIT) -> DataFrame:
     """Round-robin a small ``df`` (up to ``SPREAD_BYTES``) over partitions of
-    about ``SPREAD_SPLIT`` bytes.
+    about ``split`` bytes (fewer where a row's work is large for its bytes).
 
     CPU-heavy row stages (regular expressions over whole texts, model calls) run
     once per row; a small file that cannot be split (one Parquet row group, one
@@ -107,7 +110,7 @@ def spread(df: DataFrame) -> DataFrame:
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     if size > SPREAD_BYTES:
         return df
-    return df.repartition(max(1, -(-size // SPREAD_SPLIT)))
+    return df.repartition(max(1, -(-size // split)))
 
 
 _SHIPPED: set[str] = set()

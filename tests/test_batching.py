@@ -77,3 +77,33 @@ def test_dense_ordinals_key_only_join(spark, parts):
     got = sorted((r.key, r.ordinal) for r in d)
     assert [o for _, o in got] == list(range(500))
     assert {r.total for r in d} == {500} and {r.batch_id for r in d} == set(range(32))
+
+
+def test_second_level_pieces_follow_the_rows(spark, monkeypatch):
+    """Eight buckets at most, far more pieces: ordinals stay dense and in order, with a
+    third of the rows on one key, and no window holds more than a few pieces' rows."""
+    monkeypatch.setattr(B, "MAX_BUCKETS", 8)
+    monkeypatch.setattr(B, "PIECE_ROWS", 256)
+    n = 30_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(5_000)).otherwise(F.xxhash64("id") % 10_000).alias("k"),
+                               F.col("id").alias("v")).repartition(5)
+    one = B.with_ordinal(df, ["k"], total_col="n", levels=1)
+    two = B.with_ordinal(df, ["k"], total_col="n", levels=2)
+    rows = two.orderBy("ordinal").collect()
+    assert [r.ordinal for r in rows] == list(range(n)) and {r.n for r in rows} == {n}
+    assert [r.k for r in rows] == sorted(r.k for r in rows)
+    assert one.exceptAll(two).isEmpty()  # the levels change the plan only
+    key = F.struct("k", F.xxhash64("k", "v").alias("__row"))
+    placed = df.withColumn("__key", key).withColumn("__b", B._bounds(df, key, 8)).withColumn(
+        "__bucket", B._bucket(F.col("__b"), F.col("__key"))).drop("__b")
+    sizes = [r["count"] for r in B._pieces(placed).groupBy("__bucket", "__piece").count().collect()]
+    assert len(sizes) > 90 and max(sizes) <= 3 * 256
+
+
+def test_second_level_on_small_and_empty_inputs(spark):
+    for n in (0, 1, 5):
+        got = B.with_ordinal(spark.range(n), ["id"], levels=2).collect()
+        assert sorted((r.id, r.ordinal) for r in got) == [(i, i) for i in range(n)]
+    wide = spark.range(100).selectExpr("id", "repeat('x', 50) AS text")
+    got = B.assign_batches(wide, 16, ["id"], unique_keys=True)
+    assert sorted((r.id, r.batch_id, len(r.text)) for r in got.collect()) == [(i, i // 16, 50) for i in range(100)]
