@@ -194,6 +194,71 @@ def q_token_diversity_by_batch(spark, d):
     )
 
 
+def _running_diversity_oracle():
+    return (
+        f"WITH o AS (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // {BATCH} AS batch_id, {O.tokens_raw('text')} AS tok "
+        "FROM documents), t AS (SELECT batch_id, unnest(tok) AS tok FROM o), "
+        "f AS (SELECT b AS batch_id, count(*) AS n FROM (SELECT tok, min(batch_id) AS b FROM t GROUP BY tok) GROUP BY b), "
+        "c AS (SELECT batch_id, sum(len(tok)) AS k FROM o GROUP BY batch_id) "
+        "SELECT batch_id::BIGINT AS batch_id, coalesce(sum(n) OVER w, 0)::BIGINT AS unique_tokens, "
+        "coalesce(sum(k) OVER w, 0)::BIGINT AS total_tokens, true AS sketch_near "
+        "FROM c LEFT JOIN f USING (batch_id) WINDOW w AS (ORDER BY batch_id)"
+    )
+
+
+@register("q_running_diversity", _running_diversity_oracle())
+def q_running_diversity(spark, d):
+    """M2, mergeable: the unique tokens so far after every batch, exact (from each
+    token's first batch) and whether the union of the batches' written sketches is
+    within the tolerance; totals come from the sketches' table."""
+    from synthtext.operators import sketches as S
+    from synthtext.session import scratch_path
+
+    df = spread(table(spark, d, "documents").select("doc_id", "text"))
+    tokens = df.select("doc_id", tokenize(F.col("text")).alias("tokens"))
+    batched = B.assign_batches(tokens, BATCH, ["doc_id"], unique_keys=True).select("batch_id", "tokens")
+    path = scratch_path(spark, "sketches")
+    S.token_sketches(batched, "tokens", ["batch_id"]).write.parquet(path)
+    per_batch = spark.read.parquet(path)
+    first = batched.select("batch_id", F.explode("tokens").alias("token")).groupBy("token").agg(F.min("batch_id").alias("batch_id"))
+    new = first.groupBy("batch_id").agg(F.count(F.lit(1)).alias("unique_tokens"))
+    new = per_batch.select("batch_id").join(new, "batch_id", "left").fillna(0, ["unique_tokens"])
+    exact = M.running_totals(new, "batch_id", ["unique_tokens"]).select("batch_id", "cum_unique_tokens")
+    so_far = S.running_sketches(per_batch, "batch_id").join(exact, "batch_id")
+    n = F.col("cum_unique_tokens")
+    return so_far.select(
+        "batch_id", n.cast("bigint").alias("unique_tokens"), "total_tokens",
+        (F.abs(S.unique_tokens("sketch") - n) <= S.TOLERANCE * n).alias("sketch_near"))
+
+
+def _sketch_oracle():
+    return (
+        f"WITH o AS (SELECT lang, {O.tokens_raw('text')} AS tok FROM documents), "
+        "t AS (SELECT lang, unnest(tok) AS tok FROM o), "
+        "u AS (SELECT lang, count(DISTINCT tok) AS n FROM t GROUP BY lang), "
+        "k AS (SELECT lang, coalesce(sum(len(tok)), 0) AS k FROM o GROUP BY lang) "
+        "SELECT k.lang, coalesce(n, 0)::BIGINT AS unique_tokens, k::BIGINT AS total_tokens, true AS sketch_near "
+        "FROM k LEFT JOIN u ON k.lang IS NOT DISTINCT FROM u.lang"
+    )
+
+
+@register("q_token_diversity_sketch", _sketch_oracle())
+def q_token_diversity_sketch(spark, d):
+    """M2, approximate: exact distinct tokens of each language beside sketches of
+    (language, source), merged to languages."""
+    from synthtext.operators import sketches as S
+
+    df = spread(table(spark, d, "documents").select("lang", "source", "text"))
+    tokens = df.select("lang", "source", tokenize(F.col("text")).alias("tokens"))
+    merged = S.approx_diversity(S.merge_sketches(S.token_sketches(tokens, "tokens", ["lang", "source"]), ["lang"]), ["lang"])
+    exact = M.diversity_from_histogram(M.token_histogram(tokens, "tokens", ["lang"], keep_empty_groups=True), ["lang"])
+    exact = exact.select(F.col("lang").alias("__lang"), F.col("unique_tokens").alias("n"))
+    n = F.col("n")
+    return merged.join(exact, F.col("lang").eqNullSafe(F.col("__lang"))).select(
+        "lang", n.alias("unique_tokens"), "total_tokens",
+        (F.abs(F.col("unique_tokens") - n) <= S.TOLERANCE * n).alias("sketch_near"))
+
+
 @register(
     "q_progress",
     f"WITH o AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ord FROM documents) "

@@ -63,12 +63,17 @@ class Assembler(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         new: dict[int, str] = {}
         latest, last = 0, -1
+        mark = timerValues.getCurrentWatermarkInMs()
         for pdf in rows:
             for seq, text, done, at in zip(pdf["seq"], pdf["text"], pdf["finished"], pdf["at_ms"]):
+                if at < mark:  # Spark itself drops late rows one epoch later
+                    continue
                 new[int(seq)] = "" if text is None else text
                 latest = max(latest, int(at))
                 if done:
                     last = int(seq)
+        if not new:
+            return
         # numbers start at 0, and a response has none beyond its last piece
         if not self.seen.exists():
             if last >= 0 and len(new) == last + 1:  # all of it in one micro-batch: no state
