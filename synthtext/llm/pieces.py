@@ -36,6 +36,7 @@ import hashlib
 import re
 import string
 import zlib
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import cached_property
 from itertools import chain
@@ -49,10 +50,11 @@ from pyspark.sql import types as T
 
 from ..session import ship_package
 from . import words as W
+from .tables import small_batches
 
 SPACE = "▁"
 BLOCK = 4 << 20
-MEMO = 300_000
+MEMO = 100_000
 
 
 @dataclass
@@ -387,7 +389,7 @@ class _Speller:
             self.words[w] = own
         return own
 
-    def texts(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    def texts(self, texts: Iterable[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's end: each distinct word is
         spelled once, the texts are put together with numpy."""
         place: dict[str, int] = {}
@@ -443,7 +445,7 @@ def _spell(shared, buckets: int, keep: list[str], out: str):
             speller = _Speller(table, p)
             for bucket, chunks in _asked(texts, table.kind, p, buckets).items():
                 speller.learn(chunks, cuts[bucket])
-            flat, ends = speller.texts([_words(t, table.kind) for t in texts])
+            flat, ends = speller.texts(_words(t, table.kind) for t in texts)
             done.append(rows.select(keep).append_column(
                 out, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))))
         return pa.concat_tables(done)
@@ -455,6 +457,7 @@ def encode(docs: DataFrame, table: Pieces, out: str = "ids") -> DataFrame:
     """``docs`` with the ids of its column ``text`` in a new column ``out``."""
     spark = docs.sparkSession
     ship_package(spark)
+    small_batches(spark)
     keep = docs.columns
     if out in keep:
         raise ValueError(f"there is a column {out!r} already")
@@ -479,6 +482,9 @@ def encode(docs: DataFrame, table: Pieces, out: str = "ids") -> DataFrame:
 def decode(rows: DataFrame, table: Pieces, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``rows`` with the text of its ids in ``out``."""
     ship_package(rows.sparkSession)
+    small_batches(rows.sparkSession)
+    if out in rows.columns:
+        raise ValueError(f"there is a column {out!r} already")
     shared = rows.sparkSession.sparkContext.broadcast(table.raw)
 
     def run(batches):

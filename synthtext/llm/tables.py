@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -23,6 +23,14 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Python stages after this get at most ``rows`` rows at a time: with whole texts and their
+    ids in a row, the default of 10,000 makes batches of a hundred MB on either side."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def connected_components(edges: DataFrame, kind: str = "components") -> DataFrame:
     """``(node, component)`` for every node of ``edges(a, b)``; the component
     is its smallest node.
