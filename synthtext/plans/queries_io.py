@@ -150,3 +150,50 @@ def q_roundtrip_json_document(spark, d):
     path = scratch_path(spark, "roundtrip") + "/docs"
     docs.select("doc", value.alias("v")).select("doc", "v.*").write.partitionBy("kind", "doc").text(path)
     return S.read_prompts_json(spark, path + "/*/*/").select("prompt")
+
+
+_ODD_SQL = "CASE turn % 3 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE text END"
+
+
+@register(
+    "q_csv_null_prompts",
+    f"SELECT {_ODD_SQL} AS prompt, {_ODD_SQL} IS NULL AS rejected, count(*)::BIGINT AS n FROM conversations GROUP BY ALL",
+)
+def q_csv_null_prompts(spark, d):
+    """K2 -> S4 with rejects: records whose prompts are empty, null or a text, by turn;
+    the empty ones come back as prompts, the null ones as rejects."""
+    turn = F.col("turn") % 3
+    odd = F.when(turn == 0, F.lit("")).when(turn == 2, F.col("prompt"))
+    path = K.records_path(scratch_path(spark, "roundtrip"), "rt") + "/"
+    K.write_records(_records(spark, d).withColumn("prompt", odd), path, "csv")
+    prompts, rejects = S.read_prompts_checked(spark, path, format="csv")
+    both = prompts.select("prompt", F.lit(False).alias("rejected")).union(
+        rejects.select(F.lit(None).cast("string"), F.lit(True)))
+    return both.groupBy("prompt", "rejected").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    "q_stream_rejects",
+    "SELECT CASE turn % 4 WHEN 1 THEN '{\"other\":' || turn || '}' WHEN 2 THEN '{\"prompt\": ' || turn END AS item, "
+    "CASE WHEN turn % 4 NOT IN (1, 2) THEN text END AS prompt, "
+    "CASE turn % 4 WHEN 1 THEN 'no prompt' WHEN 2 THEN 'invalid JSON' END AS reason, "
+    "count(*)::BIGINT AS n, true AS own_ids FROM conversations WHERE turn % 4 IN (1, 2) OR text IS NOT NULL GROUP BY ALL",
+)
+def q_stream_rejects(spark, d):
+    """S10 with rejects: a JSON line of every turn, half of them without a prompt or cut
+    off, fed as a stream by byte ranges; every line has an id of its own."""
+    conv = table(spark, d, "conversations").where("turn % 4 IN (1, 2) OR text IS NOT NULL")
+    turn = F.col("turn").cast("string")
+    line = (F.when(F.col("turn") % 4 == 1, F.concat(F.lit('{"other":'), turn, F.lit("}")))
+            .when(F.col("turn") % 4 == 2, F.concat(F.lit('{"prompt": '), turn))
+            .otherwise(F.to_json(F.struct(F.col("text").alias("prompt")))))
+    path = scratch_path(spark, "rejects")
+    conv.select(line.alias("value")).write.text(f"{path}/lines")
+    feed = S.read_prompt_items_stream(spark, f"{path}/lines", "jsonl", glob="part-*")
+    feed.writeStream.format("parquet").option("path", f"{path}/items").option(
+        "checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    items = spark.read.schema(feed.schema).parquet(f"{path}/items")
+    ids = items.agg((F.count_distinct("prompt_id") == F.count(F.lit(1))).alias("own_ids"))
+    item = F.when(F.col("prompt").isNull(), F.col("item"))
+    rows = items.groupBy(item.alias("item"), "prompt", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return rows.withColumn("own_ids", ids.scalar())

@@ -32,6 +32,10 @@ def records_path(out_dir: str, run_id: str) -> str:
 
 #: stands for null in CSV files: every value is quoted, so "" is an empty text
 CSV_NULL = "\u0001null\u0001"
+#: how CSV files are read, records and prompts alike: "" is an empty text, an empty cell or
+#: the marker is null
+CSV_READ = {"header": True, "multiLine": True, "escape": '"', "nullValue": CSV_NULL, "emptyValue": "",
+            "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def write_records(df: DataFrame, path: str, fmt: str = "jsonl", mode: str = "append") -> None:
@@ -62,8 +66,7 @@ def read_records(spark: SparkSession, path: str, fmt: str, schema: T.StructType
         return r.json(path)
     if f == "parquet":
         return spark.read.parquet(path)
-    df = spark.read.csv(path, header=True, multiLine=True, escape='"', nullValue=CSV_NULL, emptyValue="",
-                        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    df = spark.read.options(**CSV_READ).csv(path)
     if schema is None:
         return df
     cols = []

@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from synthtext.functions.text import ustrip
+from synthtext.session import ship_package
+from synthtext.sinks.records import CSV_READ
+from synthtext.sources.lines import FILE_SCHEMA, lines_of, reachable
 
 PROMPT_SCHEMA = T.StructType(
     [T.StructField("prompt_id", T.LongType(), False), T.StructField("prompt", T.StringType(), True)]
@@ -142,8 +145,7 @@ def select_prompts(df: DataFrame, mode: str = "permissive", column: str | None =
 
 
 def _csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    return spark.read.csv(path, header=True, multiLine=multi_line, escape='"', inferSchema=False,
-                          ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return spark.read.options(**{**CSV_READ, "multiLine": multi_line}).csv(path, inferSchema=False)
 
 
 def read_prompts_csv(spark: SparkSession, path: str, mode: str = "permissive",
@@ -220,17 +222,38 @@ def prompts_from_list(spark: SparkSession, prompts: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(rows, PROMPT_SCHEMA)
 
 
-def read_prompts_stream(spark: SparkSession, path: str, format: str = "text",
-                        schema: T.StructType | None = None, max_files_per_trigger: int | None = None,
-                        glob: str | None = None) -> DataFrame:
-    """A streaming prompt feed from a folder of text / JSONL / JSON / Parquet files.
-
-    Returns ``(prompt_id, prompt)``. ``prompt_id`` is a hash of the file path and
-    the row's place: the Parquet row index, or the line's number in its file (text
-    and JSON files are read whole, one row a file, and split into lines; keep
-    files of a feed to some 100 MB). Ids are the same after a replay, and equal
-    lines have ids of their own. CSV files have a header row; as Spark gives no row
-    numbers there, equal prompts of one CSV file share an id.
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows(file, prompt)`` with ``position``, the row's number in its file. For files that
+    are not cut: a task then has all rows of a file, one after another."""
+    ship_package(rows.sparkSession)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        file, n = None, 0
+        for batch in batches:
+            files = batch.column("file").to_pylist()
+            at = np.empty(len(files), np.int64)
+            for i, f in enumerate(files):
+                file, n = (f, n + 1) if f == file else (f, 0)
+                at[i] = n
+            yield batch.append_column("position", pa.array(at))
+
+    return rows.mapInArrow(run, "file string, prompt string, position bigint")
+
+
+def read_prompt_items_stream(spark: SparkSession, path: str, format: str = "text", schema: T.StructType | None = None,
+                             max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
+    """S10 with what gives no prompt: a stream of ``(prompt_id, file, position, item, prompt,
+    reason)``, ``prompt`` null for rejects, which carry their ``item`` and ``reason``.
+
+    ``position`` is the row's place in its file: the byte offset of a line (text, JSONL,
+    JSON; files are read by byte range, whatever their size, where ``lines.reachable``, else
+    whole, with the line's number), the row index of Parquet, the row's number in a CSV
+    file (with quoted line ends, so a file is one task). ``prompt_id`` is a hash of file and
+    place: the same after a replay, and equal lines have ids of their own. Blank
+    lines are no items. A JSON value too large for a VARIANT raises.
     """
     r = spark.readStream
     if max_files_per_trigger:
@@ -240,28 +263,48 @@ def read_prompts_stream(spark: SparkSession, path: str, format: str = "text",
     fmt = format.lower()
     meta = F.col("_metadata.file_path")
     if fmt in ("jsonl", "json", "text"):
-        lines = r.text(path, wholetext=True).select(
-            meta.alias("file"), F.posexplode(F.split("value", "\r\n|\r|\n")).alias("line", "value"))
-        lines = lines.where(F.length(ustrip("value")) > 0)
-        place = F.xxhash64("file", "line").alias("prompt_id")
-        if fmt == "json":  # one object a line, its fields by the schema
-            if schema is None:
-                raise ValueError("a streaming json source needs an explicit schema")
-            col = resolve_prompt_column(schema.fieldNames())
-            prompt = F.from_json("value", schema).getField(col).cast("string")
-        else:  # S3 rules per line: object -> its prompt, scalar -> itself
-            prompt = _item_prompt(F.try_parse_json(F.col("value"))) if fmt == "jsonl" else ustrip("value")
-        return lines.select(place, prompt.alias("prompt")).where(F.col("prompt").isNotNull())
-    if schema is None:
-        raise ValueError(f"a streaming {fmt} source needs an explicit schema")
-    r = r.schema(schema).format(fmt)
-    if fmt == "csv":
-        r = r.options(header=True, multiLine=True, escape='"')
-    df = r.load(path)
-    prompt = F.col(f"`{resolve_prompt_column(df.columns)}`").cast("string")
-    place = F.col("_metadata.row_index") if fmt == "parquet" else prompt
-    return df.select(F.xxhash64(meta, place).alias("prompt_id"), prompt.alias("prompt")).where(
-        F.col("prompt").isNotNull())
+        if fmt == "json" and schema is None:
+            raise ValueError("a streaming json source needs an explicit schema")
+        if reachable(path):
+            files = r.format("binaryFile").schema(FILE_SCHEMA).load(path).select("path", "length")
+            lines = lines_of(files).select("file", F.col("offset").alias("position"), F.col("value").alias("item"))
+        else:
+            lines = r.text(path, wholetext=True).select(
+                meta.alias("file"), F.posexplode(F.split("value", "\r\n|\r|\n")).alias("position", "item"))
+        lines = lines.where(F.length(ustrip("item")) > 0)
+        if fmt == "text":
+            items = lines.select("file", "position", "item", ustrip("item").alias("prompt"), F.lit(NO_PROMPT).alias("reason"))
+        else:
+            parsed = _json(lines, "item")
+            if fmt == "json":  # one object a line, its fields by the schema
+                prompt = F.from_json("item", schema).getField(resolve_prompt_column(schema.fieldNames())).cast("string")
+            else:  # S3 rules per line: object -> its prompt, scalar -> itself
+                prompt = _item_prompt(F.col("v"))
+            items = parsed.select("file", "position", "item", prompt.alias("prompt"),
+                                  F.when(F.col("v").isNull(), NOT_JSON).otherwise(NO_PROMPT).alias("reason"))
+    else:
+        if schema is None:
+            raise ValueError(f"a streaming {fmt} source needs an explicit schema")
+        r = r.schema(schema).format(fmt)
+        df = (r.options(**CSV_READ) if fmt == "csv" else r).load(path)
+        prompt = F.col(f"`{resolve_prompt_column(df.columns)}`").cast("string").alias("prompt")
+        if fmt == "csv":
+            rows = _numbered(df.select(meta.alias("file"), prompt))
+        else:
+            place = F.col("_metadata.row_index") if fmt == "parquet" else F.xxhash64(*df.columns)
+            rows = df.select(meta.alias("file"), prompt, place.alias("position"))
+        items = rows.select("file", "position", F.lit(None).cast("string").alias("item"), "prompt", F.lit(NO_PROMPT).alias("reason"))
+    return items.select(F.xxhash64("file", "position").alias("prompt_id"), "file", F.col("position").cast("bigint").alias("position"),
+                        "item", "prompt", F.when(F.col("prompt").isNull(), F.col("reason")).alias("reason"))
+
+
+def read_prompts_stream(spark: SparkSession, path: str, format: str = "text",
+                        schema: T.StructType | None = None, max_files_per_trigger: int | None = None,
+                        glob: str | None = None) -> DataFrame:
+    """A streaming prompt feed from a folder of text / JSONL / JSON / CSV / Parquet files:
+    ``(prompt_id, prompt)`` of ``read_prompt_items_stream``, without the rejects."""
+    items = read_prompt_items_stream(spark, path, format, schema, max_files_per_trigger, glob)
+    return items.where(F.col("prompt").isNotNull()).select("prompt_id", "prompt")
 
 
 def load_prompts(spark: SparkSession, gen, mode: str = "permissive") -> DataFrame:
