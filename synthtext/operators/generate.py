@@ -133,6 +133,41 @@ def generate(
     return src.mapInPandas(fn, schema)
 
 
+def predict_batches(
+    df: DataFrame, make_predict: Callable[[], Callable], out_col: str = "prediction", out_type: str = "bigint",
+    ids_col: str = "input_ids", mask_col: str = "attention_mask", batch_col: str = "batch_id",
+) -> DataFrame:
+    """U1, tensor form: ``predict(ids, mask)`` once for each batch, with the padded id matrix and
+    mask of T3 (``pad_batch``) as numpy arrays of shape (rows, width); it returns a value a row.
+
+    ``make_predict()`` builds the function once a worker's task. A batch lies in one
+    partition, rows in ``ordinal`` order. The matrices stay in the worker: the two array
+    columns are not handed back.
+    """
+    keep = [f for f in df.schema.fields if f.name not in (ids_col, mask_col, out_col)]
+    schema = T.StructType([*keep, T.StructField(out_col, T._parse_datatype_string(out_type))])
+    names = [f.name for f in keep]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [batch_col, "ordinal"] if "ordinal" in df.columns else [batch_col]
+    src = df.drop(out_col).repartition(n, batch_col).sortWithinPartitions(*order)
+
+    def run(frames):
+        import numpy as np
+
+        predict = make_predict()
+        for pdf in _whole_batches(frames, 1 << 31, batch_col):
+            ids, mask = (np.stack([np.asarray(x, np.int64) for x in pdf[c]]) for c in (ids_col, mask_col))
+            got = pdf[names].reset_index(drop=True)
+            values = np.asarray(predict(ids, mask))
+            if len(values) != len(got):
+                raise ValueError(f"{len(values)} values for a batch of {len(got)} rows")
+            got[out_col] = list(values)
+            yield got
+
+    ship_package(df.sparkSession)
+    return src.mapInPandas(run, schema)
+
+
 def attach_outputs(prompts: DataFrame, outputs: DataFrame, key: str = "prompt_id",
                    how: str = "left") -> DataFrame:
     """B3 for backends that return a separate ``(key, generated_text, ...)``

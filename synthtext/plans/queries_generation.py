@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from synthtext.config import Generation, Output, PostProcessing, RunConfig
-from synthtext.functions.tokens import count_tokens, tokenize_clean
+from synthtext.functions.tokens import count_tokens, tokenize, tokenize_clean
 from synthtext.operators import batching as B
 from synthtext.operators.backends import register_backend
-from synthtext.operators.generate import attach_outputs, explode_sequences, generate, generate_one, timing_table
+from synthtext.operators.generate import attach_outputs, explode_sequences, generate, generate_one, predict_batches, timing_table
 from synthtext.operators.metrics import run_totals
 from synthtext.operators.postprocess import apply_post_processing
+from synthtext.operators.tokens import pad_batch
 from synthtext.operators.prompts import apply_template, build_output_record
 from synthtext.plans import oracle as O
 from synthtext.plans.doubles import EchoBackend, batch_only_echo, echo, even_seed_echo
@@ -97,6 +98,27 @@ def q_attach_all_outputs(spark, d):
     return attach_outputs(prompts.select("prompt_id", "prompt"), outputs)
 
 
+def _weighted_lengths():
+    """A stand-in model: token ids (here lengths) times their places, masked; the width above 2^32."""
+    import numpy as np
+
+    return lambda ids, mask: (ids * mask * np.arange(1, ids.shape[1] + 1)).sum(1) + (ids.shape[1] << 32)
+
+
+@register(
+    "q_tensor_batches",
+    f"WITH o AS (SELECT {_ID} AS prompt_id, {_ORD} // 16 AS batch_id, coalesce({O.tokens_raw('text')}, []) AS tok FROM conversations) "
+    "SELECT prompt_id, batch_id::BIGINT AS batch_id, (max(len(tok)) OVER (PARTITION BY batch_id) * 4294967296 + "
+    "coalesce(list_sum(list_transform(tok, lambda x, i: len(x) * i)), 0))::BIGINT AS prediction FROM o",
+)
+def q_tensor_batches(spark, d):
+    """B1 -> T1 -> T3 -> U1 on matrices: token lengths as ids, a whole batch a call."""
+    ids = F.transform(F.coalesce(tokenize(F.col("prompt")), F.array().cast("array<string>")), lambda t: F.char_length(t))
+    prompts = _prompts(spark, d).select("prompt_id", ids.alias("ids"))
+    padded = pad_batch(B.assign_batches(prompts, 16, ["prompt_id"], unique_keys=True), "ids", 0)
+    return predict_batches(padded.drop("ids"), _weighted_lengths).select("prompt_id", "batch_id", "prediction")
+
+
 @register(
     "q_generate_one",
     f"SELECT text AS prompt, 'Answer: ' || text AS generated_text FROM conversations "

@@ -2,8 +2,8 @@
 
     readStream prompts (S10) -> chunks via the backend (ST1, ST3 fallback)
         -> finished chunks post-processed (ST2), or finished-only (F4)
-        -> foreachBatch: write the micro-batch once, then per-batch metric
-           events from what was written (ST5) and the user callback (ST4)
+        -> foreachBatch: write the micro-batch once, with per-batch metric
+           events observed in the same pass (ST5), then the user callback (ST4)
 
 Each micro-batch writes records and metric events to its own ``epoch=<id>``
 folders with overwrite, so a micro-batch that is replayed after a failure replaces its own output
@@ -15,7 +15,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -39,6 +39,8 @@ CHUNK_FIELDS = [
     T.StructField("chunk_seconds", T.DoubleType(), False),
 ]
 
+TOTALS = ("seconds", "num_tokens", "num_samples")
+
 #: Characters and chunks after which a worker hands on what it holds.
 FRAME_CHARS = 1 << 20
 FRAME_CHUNKS = 1024
@@ -133,22 +135,28 @@ def finished_only(chunks: DataFrame) -> DataFrame:
     return chunks.where(F.col("finished"))
 
 
-def micro_batch_metrics(written: DataFrame, text_col: str = "text", before: DataFrame | None = None) -> DataFrame:
-    """ST5: one micro-batch as one timing row -> long metric events ``(name,
-    value)``: its finished texts, their tokens and the time of all chunks, and the
-    run's totals and ratios (M5). ``before``: the events of the epoch before."""
+def batch_totals(text_col: str = "text") -> list[Column]:
+    """ST5: what is summed over a micro-batch: the time of all chunks, the tokens of its
+    finished texts and their number. Aggregates that a write can observe."""
     done = F.col("finished")
-    agg = written.agg(
+    return [
         F.coalesce(F.sum("chunk_seconds"), F.lit(0.0)).alias("seconds"),
         F.coalesce(F.sum(F.when(done, count_tokens(text_col))), F.lit(0)).cast("double").alias("num_tokens"),
         F.count_if(done).cast("double").alias("num_samples"),
-    )
-    totals = {"total_tokens": "num_tokens", "total_samples": "num_samples", "total_time": "seconds"}
+    ]
+
+
+def micro_batch_metrics(totals: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """ST5: one micro-batch as one timing row (``batch_totals``) -> long metric events ``(name,
+    value)``: its own sums, and the run's totals and ratios (M5). ``before``: the events of
+    the epoch before."""
+    agg = totals
+    sums = {"total_tokens": "num_tokens", "total_samples": "num_samples", "total_time": "seconds"}
     if before is None:
-        agg = agg.withColumns({t: F.col(c) for t, c in totals.items()})
+        agg = agg.withColumns({t: F.col(c) for t, c in sums.items()})
     else:
-        old = before.groupBy().pivot("name", list(totals)).sum("value")
-        for t, c in totals.items():
+        old = before.groupBy().pivot("name", list(sums)).sum("value")
+        for t, c in sums.items():
             agg = agg.withColumn(t, F.col(c) + F.coalesce(old.select(t).scalar(), F.lit(0.0)))
     rows = agg.select("*", *throughput_columns("total_tokens", "total_time", "total_samples"))
     rows = name_spaced(rows, "throughput", RATIOS)
@@ -172,7 +180,8 @@ def start_stream(
 
     def each(batch: DataFrame, epoch: int) -> None:
         path = f"{out}/records/run_id={run_id}/epoch={epoch}"
-        w = batch.write.mode("overwrite")
+        seen = Observation()  # summed while the rows are written: they are read once
+        w = batch.observe(seen, *batch_totals()).write.mode("overwrite")
         if fmt == "jsonl":
             w.option("ignoreNullFields", False).json(path)
             written = spark.read.schema(batch.schema).json(path)
@@ -181,7 +190,9 @@ def start_stream(
             written = spark.read.parquet(path)
         events = f"{out}/metric_events/run_id={run_id}"
         before = spark.read.schema("name string, value double").parquet(f"{events}/epoch={epoch - 1}") if epoch else None
-        micro_batch_metrics(written, before=before).write.mode("overwrite").parquet(f"{events}/epoch={epoch}")
+        got = seen.get
+        totals = spark.createDataFrame([tuple(float(got[c]) for c in TOTALS)], ", ".join(f"{c} double" for c in TOTALS))
+        micro_batch_metrics(totals, before).write.mode("overwrite").parquet(f"{events}/epoch={epoch}")
         if callback is not None:
             callback(written, epoch)
 

@@ -163,3 +163,28 @@ def test_user_tokenizer(spark):
     assert all(isinstance(i, int) for row in ids for i in row) and sum(len(r) for r in ids) == 5
     r = M.token_diversity(df, text_col="text", tokenizer=tok).first()
     assert r.total_tokens == 5 and r.unique_tokens <= 5
+
+
+def test_matrices_of_whole_batches(spark):
+    """U1 on T3's matrices: shapes, masks, both padding sides, rows back in order."""
+    from synthtext.operators.batching import assign_batches
+    from synthtext.operators.generate import predict_batches
+    from synthtext.operators.tokens import pad_batch
+
+    rows = [(i, list(range(1, i % 5 + 1))) for i in range(23)]
+    df = assign_batches(spark.createDataFrame(rows, "id long, ids array<int>"), 8, ["id"], unique_keys=True)
+
+    def make():
+        return lambda ids, mask: [f"{ids.shape}:{int(m.sum())}:{list(map(int, i))}" for i, m in zip(ids, mask)]
+
+    for side in ("right", "left"):
+        got = predict_batches(pad_batch(df, "ids", 0, side).drop("ids"), make, out_type="string").collect()
+        assert len(got) == 23
+        for r in got:
+            own = rows[r.id][1]
+            width = max(len(x) for i, x in rows if i // 8 == r.id // 8)
+            fill = [0] * (width - len(own))
+            n = len([i for i, _ in rows if i // 8 == r.id // 8])
+            assert r.prediction == f"({n}, {width}):{len(own)}:{own + fill if side == 'right' else fill + own}"
+    with pytest.raises(Exception, match="values for a batch"):
+        predict_batches(pad_batch(df, "ids", 0).drop("ids"), lambda: lambda ids, mask: [1]).collect()
