@@ -28,7 +28,7 @@ from synthtext.plans.queries_text import FULL
 from synthtext.plans.registry import r6, register, table
 from synthtext.session import scratch_path
 from synthtext.sources.prompts import prompts_from_list, read_prompts_stream
-from synthtext.streaming.responses import RESPONSE, assemble_responses
+from synthtext.streaming.responses import RESPONSE, assemble_responses, attach_outputs_stream
 from synthtext.streaming.generate import finalize_responses, finished_only, generate_stream, start_stream
 
 ECHO = echo("Answer: {prompt}")
@@ -326,6 +326,35 @@ def q_stream_state(spark, d):
     return spark.read.schema(RESPONSE).parquet(f"{path}/out").where("request_id >= 0")
 
 
+@register(
+    "q_stream_attach",
+    f"SELECT {_ID} AS prompt_id, text AS prompt, CASE WHEN turn % 2 = 0 THEN 'Answer: ' || text END AS generated_text "
+    "FROM conversations",
+)
+def q_stream_attach(spark, d):
+    """B3 on streams: prompts in two epochs, the outputs of a backend without answers for odd
+    turns in two others; a last row on either side moves the watermarks on."""
+    first = F.expr(_FIRST)
+    at = lambda s: F.timestamp_add("SECOND", F.pmod(F.xxhash64("prompt_id"), F.lit(300)).cast("int") + s, first)
+    prompts = _prompts(spark, d)
+    answers = generate(prompts, even_seed_echo("Answer: {prompt}"), batch_col=None, seed_col="turn").where("generated_text IS NOT NULL")
+    end = table(spark, d, "conversations").agg(F.lit(-1).cast("bigint").alias("prompt_id")).select(
+        "prompt_id", F.lit("").alias("text"), (first + F.expr("INTERVAL 1 DAY")).alias("event_time"))
+    path = scratch_path(spark, "attach")
+    files = max(1, int(prompts._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) >> 30)
+    feeds = []
+    for name, rows, text, later in (("prompt", prompts, "prompt", 0), ("generated_text", answers, "generated_text", 60)):
+        rows = rows.select("prompt_id", F.col(text).alias("text"), at(later).alias("event_time"))
+        for part in (*(rows.where(F.pmod(F.xxhash64("prompt_id", F.lit(later)), F.lit(2)) == k) for k in (0, 1)), end):
+            part.repartition(files).write.mode("append").parquet(f"{path}/{name}")
+        feeds.append(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/{name}")
+                     .withColumnRenamed("text", name))
+    joined = attach_outputs_stream(*feeds).select("prompt_id", "prompt", "generated_text")
+    joined.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/checkpoint").trigger(
+        availableNow=True).start().awaitTermination()
+    return spark.read.schema(joined.schema).parquet(f"{path}/out").where("prompt_id >= 0")
+
+
 # --------------------------------------------------------------------------
 # The batch job end to end
 # --------------------------------------------------------------------------

@@ -133,3 +133,19 @@ def finalize_assembled(responses: DataFrame, pp) -> DataFrame:
 
     return finalize_responses(responses.withColumnRenamed("complete", "finished"), pp).withColumnRenamed(
         "finished", "complete")
+
+
+def attach_outputs_stream(prompts: DataFrame, outputs: DataFrame, key: str = "prompt_id", time_col: str = "event_time",
+                          delay: str = "10 minutes", within: str = "1 hour") -> DataFrame:
+    """B3 on streams: prompts with their output, which may come epochs later.
+
+    ``outputs`` are matched by ``key`` if their time is at most ``within`` after the prompt's; a
+    prompt without one leaves with null outputs once the watermarks of both sides
+    (``delay``) say that none can come. Both sides' open rows are state, spread by key, and
+    dropped by the same rule. Columns other than key and time need names of their own.
+    """
+    p = prompts.withWatermark(time_col, delay)
+    o = outputs.withColumnsRenamed({key: "__key", time_col: "__at"}).withWatermark("__at", delay)
+    match = (F.col(key) == F.col("__key")) & (F.col("__at") >= F.col(time_col)) & (
+        F.col("__at") <= F.col(time_col) + F.expr(f"INTERVAL {within}"))
+    return p.join(o, match, "left_outer").drop("__key", "__at")

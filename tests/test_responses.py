@@ -47,3 +47,30 @@ def test_whole_responses_are_post_processed(spark):
     got = {r.request_id: (r.text, r.complete) for r in finalize_assembled(df, PostProcessing(
         max_length=2048, complete_sentences=True, deduplicate=True)).collect()}
     assert got == {1: ("Hi.", True), 2: ("Hi. Hi. x", False)}
+
+
+def test_outputs_that_come_epochs_later(spark, scratch):
+    from synthtext.streaming.responses import attach_outputs_stream
+
+    def row(side, i, text, at):
+        df = spark.createDataFrame([(i, text, f"2024-01-01 {at}")], f"prompt_id long, {side} string, event_time string")
+        df.withColumn("event_time", F.to_timestamp("event_time")).coalesce(1).write.mode("append").parquet(f"{scratch}/{side}")
+        time.sleep(1.1)
+
+    def drain_join():
+        sides = [spark.readStream.schema(f"prompt_id long, {s} string, event_time timestamp").option(
+            "maxFilesPerTrigger", 1).parquet(f"{scratch}/{s}") for s in ("prompt", "output")]
+        j = attach_outputs_stream(*sides).select("prompt_id", "prompt", "output")
+        j.writeStream.format("parquet").option("path", f"{scratch}/out").option("checkpointLocation", f"{scratch}/ck").trigger(
+            availableNow=True).start().awaitTermination()
+        return sorted(tuple(r) for r in spark.read.schema(j.schema).parquet(f"{scratch}/out").collect())
+
+    row("prompt", 1, "one", "00:00:01")
+    row("prompt", 2, "two", "00:00:02")
+    row("output", 9, "no prompt", "00:00:03")
+    assert drain_join() == []
+    row("output", 1, "ONE", "00:20:00")
+    assert drain_join() == [(1, "one", "ONE")]  # after a restart, epochs later
+    row("prompt", -1, "", "09:00:00")
+    row("output", -1, "", "09:00:01")
+    assert drain_join() == [(-1, "", ""), (1, "one", "ONE"), (2, "two", None)]
