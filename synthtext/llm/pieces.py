@@ -20,8 +20,9 @@ Getting the segmentations back to the texts without moving a row a word: texts a
 blocks of about ``BLOCK`` bytes (compressed Arrow); a block asks for its distinct
 chunks, one row a block and bucket of chunks; the answers, piece lengths in the
 order asked, return to the block, where ids are looked up and written out. A
-block and a bucket are bounded whatever the input, and a chunk that every block
-holds is asked once a block.
+block is bounded whatever the input. A bucket's distinct chunks are too, but each
+block that has one of them sends it an ask, so the asks of a bucket with a chunk
+that every block holds grow with the number of blocks.
 
 Defined results: a null or empty text has no ids; characters outside the table
 become the bytes of their UTF-8 form (or ``unk`` where the model has no
