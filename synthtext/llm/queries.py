@@ -184,7 +184,7 @@ def op11_token_alignment(spark, sf_dir):
                       F.col("groups").alias("groups_sha256"))
 
 
-@register("op12_spelling_variants")
+@register("op12_spelling_variants", O.SPELLING_VARIANTS)
 def op12_spelling_variants(spark, sf_dir):
     """Operator 12: the words of all documents, one in 97 (document, word) pairs misspelled."""
     from .variants import spelling_variants, word_counts
