@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
+from itertools import accumulate
 from math import log2
 
 import numpy as np
@@ -135,13 +137,19 @@ _PART = re.compile("[0-9A-Za-z]+")
 def open_pieces(s: str) -> list[tuple[int, int]]:
     """The pieces of a run without its parts on the allow-list, and without the
     separators next to those; the whole run if it has none."""
-    hits = [m.span() for p in ALLOW for m in p.finditer(s)]
+    hits = sorted(m.span() for p in ALLOW for m in p.finditer(s))
     if not hits:
         return [(0, len(s))]
-    out, last = [], 0
-    for a, b in [m.span() for m in _PART.finditer(s) if any(u < m.end() and m.start() < v for u, v in hits)]:
-        out.append((last, a))
-        last = b
+    # parts and hits in one walk: ``reach`` is the last end of the hits that start before the part's end
+    out, last, at, reach = [], 0, 0, 0
+    for m in _PART.finditer(s):
+        a, b = m.span()
+        while at < len(hits) and hits[at][0] < b:
+            reach = max(reach, hits[at][1])
+            at += 1
+        if reach > a:
+            out.append((last, a))
+            last = b
     out.append((last, len(s)))
     ends = []
     for k, (a, b) in enumerate(out):
@@ -220,15 +228,27 @@ def _base_and_entropy(raw: np.ndarray, o: np.ndarray):
     # without a digit and both cases only the classes of one case's letters are left
     some = has(_IS_DIGIT) | (has(_IS_LOWER) & has(_IS_UPPER)) | (b - a >= CLASSES["lower_letters"][1])
     a, b = a[some], b[some]
+    held: dict[int, tuple[list[int], list[int]]] = {}
     for x, y, r in zip(a, b, np.searchsorted(o, a, "right") - 1):
         s = buf[x:y].decode()
         for at, end in open_pieces(s):
             for p, q in entropy_spans(s[at:end]):
                 p, q = x + at + p, x + at + q
-                if not any(u <= p and q <= v for u, v in base.get(int(r), ())):
+                if int(r) not in held:
+                    held[int(r)] = _reaches(base.get(int(r), []))
+                starts, reach = held[int(r)]
+                k = bisect_right(starts, p)
+                if not k or reach[k - 1] < q:
                     yield int(r), own(p, r), 3, own(q, r)
 
 
+def _reaches(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Sorted starts, and the last end of the spans up to each: one of them holds
+    (p, q) if the end reached by the starts up to p is q at least."""
+    spans = sorted(spans)
+    return [int(u) for u, _ in spans], [int(v) for v in accumulate((v for _, v in spans), max)]
+
+
 def find_secrets(docs: DataFrame, keep: str = "doc_id") -> DataFrame:
     """``keep``, counts of base spans, ``base_sha256`` and all ``spans`` of
     every row of ``docs(keep, text)``."""
