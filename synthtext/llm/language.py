@@ -130,6 +130,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, least_share: float = LEAST_SH
     if not langs:
         return Model([], [], np.zeros(0))
     # a share of each language's rows by a hash of the id: about ``sample`` rows, no shuffle of text
+    # (rows of one doc_id, null included, are taken all or none)
     place = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30))
     keep = F.lit(False)
     number = F.lit(None).cast("bigint")
@@ -200,9 +201,10 @@ def _predictor(shared, text: str, keep: list[str], names: tuple[str, str]):
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None,
             names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """``docs`` (columns ``keep``, all by default) with predicted language and score."""
+    """``docs`` (columns ``keep``, all by default) with predicted language and score,
+    which replace columns of the same names."""
     ship_package(docs.sparkSession)
-    keep = docs.columns if keep is None else keep
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([docs.schema[c] for c in keep]
                           + [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
