@@ -11,7 +11,8 @@ grouped by chunk, and folded with Spark's ``aggregate``:
 * ``unigram`` tables: the Viterbi recursion, best sum of scores at each position;
 * ``bpe`` tables: scores are merge ranks, whose sum means nothing (Viterbi on it
   gives other ids than the model's), so the fold takes the lattice's edges best
-  score first, then leftmost; an edge is used if both its ends are still piece
+  score first, then leftmost (each edge one number, the ends of
+  a chunk the bits of another, or a text in chunks of more than 62 characters); an edge is used if both its ends are still piece
   ends and exactly one other lies between them. As every piece of such a table
   is built from pieces of better score, one pass gives the model's merges. Runs
   of U+2581, whose pieces share one score, are spelled by their length.
@@ -176,29 +177,58 @@ def merge(chunk: str, scores: dict[str, float], longest: int) -> list[str]:
     return [chunk[a:b] for a, b in zip(cut, cut[1:])]
 
 
-def lattice(chunks: DataFrame, pieces: DataFrame, longest: int, keys: list[str]) -> DataFrame:
+def lattice(chunks: DataFrame, pieces: DataFrame, longest: int, keys: list[str], edge: Column | None = None) -> DataFrame:
     """``chunks(keys.., chunk)`` with ``edges``: (order, start, end, score) of every
-    piece of two or more characters in the chunk. Chunks without one are left out."""
+    piece of two or more characters in the chunk, or ``edge`` over ``score``, ``start`` and
+    ``len``. Chunks without one are left out."""
     sub = (chunks.withColumn("size", F.char_length("chunk")).filter("size > 1")
            .select("*", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("start"))
            .select("*", F.explode(F.sequence(F.lit(2), F.least(F.lit(longest), F.col("size") - F.col("start") + 1)))
                    .alias("len"))
-           .select(*keys, "chunk", "start", "len", F.substring(F.col("chunk"), F.col("start"), F.col("len")).alias("piece")))
+           # never null, which spares a test that would cut every substring twice
+           .select(*keys, "chunk", "start", "len",
+                   F.coalesce(F.substring(F.col("chunk"), F.col("start"), F.col("len")), F.lit("")).alias("piece")))
+    if edge is None:
+        edge = F.struct((-F.col("score")).alias("order"), F.col("start"), (F.col("start") + F.col("len")).alias("end"))
     return (sub.join(F.broadcast(pieces), "piece").groupBy(*keys, "chunk")
-            .agg(F.collect_list(F.struct((-F.col("score")).alias("order"), F.col("start"),
-                                         (F.col("start") + F.col("len")).alias("end"))).alias("edges")))
+            .agg(F.collect_list(edge).alias("edges")))
+
+
+#: chunks of up to this many characters have their ends in the bits of one number
+BITS = 62
+
+
+def packed_edge() -> Column:
+    """An edge of a BPE lattice as one number, in the order of (rank, start, length);
+    ``score`` is the rank of the piece's score here, the best being 0."""
+    return F.shiftleft(F.col("score").cast("bigint"), 40) + F.shiftleft(F.col("start").cast("bigint"), 8) + F.col("len")
 
 
 def bpe_fold(edges: Column, size: Column) -> Column:
-    """Piece ends as a string of 0 and 1 (position k: k characters before it)."""
-    def step(ends, e):
-        n = e["end"] - e["start"]
-        own = F.substring(ends, e["start"], n + 1)
+    """Piece ends as a string of 0 and 1 (position k: k characters before it) of packed edges."""
+    left = lambda a, n: F.call_function("shiftleft", a, n)
+    number = lambda n: F.lit(n).cast("bigint")
+    start = lambda e: F.shiftright(e, 8).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    length = lambda e: e.bitwiseAND(number(255)).cast("int")
+
+    def bits(ends, e):
+        at, n = start(e) - 1, length(e)
+        outer = left(left(number(1), n) + 1, at)
+        own = ends.bitwiseAND(left(left(number(2), n) - 1, at))
+        use = (F.bit_count(own) == 3) & (ends.bitwiseAND(outer) == outer)
+        return F.when(use, ends.bitwiseXOR(own).bitwiseOR(outer)).otherwise(ends)
+
+    def text(ends, e):
+        n = length(e)
+        own = F.substring(ends, start(e), n + 1)
         use = (F.length(F.replace(own, F.lit("0"), F.lit(""))) == 3) & own.startswith("1") & own.endswith("1")
-        return F.when(use, F.overlay(ends, F.concat(F.lit("1"), F.repeat(F.lit("0"), n - 1), F.lit("1")), e["start"])
+        return F.when(use, F.overlay(ends, F.concat(F.lit("1"), F.repeat(F.lit("0"), n - 1), F.lit("1")), start(e))
                       ).otherwise(ends)
 
-    return F.aggregate(F.sort_array(edges), F.repeat(F.lit("1"), size + 1), step)
+    best = F.sort_array(edges)
+    short = F.aggregate(best, left(number(2), size) - 1, bits)
+    return F.when(size <= BITS, F.reverse(F.bin(short))).otherwise(
+        F.aggregate(best, F.repeat(F.lit("1"), size + 1), text))
 
 
 def viterbi_fold(edges: Column, size: Column, chunk: Column, single: Column, unknown: float) -> Column:
@@ -236,10 +266,14 @@ def segmentations(chunks: DataFrame, table: Pieces, keys: list[str]) -> DataFram
     """``keys.., chunk, cut`` (piece lengths) of distinct ``chunks(keys.., chunk)``
     that hold a piece of two or more characters."""
     spark = chunks.sparkSession
-    pieces = spark.createDataFrame([(p, float(s)) for p, s in table.scores.items() if len(p) > 1] or [("", 0.0)],
-                                   "piece string, score double")
-    found = lattice(chunks, pieces, table.longest, keys).withColumn("size", F.char_length("chunk"))
-    if table.kind == "bpe":
+    bpe = table.kind == "bpe"
+    rank = {s: i for i, s in enumerate(sorted(set(table.scores.values()), reverse=True))}
+    pieces = spark.createDataFrame(
+        [(p, float(rank[s] if bpe else s)) for p, s in table.scores.items() if len(p) > 1] or [("", 0.0)],
+        "piece string, score double")
+    found = lattice(chunks, pieces, table.longest, keys, packed_edge() if bpe else None).withColumn(
+        "size", F.char_length("chunk"))
+    if bpe:
         ends = bpe_fold(F.col("edges"), F.col("size"))
     else:
         single = [x for p, s in table.scores.items() if len(p) == 1 for x in (F.lit(p), F.lit(float(s)))]
