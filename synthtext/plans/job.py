@@ -29,6 +29,7 @@ from synthtext.operators.generate import GEN_SECONDS, explode_sequences, generat
 from synthtext.operators.postprocess import post_process_stage
 from synthtext.operators.prompts import build_output_record
 from synthtext.sinks import records as K
+from synthtext.sinks import runs as R
 
 
 def prepare_prompts(prompts: DataFrame, cfg: RunConfig, num_partitions: int | None = None) -> DataFrame:
@@ -94,6 +95,18 @@ def run_batch_job(spark: SparkSession, prompts: DataFrame, cfg: RunConfig, backe
     return paths
 
 
+def run_shared_job(spark: SparkSession, prompts: DataFrame, cfg: RunConfig, backend: BackendSpec, run_id: str,
+                   attempt: str | None = None, num_partitions: int | None = None) -> str:
+    """A run whose records and events go to the tables of all runs below the output folder
+    (``sinks.runs``, Parquet); returns its try. Visible to readers once it is finished."""
+    out, attempt = cfg.output.dir, attempt or uuid.uuid4().hex[:12]
+    R.write_attempt(generated_records(prompts, cfg, backend, num_partitions), out, R.RECORDS, run_id, attempt)
+    written = R.read_attempt(spark, out, R.RECORDS, run_id, attempt)
+    R.write_attempt(run_metrics(written, cfg, run_id)["events"], out, R.EVENTS, run_id, attempt)
+    R.finish_run(spark, out, run_id, attempt, cfg.to_dict())
+    return attempt
+
+
 def run_metrics(written: DataFrame, cfg: RunConfig, run_id: str) -> dict[str, DataFrame]:
     """Metric tables of one run, all computed from the written records."""
     timing = timing_table(written).withColumn("run_id", F.lit(run_id))

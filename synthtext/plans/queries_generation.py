@@ -23,11 +23,13 @@ from synthtext.operators.prompts import apply_template, build_output_record
 from synthtext.plans import oracle as O
 from synthtext.plans.doubles import EchoBackend, batch_only_echo, echo, even_seed_echo
 from synthtext.plans.generator import TextGenerator
-from synthtext.plans.job import run_batch_job
+from synthtext.plans.job import generated_records, run_batch_job, run_shared_job
 from synthtext.plans.queries_text import FULL
 from synthtext.plans.registry import r6, register, table
 from synthtext.session import scratch_path
+from synthtext.sinks import runs as R
 from synthtext.sources.prompts import prompts_from_list, read_prompts_stream
+from synthtext.streaming.callbacks import JsonLines, consume_stream
 from synthtext.streaming.responses import RESPONSE, assemble_responses, attach_outputs_stream
 from synthtext.streaming.generate import finalize_responses, finished_only, generate_stream, start_stream
 
@@ -271,6 +273,29 @@ def q_stream_callback(spark, d):
     return spark.read.parquet(seen).select("prompt", "text")
 
 
+@register(
+    "q_stream_chunk_callback",
+    "SELECT text AS prompt, 1::BIGINT AS n_finished, true AS in_order, 'Answer: ' || text AS text FROM conversations "
+    "WHERE text IS NOT NULL",
+)
+def q_stream_chunk_callback(spark, d):
+    """ST4 for each chunk: what consumers on the executors were handed, in the order of the calls."""
+    prompts = read_prompts_stream(spark, d, "parquet", _CONV_SCHEMA, glob="conversations.parquet")
+    out = scratch_path(spark, "chunks")
+    columns = ["request_id", "seq_index", "seq", "prompt", "text", "finished"]
+    consume_stream(generate_stream(prompts, ECHO), lambda part, epoch: JsonLines(f"{out}/seen", columns, part, epoch),
+                   f"{out}/marks", f"{out}/checkpoint").awaitTermination()
+    seen = spark.read.schema("n bigint, request_id bigint, seq_index bigint, seq bigint, prompt string, text string, "
+                             "finished boolean").json(f"{out}/seen")
+    calls = F.array_sort(F.collect_list(F.struct("epoch", "partition", "n", "seq")))
+    one = seen.groupBy("request_id", "seq_index", "prompt").agg(
+        F.count_if("finished").alias("n_finished"), F.transform(calls, lambda c: c["seq"]).alias("seqs"),
+        F.max(F.when(F.col("finished"), F.col("text"))).alias("text"))
+    # each chunk once, in the order of its request
+    return one.select("prompt", "n_finished", (F.col("seqs") == F.sequence(
+        F.lit(0).cast("bigint"), F.size("seqs").cast("bigint") - 1)).alias("in_order"), "text")
+
+
 @register(
     "q_stream_metrics",
     "WITH t AS (SELECT count(*) AS n, sum(len(" + O.tokens_raw("'Answer: ' || text") + ")) AS k FROM conversations "
@@ -502,3 +527,30 @@ def q_generator_run(spark, d):
     loaded, given = g.generate(run_id="loaded"), g.generate(_prompts(spark, d).select("prompt_id", "prompt"), "given")
     one = lambda p, t: spark.read.parquet(p.records).select("prompt", "generated_text", F.lit(t).alias("templated"))
     return one(loaded, True).union(one(given, False))
+
+
+def _shared_runs_oracle():
+    runs = (("first", "'A: ' || text"), ("second", "'C: ' || text"))
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS run_id, {_ID} AS prompt_id, {text} AS generated_text, len({O.tokens_raw(text)})::BIGINT AS num_tokens, "
+        f"sum(len({O.tokens_raw(text)})) OVER ()::DOUBLE AS run_tokens FROM conversations" for name, text in runs)
+
+
+@register("q_shared_runs", _shared_runs_oracle())
+def q_shared_runs(spark, d):
+    """K6, K8 and K9 in tables shared by all runs: a finished run, a run tried twice (the
+    second counts), and a run that was killed before its manifest row; every record of the
+    finished ones beside its run's last running total of tokens."""
+    out = scratch_path(spark, "runs")
+    prompts = _prompts(spark, d).select("prompt_id", "prompt")
+    cfg = RunConfig(model_name="echo", generation=Generation(batch_size=16), post_processing=PostProcessing(enabled=False),
+                    output=Output(dir=out, format="parquet"))
+    run_shared_job(spark, prompts, cfg, echo("A: {prompt}"), "first", "1")
+    run_shared_job(spark, prompts, cfg, echo("B: {prompt}"), "second", "1")
+    run_shared_job(spark, prompts, cfg, echo("C: {prompt}"), "second", "2")
+    R.write_attempt(generated_records(prompts, cfg, echo("D: {prompt}")), out, R.RECORDS, "killed", "1")
+    R.write_attempt(generated_records(prompts, cfg, echo("E: {prompt}")), out, R.RECORDS, "first", "2")
+    events = R.read_finished(spark, out, R.EVENTS)
+    total = events.where("name = 'total_tokens'").groupBy("run_id").agg(F.max("value").alias("run_tokens"))
+    rec = R.read_finished(spark, out, R.RECORDS)
+    return rec.join(total, "run_id").select("run_id", "prompt_id", "generated_text", "num_tokens", "run_tokens")

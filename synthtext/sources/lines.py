@@ -35,15 +35,20 @@ def reachable(path: str) -> bool:
     return ":/" not in path or path.split(":/", 1)[0].lower() in SCHEMES
 
 
-def _open(uri: str):
+def file_system(uri: str):
+    """Arrow's file system of ``uri`` and the path in it."""
     from urllib.parse import unquote
 
     from pyarrow import fs
 
     uri = "s3" + uri[3:] if uri.startswith("s3a:") else uri
     if uri.startswith("file:"):  # file:/x and file:///x alike
-        return fs.LocalFileSystem().open_input_file("/" + unquote(uri[5:]).lstrip("/"))
-    where, path = fs.FileSystem.from_uri(uri)
+        return fs.LocalFileSystem(), "/" + unquote(uri[5:]).lstrip("/")
+    return fs.FileSystem.from_uri(uri)
+
+
+def _open(uri: str):
+    where, path = file_system(uri)
     return where.open_input_file(path)
 
 
