@@ -12,7 +12,7 @@ grouped by chunk, and folded with Spark's ``aggregate``:
 * ``bpe`` tables: scores are merge ranks, whose sum means nothing (Viterbi on it
   gives other ids than the model's), so the fold takes the lattice's edges best
   score first, then leftmost (each edge one number, the ends of
-  a chunk the bits of another, or a text in chunks of more than 62 characters); an edge is used if both its ends are still piece
+  a chunk the bits of another, or a text in chunks of more than 61 characters); an edge is used if both its ends are still piece
   ends and exactly one other lies between them. As every piece of such a table
   is built from pieces of better score, one pass gives the model's merges. Runs
   of U+2581, whose pieces share one score, are spelled by their length.
@@ -195,7 +195,7 @@ def lattice(chunks: DataFrame, pieces: DataFrame, longest: int, keys: list[str],
 
 
 #: chunks of up to this many characters have their ends in the bits of one number
-BITS = 62
+BITS = 61
 
 
 def packed_edge() -> Column:
