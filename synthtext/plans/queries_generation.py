@@ -200,8 +200,14 @@ _CONV_SCHEMA = T.StructType([
 ])
 
 
+def _prompt_feed(spark, d):
+    """The table as a stream, a file or a folder of part files (braces, as a stream takes a
+    single file by a glob only)."""
+    return read_prompts_stream(spark, f"{d.rstrip('/')}/{{conversations.parquet}}", "parquet", _CONV_SCHEMA)
+
+
 def _stream(spark, d, build, callback=None):
-    prompts = read_prompts_stream(spark, d, "parquet", _CONV_SCHEMA, glob="conversations.parquet")
+    prompts = _prompt_feed(spark, d)
     out = scratch_path(spark, "stream")
     q = start_stream(build(prompts), out, f"{out}/_checkpoint", "stream", callback=callback)
     q.awaitTermination()
@@ -280,7 +286,7 @@ def q_stream_callback(spark, d):
 )
 def q_stream_chunk_callback(spark, d):
     """ST4 for each chunk: what consumers on the executors were handed, in the order of the calls."""
-    prompts = read_prompts_stream(spark, d, "parquet", _CONV_SCHEMA, glob="conversations.parquet")
+    prompts = _prompt_feed(spark, d)
     out = scratch_path(spark, "chunks")
     columns = ["request_id", "seq_index", "seq", "prompt", "text", "finished"]
     consume_stream(generate_stream(prompts, ECHO), lambda part, epoch: JsonLines(f"{out}/seen", columns, part, epoch),
