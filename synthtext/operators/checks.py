@@ -19,6 +19,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from synthtext.session import small_methods
+
 _INT_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 
 # ---------------------------------------------------------------------------
@@ -118,49 +120,63 @@ SECTION_KEYS = {
     "logging": {"": ("enabled", "project", "tags", "log_interval", "metrics"), "metrics": LOGGED_METRICS},
     "post_processing": {"": ("enabled", "max_length", "min_length", "complete_sentences", "deduplicate")},
 }
+# Of those, the keys whose values the rules read as numbers (a truth value is 0 or 1).
+NUMBER_KEYS = {
+    "model": {"quantization": ("enabled", "bits")},
+    "generation": {
+        "": ("temperature", "top_p", "top_k", "repetition_penalty", "max_length", "min_length", "batch_size"),
+        "vllm": ("tensor_parallel_size", "gpu_memory_utilization"),
+    },
+    "logging": {"": ("log_interval",)},
+    "post_processing": {"": ("max_length", "min_length")},
+}
 
 
-def with_views(df: DataFrame, v_col: str, section: str, path: str, tag: str,
-               only_when: Column | None = None) -> tuple[DataFrame, Rec]:
-    """Materialise the typed views of ``path`` and its sub-objects.
+def with_views(df: DataFrame, sections: Mapping[str, tuple[str, str]]) -> tuple[DataFrame, dict[str, Rec]]:
+    """Materialise the typed views of sections and their sub-objects: ``sections`` names the
+    VARIANT column and the tag of each.
 
     Each object is extracted once as ``STRUCT<key VARIANT, ...>`` over the keys
-    the rules read (a missing key is NULL, a JSON null stays present), then
-    one projection holds every key's type name and one its numeric value.
-    Plain field expressions only, so the views run in whole-stage codegen;
-    Catalyst keeps the projections apart because the rules read each field
-    many times.
+    the rules read (a missing key is NULL, a JSON null stays present), sub-objects out of
+    their parent's; then one projection holds every key's type name and one the values of
+    the keys that rules read as numbers, where they are some: a text is never cast.
+    All sections are done in the same few projections, as each one copies the row.
+    Plain field expressions only; Catalyst keeps the projections apart because the rules
+    read each field many times.
     """
-    v = F.col(v_col)
-    d = df
-    views = {}
-    for sub, keys in SECTION_KEYS[section].items():
-        p = path + (f".{sub}" if sub else "")
-        name = f"__{tag}_{sub or 'root'}"
-        shape = "struct<" + ",".join(f"`{k}`:variant" for k in keys) + ">"
-        obj = F.try_variant_get(v, p, shape)
-        d = d.withColumn(name + "_o", obj if only_when is None else F.when(only_when, obj))
-        views[sub] = (name, p, keys)
-    for sub, (name, _, keys) in views.items():
-        o = F.col(name + "_o")
-        d = d.withColumn(name + "_t", F.struct(*[F.schema_of_variant(o[k]).alias(k) for k in keys]))
-        d = d.withColumn(
-            name + "_n", F.struct(*[F.try_variant_get(o[k], "$", "double").alias(k) for k in keys])
-        )
-    item_types = None
-    if section == "logging":
-        tags = F.try_variant_get(v, f"{path}.tags", "array<variant>")
-        d = d.withColumn(f"__{tag}_tags", F.transform(tags, lambda x: F.schema_of_variant(x)))
-        item_types = F.col(f"__{tag}_tags")
-
-    def rec(sub: str) -> Rec:
-        name, p, _ = views[sub]
-        return Rec(F.col(name + "_t"), F.col(name + "_n"), v, p)
-
-    root = rec("")
-    root.subs = {s: rec(s) for s in SECTION_KEYS[section] if s}
-    root.item_types = item_types
-    return d, root
+    def name(section: str, sub: str) -> str:
+        return f"__{sections[section][1]}_{sub or 'root'}"
+
+    def obj(whole: Column, section: str, sub: str) -> Column:
+        return F.try_variant_get(whole, "$", "struct<" + ",".join(f"`{k}`:variant" for k in SECTION_KEYS[section][sub]) + ">")
+
+    def rec(section: str, sub: str) -> Rec:
+        n = name(section, sub)
+        return Rec(F.col(n + "_t"), F.col(n + "_n"), F.col(sections[section][0]), f"$.{sub}" if sub else "$")
+
+    d = df.withColumns({name(s, "") + "_o": obj(F.col(c), s, "") for s, (c, _) in sections.items()})
+    views = {name(s, sub) + "_o": obj(F.col(name(s, "") + "_o")[sub], s, sub)
+             for s in sections for sub in SECTION_KEYS[s] if sub}
+    if "logging" in sections:
+        tags = F.try_variant_get(F.col(name("logging", "") + "_o")["tags"], "$", "array<variant>")
+        views[name("logging", "tags")] = F.transform(tags, lambda x: F.schema_of_variant(x))
+    d = d.withColumns(views)
+    d = d.withColumns({name(s, sub) + "_t": F.struct(*[
+        F.schema_of_variant(F.col(name(s, sub) + "_o")[k]).alias(k) for k in keys])
+        for s in sections for sub, keys in SECTION_KEYS[s].items()})
+
+    def number(s: str, sub: str, key: str) -> Column:
+        r = rec(s, sub)
+        return F.when(r.is_num(key) | r.is_bool(key), F.try_variant_get(F.col(name(s, sub) + "_o")[key], "$", "double")).alias(key)
+
+    d = d.withColumns({name(s, sub) + "_n": F.struct(*[number(s, sub, k) for k in keys])
+                       for s in sections for sub, keys in NUMBER_KEYS[s].items()})
+    recs = {}
+    for s in sections:
+        recs[s] = rec(s, "")
+        recs[s].subs = {sub: rec(s, sub) for sub in SECTION_KEYS[s] if sub}
+        recs[s].item_types = F.col(name(s, "tags")) if s == "logging" else None
+    return d, recs
 
 
 def _drop_views(df: DataFrame, tag: str) -> DataFrame:
@@ -332,19 +348,33 @@ def with_section_errors(df: DataFrame, v_col: str, section: str, out: str, path:
     (or no message with ``missing_message=False``). ``only_when`` limits the
     extraction to the rows that need this section's rules.
     """
-    p = path or f"$.{section}"
-    d, rec = with_views(df, v_col, section, p, out, only_when)
-    present = F.try_variant_get(F.col(v_col), p, "variant").isNotNull()
-    errs = SECTION_CHECKS[section](rec)
-    absent = F.array(F.lit(MISSING_SECTION[section])) if missing_message else F.array().cast("array<string>")
-    return _drop_views(d.withColumn(out, F.when(present, errs).otherwise(absent)), out)
+    when = None if only_when is None else {section: only_when}
+    return with_all_errors(df, v_col, {section: out}, path, missing_message, when)
+
+
+def with_all_errors(df: DataFrame, v_col: str, outs: Mapping[str, str], path: str | None = None,
+                    missing_message: bool = True, only_when: Mapping[str, Column] | None = None,
+                    more: Mapping[str, Column] | None = None) -> DataFrame:
+    """``with_section_errors`` of several sections (``outs`` names the column of each) in the
+    same projections. ``more`` are further columns to be read off the VARIANT with them."""
+    small_methods(df.sparkSession)
+
+    def own(section: str) -> Column:
+        part = F.try_variant_get(F.col(v_col), path or f"$.{section}", "variant")
+        return F.when(only_when[section], part) if only_when else part
+
+    d = df.withColumns({f"__{out}_section": own(s) for s, out in outs.items()} | dict(more or {}))
+    d, recs = with_views(d, {s: (f"__{out}_section", out) for s, out in outs.items()})
+    d = d.withColumns({out: F.when(F.col(f"__{out}_section").isNotNull(), SECTION_CHECKS[s](recs[s])).otherwise(
+        F.array(F.lit(MISSING_SECTION[s])) if missing_message else F.array().cast("array<string>")) for s, out in outs.items()})
+    for out in outs.values():
+        d = _drop_views(d, out)
+    return d
 
 
-def with_record_errors(df: DataFrame, v_col: str, out: str = "errors") -> DataFrame:
+def with_record_errors(df: DataFrame, v_col: str, out: str = "errors", more: Mapping[str, Column] | None = None) -> DataFrame:
     """V6: ``MAP<section, ARRAY<message>>`` holding only sections with errors."""
-    d = df
-    for sec in SECTION_CHECKS:
-        d = with_section_errors(d, v_col, sec, f"__err_{sec}")
+    d = with_all_errors(df, v_col, {sec: f"__err_{sec}" for sec in SECTION_CHECKS}, more=more)
     m = F.map_from_arrays(
         F.array(*[F.lit(s) for s in SECTION_CHECKS]),
         F.array(*[F.col(f"__err_{s}") for s in SECTION_CHECKS]),
@@ -366,22 +396,22 @@ def _parsed(col: str) -> Column:
 
 
 def _is_object(v: Column) -> Column:
-    """Whether a VARIANT is an object: its keys alone are read, not its whole tree."""
-    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+    """Whether a VARIANT is an object; none of its values is read."""
+    return F.try_variant_get(v, "$", "struct<>").isNotNull()
 
 
 def check_records(df: DataFrame, json_col: str = "config_json", out: str = "errors") -> DataFrame:
     """V6 + V8 over a table of JSON run records: unparsable text is reported
     under ``syntax``, a value that is no object under ``loading``; otherwise
     section -> messages."""
-    d = df.withColumn("__v", _parsed(json_col))
-    d = with_record_errors(d, "__v", "__errs")
     v = F.col("__v")
+    d = df.withColumn("__v", _parsed(json_col))
+    # what is asked of the whole record is asked first, so that it goes no further
+    d = with_record_errors(d, "__v", "__errs", {"__none": v.isNull(), "__flat": ~_is_object(v)})
     syntax = F.create_map(F.lit("syntax"), F.array(F.lit(INVALID_JSON)))
     loading = F.create_map(F.lit("loading"), F.array(F.lit(NOT_A_RECORD)))
-    flat = ~_is_object(v)
-    d = d.withColumn(out, F.when(v.isNull(), syntax).when(flat, loading).otherwise(F.col("__errs")))
-    return d.drop("__v", "__errs")
+    d = d.withColumn(out, F.when(F.col("__none"), syntax).when(F.col("__flat"), loading).otherwise(F.col("__errs")))
+    return d.drop("__v", "__errs", "__none", "__flat")
 
 
 # --------------------------------------------------------------------------
@@ -410,21 +440,21 @@ def check_files(spark: SparkSession, root: str, suffix: str = ".json", lines: bo
     # (as written by partitionBy) names it by its value.
     section = F.when(F.size(parts) > 1, F.regexp_replace(F.element_at(parts, 1), "^[^=]*=", ""))
     d = files.withColumn("section", section).withColumn("__v", _parsed("value"))
-    for name in SECTION_CHECKS:
-        d = with_section_errors(d, "__v", name, f"__err_{name}", path=doc_path, missing_message=False,
-                                only_when=F.col("section") == name)
-    errs = F.lit(None).cast("array<string>")
-    for name in SECTION_CHECKS:
-        errs = F.when(F.col("section") == name, F.col(f"__err_{name}")).otherwise(errs)
     v = F.col("__v")
     # what parses but is no record cannot be loaded as one
     flat = v.isNotNull() & ~_is_object(F.try_variant_get(v, doc_path, "variant"))
+    d = with_all_errors(d, "__v", {name: f"__err_{name}" for name in SECTION_CHECKS}, doc_path, False,
+                        {name: F.col("section") == name for name in SECTION_CHECKS}, {"__none": v.isNull(), "__flat": flat})
+    errs = F.lit(None).cast("array<string>")
+    for name in SECTION_CHECKS:
+        errs = F.when(F.col("section") == name, F.col(f"__err_{name}")).otherwise(errs)
+    none, flat = F.col("__none"), F.col("__flat")
     return d.select(
         "file_path",
         "value",
         "section",
-        F.when(v.isNull(), F.lit("syntax")).when(flat, F.lit("loading")).otherwise(F.lit("validation")).alias("kind"),
-        F.when(v.isNull(), F.array(F.lit(INVALID_JSON))).when(flat, F.array(F.lit(NOT_A_RECORD)))
+        F.when(none, F.lit("syntax")).when(flat, F.lit("loading")).otherwise(F.lit("validation")).alias("kind"),
+        F.when(none, F.array(F.lit(INVALID_JSON))).when(flat, F.array(F.lit(NOT_A_RECORD)))
         .otherwise(F.coalesce(errs, F.array().cast("array<string>")))
         .alias("errors"),
     )
@@ -446,7 +476,14 @@ def error_report(checked: DataFrame, id_cols: tuple[str, ...], errors_col: str =
         )
         return checked.select(*id_cols, F.inline(pairs))
     kind = ["kind"] if "kind" in checked.columns else []
-    return checked.select(*id_cols, *kind, F.explode(c).alias("message"))
+    return checked.select(*id_cols, *kind, messages(c))
+
+
+def messages(errors: Column) -> Column:
+    """``message``, a row for each of an array. From a plain column, ``explode`` would first
+    filter by its size, and that filter runs every rule once more below the checks, with
+    all their views written out in it."""
+    return F.inline(F.transform(errors, lambda m: F.struct(m.alias("message"))))
 
 
 def n_errors(checked: DataFrame, errors_col: str = "errors") -> Column:

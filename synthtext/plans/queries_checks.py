@@ -468,7 +468,7 @@ def q_config_files(spark, d):
     checked = V.check_files(spark, root, suffix=".txt", lines=True, doc_path="$.doc")
     rep = checked.where(F.col("section").isin(*_SEC_FILES)).select(
         "section", F.get_json_object("value", "$.id").cast("long").alias("event_id"),
-        F.explode("errors").alias("message"),
+        V.messages(F.col("errors")),
     )
     return rep
 
