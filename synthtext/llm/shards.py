@@ -1,8 +1,8 @@
 """Operator 6 [native]: sharding along a Hilbert curve.
 
 Every dimension is quantised into ``2^bits`` bins at its own quantiles (numbers:
-approximate percentiles; strings: whole values, at the quantiles of the ``SAMPLE``
-rows of the smallest hashes, compared as strings); the Hilbert index of the
+approximate percentiles of all rows; strings: whole values, at the exact quantiles of all
+rows, compared as strings); the Hilbert index of the
 bins orders the cells, and the rows, cell by cell, are cut into ``shards`` runs
 of equal row count. Neighbours on the curve are close in all dimensions, so each
 shard's files cover a small box and min/max statistics prune on any of them.
@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .tables import written
+
 BITS = 4
 GROUP_ROWS = 50_000
-#: rows that pass through the driver for the quantiles of strings
-SAMPLE = 4096
 
 
 def as_number(df: DataFrame, name: str) -> Column:
@@ -45,9 +45,8 @@ def as_number(df: DataFrame, name: str) -> Column:
 
 
 def bounds(df: DataFrame, dims: list[str], bits: int, order: list[str] = ()) -> list[list]:
-    """Ascending distinct quantiles of each dimension: doubles, or whole strings. The
-    strings' sample goes by a hash of ``dims`` and ``order``, so rows that differ in
-    ``order`` alone are drawn one by one; rows equal in both come together."""
+    """Ascending distinct quantiles of each dimension over all rows: doubles, or whole
+    strings. ``order`` plays no part."""
     shares = [x / (1 << bits) for x in range(1, 1 << bits)]
     texts = [d for d in dims if isinstance(df.schema[d].dataType, T.StringType)]
     out = {}
@@ -56,18 +55,31 @@ def bounds(df: DataFrame, dims: list[str], bits: int, order: list[str] = ()) ->
         row = df.select(*[as_number(df, d).alias(f"d{k}") for k, d in enumerate(numbers)]).agg(*[
             F.percentile_approx(f"d{k}", shares, 10_000) for k in range(len(numbers))]).first()
         out = {d: sorted(set(row[k] or [])) for k, d in enumerate(numbers)}
-    if texts:
-        some = df.select(*[F.col(d).alias(f"d{k}") for k, d in enumerate(texts)], F.xxhash64(*dict.fromkeys([*dims, *order])).alias("h"))
-        share = min(1.0, 2 * SAMPLE / max(df.count(), 1))  # so that partitions do not send SAMPLE rows each
-        rows = some.filter(F.pmod("h", F.lit(1 << 30)) <= int(share * (1 << 30))).orderBy(
-            F.pmod("h", F.lit(1 << 30)), "h").limit(SAMPLE).collect()
-        for k, d in enumerate(texts):
-            values = sorted((r[k] for r in rows if r[k] is not None), key=lambda x: x.encode())
-            cuts = {values[max(0, math.ceil(x * len(values)) - 1)] for x in shares} if values else ()
-            out[d] = sorted(cuts, key=lambda x: x.encode())
+    for d in texts:
+        out[d] = string_quantiles(df.select(F.col(d).alias("v")), shares)
     return [out[d] for d in dims]
 
 
+def string_quantiles(values: DataFrame, shares: list[float]) -> list[str]:
+    """Ascending distinct values of the column ``v`` at ``shares`` of its rows that are not
+    null, exact: the counted values are dealt by ranges and summed range by range; only the sums
+    of the ranges and the quantiles reach the driver."""
+    counted = written(values.where("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("n")).repartitionByRange("v")
+                      .withColumn("part", F.spark_partition_id()), "quantiles")
+    start, starts = 0, []
+    for r in counted.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():
+        starts.append((r.part, start))
+        start += r.n
+    if not start:
+        return []
+    ranks = F.array(*[F.lit(x) for x in sorted({max(0, math.ceil(x * start) - 1) for x in shares})])
+    inside = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = counted.sparkSession.createDataFrame(starts, "part int, start bigint")
+    ends = counted.join(F.broadcast(before), "part").withColumn("end", F.col("start") + F.sum("n").over(inside))
+    hit = F.exists(ranks, lambda k: (k < F.col("end")) & (k >= F.col("end") - F.col("n")))
+    return sorted((r.v for r in ends.where(hit).select("v").collect()), key=lambda x: x.encode())
+
+
 def hilbert_index(bins: Column, dims: int, bits: int) -> Column:
     """Index on the Hilbert curve of an array of ``dims`` bins of ``bits`` bits
     (the transpose form: undo the rotations from the top bit down, Gray code,
