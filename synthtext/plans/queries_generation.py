@@ -345,7 +345,7 @@ def q_stream_state(spark, d):
         (-1 - F.col("conv_id")).alias("request_id"), F.lit(0).cast("bigint").alias("seq_index"), F.lit(0).cast("bigint").alias("seq"),
         F.lit("").alias("text"), F.lit(True).alias("finished"), F.expr(_FIRST + " + INTERVAL 1 DAY").alias("event_time")).distinct()
     path = scratch_path(spark, "pieces")
-    files = max(1, int(pieces._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) >> 30)
+    files = max(1, int(pieces._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) >> 26)
     for epoch in range(3):
         part = pieces.where(F.pmod(F.xxhash64("request_id", "seq"), F.lit(3)) == epoch)
         part.repartition(files).write.mode("append").parquet(f"{path}/in")
@@ -372,7 +372,7 @@ def q_stream_attach(spark, d):
     end = table(spark, d, "conversations").agg(F.lit(-1).cast("bigint").alias("prompt_id")).select(
         "prompt_id", F.lit("").alias("text"), (first + F.expr("INTERVAL 1 DAY")).alias("event_time"))
     path = scratch_path(spark, "attach")
-    files = max(1, int(prompts._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) >> 30)
+    files = max(1, int(prompts._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) >> 26)
     feeds = []
     for name, rows, text, later in (("prompt", prompts, "prompt", 0), ("generated_text", answers, "generated_text", 60)):
         rows = rows.select("prompt_id", F.col(text).alias("text"), at(later).alias("event_time"))

@@ -22,9 +22,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -37,67 +36,85 @@ RESPONSE = T.StructType([
 
 
 class Assembler(StatefulProcessor):
-    """Pieces of one response: ``seq -> text`` and (latest event time, number of the last
-    piece or -1, pieces held)."""
+    """Pieces of one response: a list of ``(seq, text)``, one entry a piece, and (latest event
+    time, number of the last piece or -1, numbers held, time of its timer).
+
+    Every call of the state goes to the executor's JVM and back, so an epoch makes few of them,
+    however many pieces it has: new pieces are appended at once, and a timer that comes before
+    the response is due is set again only then."""
 
     def __init__(self, timeout_ms: int):
         self.timeout_ms = timeout_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pieces = handle.getMapState("pieces", "seq long", "text string")
-        self.seen = handle.getValueState("seen", "latest long, last long, held long")
+        self.pieces = handle.getListState("pieces", "seq long, text string")
+        self.seen = handle.getValueState("seen", "latest long, last long, held array<long>, timer long")
 
-    def _response(self, key, got: dict[int, str], complete: bool) -> pd.DataFrame:
+    def _response(self, key, got: dict[int, str], complete: bool) -> Row:
         n = next(i for i in range(len(got) + 1) if i not in got)
-        return pd.DataFrame({"request_id": [key[0]], "seq_index": [key[1]],
-                             "text": ["".join(got[i] for i in range(n))], "n_pieces": [n], "complete": [complete]})
+        return Row(request_id=key[0], seq_index=key[1], text="".join(got[i] for i in range(n)), n_pieces=n,
+                   complete=complete)
 
     def _held(self) -> dict[int, str]:
+        """The pieces of an open response."""
+        return {seq: text for seq, text in self.pieces.get()}
+
+    def _closed(self) -> dict[int, str]:
         """The pieces of an open response, which is closed."""
-        got = {k[0]: v[0] for k, v in self.pieces.iterator()}
+        got = self._held()
         self.pieces.clear()
         self.seen.clear()
         return got
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         new: dict[int, str] = {}
         latest, last = 0, -1
         mark = timerValues.getCurrentWatermarkInMs()
-        for pdf in rows:
-            for seq, text, done, at in zip(pdf["seq"], pdf["text"], pdf["finished"], pdf["at_ms"]):
-                if at < mark:  # Spark itself drops late rows one epoch later
-                    continue
-                new[int(seq)] = "" if text is None else text
-                latest = max(latest, int(at))
-                if done:
-                    last = int(seq)
+        for r in rows:
+            if r["at_ms"] < mark:  # Spark itself drops late rows one epoch later
+                continue
+            new[r["seq"]] = "" if r["text"] is None else r["text"]
+            latest = max(latest, r["at_ms"])
+            if r["finished"]:
+                last = r["seq"]
         if not new:
             return
         # numbers start at 0, and a response has none beyond its last piece
-        if not self.seen.exists():
+        seen = self.seen.get()
+        if seen is None:
             if last >= 0 and len(new) == last + 1:  # all of it in one micro-batch: no state
                 yield self._response(key, new, True)
                 return
-            before, held = 0, len(new)
-        else:
-            before, old_last, held = self.seen.get()
-            held += sum(not self.pieces.containsKey((i,)) for i in new)
-            last = max(last, old_last)
-        if before:
-            self.handle.deleteTimer(before + self.timeout_ms)
-        if last >= 0 and held == last + 1:
-            yield self._response(key, {**self._held(), **new}, True)
+            self.pieces.put(list(new.items()))
+            timer = latest + self.timeout_ms
+            self.seen.update((latest, last, list(new), timer))
+            self.handle.registerTimer(timer)
             return
-        for i, text in new.items():
-            self.pieces.updateValue((i,), (text,))
-        latest = max(latest, before)
-        self.seen.update((latest, last, held))
-        self.handle.registerTimer(latest + self.timeout_ms)
+        before, old_last, held, timer = seen
+        all_held = set(held).union(new)
+        last = max(last, old_last)
+        if last >= 0 and len(all_held) == last + 1:
+            self.handle.deleteTimer(timer)
+            yield self._response(key, {**self._closed(), **new}, True)
+            return
+        if len(all_held) < len(held) + len(new):  # some come again
+            self.pieces.put(list({**self._held(), **new}.items()))
+        else:
+            self.pieces.appendList(list(new.items()))
+        self.seen.update((max(latest, before), last, list(all_held), timer))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.seen.exists():
-            yield self._response(key, self._held(), False)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        seen = self.seen.get()
+        if seen is None:
+            return
+        latest, last, held, _ = seen
+        due = latest + self.timeout_ms
+        if due < timerValues.getCurrentWatermarkInMs():
+            yield self._response(key, self._closed(), False)
+        else:  # pieces came since the timer was set
+            self.seen.update((latest, last, list(held), due))
+            self.handle.registerTimer(due)
 
     def close(self) -> None:
         pass
@@ -123,7 +140,7 @@ def assemble_responses(pieces: DataFrame, delay: str = "10 minutes", timeout_ms:
         F.col("request_id").cast("long"), F.col("seq_index").cast("long"), F.col("seq").cast("long"), "text",
         F.coalesce("finished", F.lit(False)).alias("finished"), F.col(time_col).alias("__time"),
         F.unix_millis(time_col).alias("at_ms")).withWatermark("__time", delay)
-    return rows.groupBy("request_id", "seq_index").transformWithStateInPandas(
+    return rows.groupBy("request_id", "seq_index").transformWithState(
         Assembler(timeout_ms), RESPONSE, "append", "EventTime")
 
 
