@@ -289,7 +289,8 @@ def q_stream_chunk_callback(spark, d):
     prompts = _prompt_feed(spark, d)
     out = scratch_path(spark, "chunks")
     columns = ["request_id", "seq_index", "seq", "prompt", "text", "finished"]
-    consume_stream(generate_stream(prompts, ECHO), lambda part, epoch: JsonLines(f"{out}/seen", columns, part, epoch),
+    # every chunk repeats the prompt and what came before it, which packs well
+    consume_stream(generate_stream(prompts, ECHO), lambda part, epoch: JsonLines(f"{out}/seen", columns, part, epoch, "gzip"),
                    f"{out}/marks", f"{out}/checkpoint").awaitTermination()
     seen = spark.read.schema("n bigint, request_id bigint, seq_index bigint, seq bigint, prompt string, text string, "
                              "finished boolean").json(f"{out}/seen")

@@ -8,8 +8,8 @@ in one partition and nothing moves between generation and sink.
 A partition of an epoch that was consumed to its end leaves a mark in a folder that all
 executors reach. An epoch that is replayed after a failure skips the marked partitions, so
 their chunks are handed over once. A partition that failed half-way is handed over again
-from its start (its consumer was closed with the error): a consumer keeps what it got until
-``close`` and lets go of it then, as ``JsonLines`` does.
+from its start (its consumer was closed with the error): a consumer shows what it got at
+``close`` and lets go of it after an error, as ``JsonLines`` does.
 """
 
 from __future__ import annotations
@@ -68,20 +68,50 @@ def write_file(uri: str, data: bytes) -> None:
         f.write(data)
 
 
+#: characters of lines that a consumer holds before it writes them
+HELD_CHARS = 1 << 20
+
+
 class JsonLines:
     """A consumer that leaves a file of JSON lines for each partition of each epoch, in the
-    order of the calls (``n``). It holds a partition's chunks in memory until the end."""
+    order of the calls (``n``). Lines are written as they come, to a name that readers skip;
+    the file gets its own name at the end. ``compression`` as Arrow's streams name it."""
 
-    def __init__(self, folder: str, columns: list[str], partition: int, epoch: int):
-        self.path, self.columns = f"{folder}/epoch={epoch}/partition={partition}/part.json", columns
+    def __init__(self, folder: str, columns: list[str], partition: int, epoch: int, compression: str | None = None):
+        end = {None: "", "gzip": ".gz", "bz2": ".bz2"}[compression]
+        self.path, self.columns = f"{folder}/epoch={epoch}/partition={partition}/part.json{end}", columns
+        self.compression = compression
         self.lines: list[str] = []
+        self.n = self.held = 0
+        self.file = None
 
     def chunk(self, row: Row) -> None:
-        self.lines.append(json.dumps({"n": len(self.lines), **{c: row[c] for c in self.columns}}))
+        line = json.dumps({"n": self.n, **{c: row[c] for c in self.columns}})
+        self.lines.append(line)
+        self.n, self.held = self.n + 1, self.held + len(line)
+        if self.held >= HELD_CHARS:
+            self._write()
+
+    def _write(self) -> None:
+        if self.file is None:
+            self.where, to = file_system(self.path)
+            folder, _, name = to.rpartition("/")
+            self.to, self.open = to, f"{folder}/_{name}.open"
+            self.where.create_dir(folder, recursive=True)
+            self.file = self.where.open_output_stream(self.open, compression=self.compression)
+        self.file.write("".join(f"{x}\n" for x in self.lines).encode())
+        self.lines, self.held = [], 0
 
     def close(self, error: Exception | None) -> None:
         if error is None and self.lines:
-            write_file(self.path, "\n".join(self.lines).encode())
+            self._write()
+        if self.file is None:
+            return
+        self.file.close()
+        if error is None:
+            self.where.move(self.open, self.to)
+        else:  # the partition comes again from its start
+            self.where.delete_file(self.open)
 
 
 def consume_stream(chunks: DataFrame, make: Callable[[int, int], Consumer], marks: str, checkpoint: str) -> StreamingQuery:
