@@ -37,8 +37,6 @@ from __future__ import annotations
 import hashlib
 import re
 import string
-import zlib
-from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import cached_property
 from itertools import chain
@@ -56,7 +54,6 @@ from .tables import small_batches
 
 SPACE = "▁"
 BLOCK = 4 << 20
-MEMO = 100_000
 
 
 @dataclass
@@ -82,9 +79,9 @@ class Pieces:
         return f"{SPACE}+[^{SPACE}{lone}]*|[^{SPACE}{lone}]+|[{lone}]"
 
     @cached_property
-    def memo(self) -> dict[str, list[int]]:
-        """Ids of chunks that a worker has met; emptied above ``MEMO``."""
-        return {}
+    def index(self) -> tuple[pa.Array, np.ndarray]:
+        """The pieces, and their ids."""
+        return pa.array(list(self.ids), pa.string()), np.fromiter(self.ids.values(), np.int32, len(self.ids))
 
     @cached_property
     def run_sizes(self) -> set[int]:
@@ -285,17 +282,10 @@ def segmentations(chunks: DataFrame, table: Pieces, keys: list[str]) -> DataFram
 
 # -- texts -> blocks -> chunks -> blocks
 
-def _words(text: str | None, kind: str) -> list[str]:
-    """The words of a text: what stands between spaces (U+2581 counts as one). In
-    BPE tables spaces beyond the first are empty words, spelled as a run; else they
-    are part of the word after them."""
-    if not text:
-        return []
-    words = text.replace(SPACE, " ").split(" ")
-    if kind == "bpe" or "" not in words:
-        return words
+def _spaced(text: str) -> list[str]:
+    """The words of a text in a unigram table: spaces beyond one are part of the word after them."""
     out, run = [], ""
-    for w in words:
+    for w in text.replace(SPACE, " ").split(" ") if text else []:
         if w:
             out.append(run + w)
             run = ""
@@ -304,22 +294,76 @@ def _words(text: str | None, kind: str) -> list[str]:
     return [*out, run[1:]] if run else out
 
 
-def _asked(texts: list[str], kind: str, pattern: re.Pattern, buckets: int) -> dict[int, list[str]]:
-    """Distinct chunks of two or more characters, sorted, by bucket."""
-    words: set[str] = set()
-    for t in texts:
-        words.update(_words(t, kind))
-    chunks: set[str] = set()
-    for w in words:
-        if w.isalpha():  # no letter stands alone (load_pieces sees to that)
-            chunks.add(SPACE + w)
-        else:
-            chunks.update(pattern.findall(SPACE + w))
-    out: dict[int, list[str]] = {}
-    for c in sorted(chunks):
-        if len(c) > 1:
-            out.setdefault(zlib.crc32(c.encode()) % buckets, []).append(c)
-    return out
+def _words(col, kind: str) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of some texts, the place among them of each text's words, and how
+    many each text has. Words stand between spaces (U+2581 counts as one). In BPE
+    tables spaces beyond the first are empty words, spelled as a run."""
+    if isinstance(col, pa.ChunkedArray):
+        col = pa.concat_arrays(col.chunks) if col.num_chunks else pa.array([], pa.string())
+    col = pc.fill_null(col.cast(pa.string()), "")
+    if kind == "bpe":
+        lists = pc.split_pattern(pc.replace_substring(col, SPACE, " "), " ")
+        size = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        some = pc.binary_length(col).to_numpy(zero_copy_only=False) > 0
+        flat = lists.flatten().filter(pa.array(np.repeat(some, size)))
+        size = np.where(some, size, 0)
+    else:
+        lists = [_spaced(t) for t in col.to_pylist()]
+        flat = pa.array(list(chain.from_iterable(lists)), pa.string())
+        size = np.fromiter(map(len, lists), np.int64, len(lists))
+    code = flat.dictionary_encode()
+    return code.dictionary, code.indices.to_numpy(zero_copy_only=False).astype(np.int64), size
+
+
+def _joined(strings: pa.Array, ends: np.ndarray, by: str) -> pa.Array:
+    """One string for the strings between each two of ``ends``."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), strings), by)
+
+
+def _chunks(words: pa.Array, kind: str, pattern: re.Pattern) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct chunks of distinct words, the place among them of each word's chunks, and
+    how many each word has (an empty word of a BPE table has none)."""
+    if kind == "bpe":  # no word holds U+2581, so all are cut at once
+        own = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
+        text = _joined(words.filter(pa.array(own)), np.array([0, own.sum()]), SPACE)[0].as_py()
+        found = pattern.findall(SPACE + text) if text else []
+        every = pa.array(found, pa.string())
+        heads = np.flatnonzero(pc.starts_with(every, SPACE).to_numpy(zero_copy_only=False))
+        size = np.zeros(len(own), np.int64)
+        size[own] = np.diff(np.append(heads, len(found)))
+    else:
+        parts = [pattern.findall(SPACE + w) for w in words.to_pylist()]
+        every = pa.array(list(chain.from_iterable(parts)), pa.string())
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+    code = every.dictionary_encode()
+    return code.dictionary, code.indices.to_numpy(zero_copy_only=False).astype(np.int64), size
+
+
+_POWER = W.constants(1, 61)[0]
+
+
+def _dealt(chunks: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the chunks of two or more characters, by bucket and then by their first
+    bytes; the buckets, and where each begins and the last ends. A chunk's bucket follows
+    from the chunk, the order from the order of ``chunks``."""
+    data, offs = W.text_buffers(chunks)
+    long = np.flatnonzero(pc.utf8_length(chunks).to_numpy(zero_copy_only=False) > 1)
+    if not len(long):
+        return long, long, np.zeros(1, np.int64)
+    size = np.diff(offs)
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.full(int(size.max()), _POWER), dtype=np.uint64)
+        at = np.arange(len(data)) - np.repeat(offs[:-1], size)
+        h = W.mix64(np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * power[at], offs[:-1]))
+    bucket = (h % np.uint64(buckets)).astype(np.int64)
+    first = np.zeros(len(size), np.uint64)
+    for j in range(8):
+        byte = np.where(j < size, data[np.minimum(offs[:-1] + j, len(data) - 1)], 0).astype(np.uint64)
+        first |= byte << np.uint64(56 - 8 * j)
+    order = long[np.lexsort((first[long], bucket[long]))]
+    own = bucket[order]
+    heads = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+    return order, own[heads], np.append(heads, len(order))
 
 
 def _pack():
@@ -363,9 +407,10 @@ def _ask(kind: str, pattern: str, buckets: int):
     def run(batches):
         for batch in batches:
             for name, raw in zip(batch.column("block").to_pylist(), batch.column("rows")):
-                asked = _asked(_rows(raw.as_py())["text"].to_pylist(), kind, p, buckets)
-                yield pa.record_batch([pa.array(list(asked), pa.int64()),
-                                       pa.array([" ".join([str(name), *x]) for x in asked.values()], pa.string())],
+                chunks = _chunks(_words(_rows(raw.as_py())["text"], kind)[0], kind, p)[0]
+                order, own, ends = _dealt(chunks, buckets)
+                asked = _joined(chunks.take(pa.array(order)), ends, " ")
+                yield pa.record_batch([pa.array(own, pa.int64()), pc.binary_join_element_wise(str(name), asked, " ")],
                                       names=["bucket", "asks"])
 
     return run
@@ -384,88 +429,97 @@ def _answer(key, asks: pa.Table, known: pa.Table) -> pa.Table:
                      pa.array(cuts, pa.string())], names=["block", "bucket", "cuts"])
 
 
-class _Speller:
-    """Ids of the words of a block, given the cuts of its chunks."""
-
-    def __init__(self, table: Pieces, pattern: re.Pattern):
-        self.table, self.pattern, self.bpe = table, pattern, table.kind == "bpe"
-        self.space = table.spell(SPACE)
-        self.chunks: dict[str, list[int]] = {}
-        self.words: dict[str, list[int]] = {}
-
-    def learn(self, chunks: list[str], cuts: str) -> None:
-        ids, spell, memo = self.table.ids, self.table.spell, self.table.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        for c, cut in zip(chunks, cuts.split(" "), strict=True):
-            own = memo.get(c)
-            if own is None:
-                own, i = [], 0
-                for n in cut.encode() if cut else b"1" * len(c):
-                    piece = c[i : i + n - 48]
-                    one = ids.get(piece)
-                    if one is None:
-                        own += spell(piece)
-                    else:
-                        own.append(one)
-                    i += n - 48
-                memo[c] = own
-            self.chunks[c] = own
-
-    def word(self, w: str) -> list[int]:
-        own = self.words.get(w)
-        if own is None:
-            own = self.chunks.get(SPACE + w)
-            if own is None:
-                own = []
-                for c in self.pattern.findall(SPACE + w):
-                    part = self.chunks.get(c)
-                    own = own + (part if part is not None else self.table.spell(c))
-            self.words[w] = own
-        return own
-
-    def texts(self, texts: Iterable[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, and where each text's end: each distinct word is
-        spelled once, the texts are put together with numpy."""
-        place: dict[str, int] = {}
-        lists: list[list[int]] = []
-        at = []
-        for words in texts:
-            if self.bpe and "" in words:  # runs of spaces join the words beside them
-                lists.append(self.text(words))
-                at.append(np.array([len(lists) - 1]))
-                continue
-            for w in set(words):
-                if w not in place:
-                    place[w] = len(lists)
-                    lists.append(self.word(w))
-            at.append(np.fromiter(map(place.__getitem__, words), np.int64, len(words)))
-        size = np.array([len(x) for x in lists], np.int64)
-        flat = np.fromiter(chain.from_iterable(lists), np.int32, int(size.sum()))
-        first = np.cumsum(size) - size
-        own = np.concatenate(at) if at else np.zeros(0, np.int64)
-        n = size[own]
-        end = np.cumsum(n)
-        out = flat[np.repeat(first[own] - (end - n), n) + np.arange(int(n.sum()))]
-        stops = np.cumsum([0, *map(len, at)])
-        return out, np.concatenate([[0], end])[stops]
-
-    def text(self, words: list[str]) -> list[int]:
-        if not self.bpe or "" not in words:
-            return [i for w in words for i in self.word(w)]
-        out, run = [], 0
-        for w in words:
-            if not w:
-                run += 1
-                continue
-            own = self.word(w)
-            if run:
-                if own[: len(self.space)] == self.space:  # the word left its own U+2581 to the run
-                    run, own = run + 1, own[len(self.space):]
-                out += self.table.spell_run(run)
-                run = 0
-            out += own
-        return out + self.table.spell_run(run) if run else out
+def _expand(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, .. of size[0] places, then those of first[1], .."""
+    end = np.cumsum(size)
+    return np.repeat(first - (end - size), size) + np.arange(int(size.sum()))
+
+
+def _stops(size: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
+
+
+def _cut(chunks: pa.Array, order: np.ndarray, cuts: str) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of all chunks, and how many each has. ``cuts``: those of the chunks in
+    ``order``; chunks without one are cut into characters."""
+    raw = np.frombuffer(cuts.encode(), np.uint8)
+    given = np.diff(np.concatenate([[-1], np.flatnonzero(raw == 32), [len(raw)]])) - 1 if len(order) else order
+    if len(given) != len(order):
+        raise ValueError(f"{len(given)} cuts for {len(order)} chunks")
+    count = pc.utf8_length(chunks).to_numpy(zero_copy_only=False).astype(np.int64)
+    some = given > 0
+    count[order[some]] = given[some]
+    size = np.ones(int(count.sum()), np.int64)
+    size[_expand(_stops(count)[order[some]], given[some])] = raw[raw != 32].astype(np.int64) - 48
+    data, _ = W.text_buffers(chunks)
+    starts = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    offs = starts[_stops(size)].astype(np.int32)
+    return pa.StringArray.from_buffers(len(size), pa.py_buffer(offs), pa.py_buffer(np.ascontiguousarray(data))), count
+
+
+def _ids(pieces: pa.Array, table: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of pieces, and how many each has (more than one: bytes)."""
+    known, own = table.index
+    at = pc.index_in(pieces, value_set=known)
+    size = np.ones(len(pieces), np.int64)
+    if not at.null_count:
+        return own[at.to_numpy(zero_copy_only=False)], size
+    bare = at.is_null().to_numpy(zero_copy_only=False)
+    code = pieces.filter(pa.array(bare)).dictionary_encode()
+    spelled = [table.spell(p) for p in code.dictionary.to_pylist()]
+    which = code.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    n = np.fromiter(map(len, spelled), np.int64, len(spelled))
+    size[bare] = n[which]
+    out, first = np.empty(int(size.sum()), np.int32), _stops(size)[:-1]
+    out[first[~bare]] = own[at.drop_null().to_numpy(zero_copy_only=False)]
+    every = np.fromiter(chain.from_iterable(spelled), np.int32)
+    out[_expand(first[bare], n[which])] = every[_expand((_stops(n)[:-1])[which], n[which])]
+    return out, size
+
+
+def _with_runs(words: list[str], own: list[list[int]], table: Pieces) -> list[int]:
+    """Ids of a text in a BPE table: runs of spaces join the words beside them."""
+    space = table.spell(SPACE)
+    out, run = [], 0
+    for w, ids in zip(words, own):
+        if not w:
+            run += 1
+            continue
+        if run:
+            if ids[: len(space)] == space:  # the word left its own U+2581 to the run
+                run, ids = run + 1, ids[len(space):]
+            out += table.spell_run(run)
+            run = 0
+        out += ids
+    return out + table.spell_run(run) if run else out
+
+
+def _spelled(col, table: Pieces, pattern: re.Pattern, buckets: int, cuts: dict[int, str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts of a block, and where each text's end. Pieces, chunks and words are
+    spelled once and put together with numpy."""
+    words, at, n = _words(col, table.kind)
+    chunks, of, n_chunks = _chunks(words, table.kind, pattern)
+    order, own, _ = _dealt(chunks, buckets)
+    pieces, n_pieces = _cut(chunks, order, " ".join([cuts[b] for b in own.tolist()]))
+    flat, size = _ids(pieces, table)
+    stop = _stops(size)[_stops(n_pieces)]  # of chunks
+    size = np.diff(stop)[of]
+    flat, stop = flat[_expand(stop[of], size)], _stops(size)[_stops(n_chunks)]  # of words
+    first, size = stop[:-1], np.diff(stop)
+    empty = pc.index(words, "").as_py() if table.kind == "bpe" else -1
+    if empty >= 0:
+        w, odd, parts = words.to_pylist(), [], []
+        for a, b in zip(_stops(n), np.cumsum(n)):
+            mine = at[a:b]
+            if empty in mine:
+                odd.append(_with_runs([w[i] for i in mine], [flat[stop[i] : stop[i + 1]].tolist() for i in mine], table))
+                mine = np.array([len(first) + len(odd) - 1])
+            parts.append(mine)
+        more = np.fromiter(map(len, odd), np.int64, len(odd))
+        first, size = np.concatenate([first, stop[-1] + _stops(more)[:-1]]), np.concatenate([size, more])
+        flat = np.concatenate([flat, np.fromiter(chain.from_iterable(odd), np.int32)])
+        at, n = np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+    return flat[_expand(first[at], size[at])], _stops(size[at])[_stops(n)]
 
 
 def _spell(shared, buckets: int, keep: list[str], out: str):
@@ -476,11 +530,7 @@ def _spell(shared, buckets: int, keep: list[str], out: str):
         done = []
         for raw in blocks["rows"]:
             rows = _rows(raw.as_py())
-            texts = rows["text"].to_pylist()
-            speller = _Speller(table, p)
-            for bucket, chunks in _asked(texts, table.kind, p, buckets).items():
-                speller.learn(chunks, cuts[bucket])
-            flat, ends = speller.texts(_words(t, table.kind) for t in texts)
+            flat, ends = _spelled(rows["text"], table, p, buckets, cuts)
             done.append(rows.select(keep).append_column(
                 out, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))))
         return pa.concat_tables(done)
