@@ -91,26 +91,25 @@ def _lowered(col):
 
 
 def _gram_counter(batches):
-    """(lang, gram, number of texts that have it), combined within a run."""
+    """(lang, gram, number of texts that have it), combined within a run and a length, so
+    the arrays of one length are held at a time."""
     for batch in batches:
         lang = np.array(batch.column("l").to_pylist(), np.int64)
         data, offs = _lowered(batch.column("t"))
         for i, j in W.runs(offs):
-            pairs = [np.stack([r.astype(np.uint64), h]) for r, h in
-                     _grams(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])]
-            if not pairs:
-                continue
-            both = np.concatenate(pairs, axis=1)
-            order = np.lexsort((both[1], both[0]))
-            r, h = both[0][order], both[1][order]
-            first = np.append(True, (r[1:] != r[:-1]) | (h[1:] != h[:-1]))  # once a text
-            ls, h = lang[i:j][r[first].astype(np.int64)], h[first]
-            order = np.lexsort((h, ls))
-            ls, h = ls[order], h[order]
-            head = np.flatnonzero(np.append(True, (ls[1:] != ls[:-1]) | (h[1:] != h[:-1])))
-            n = np.diff(np.append(head, len(h)))
-            yield pa.record_batch([pa.array(ls[head]), pa.array(W.signed(h[head])), pa.array(n)],
-                                  names=["l", "g", "n"])
+            for r, h in _grams(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]):
+                if not len(r):
+                    continue
+                order = np.lexsort((h, r))
+                r, h = r[order], h[order]
+                first = np.append(True, (r[1:] != r[:-1]) | (h[1:] != h[:-1]))  # once a text
+                ls, h = lang[i:j][r[first]], h[first]
+                order = np.lexsort((h, ls))
+                ls, h = ls[order], h[order]
+                head = np.flatnonzero(np.append(True, (ls[1:] != ls[:-1]) | (h[1:] != h[:-1])))
+                n = np.diff(np.append(head, len(h)))
+                yield pa.record_batch([pa.array(ls[head]), pa.array(W.signed(h[head])), pa.array(n)],
+                                      names=["l", "g", "n"])
 
 
 def _slots_of(g: np.ndarray, bits: int) -> list[np.ndarray]:

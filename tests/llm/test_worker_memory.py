@@ -1,4 +1,4 @@
-"""What a Python worker holds: the words of one block."""
+"""What a Python worker holds: n-grams of one length, the words of one block."""
 
 import re
 import tracemalloc
@@ -6,7 +6,9 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
+from synthtext.llm import language as G
 from synthtext.llm import pieces as P
+from synthtext.llm import words as W
 
 
 def _texts(n, seed):
@@ -23,6 +25,26 @@ def _peak(run):
     return peak
 
 
+def test_counting_holds_one_length():
+    texts = _texts(300, 1)
+    batch = pa.record_batch([pa.array([k % 3 for k in range(300)]), pa.array(texts)], names=["l", "t"])
+    rows = {}
+
+    def run():
+        for out in G._gram_counter([batch]):
+            for x in out.to_pylist():
+                rows[x["l"], x["g"]] = rows.get((x["l"], x["g"]), 0) + x["n"]
+
+    assert _peak(lambda: [len(x) for x in G._gram_counter([batch])]) < 140 * W.CHUNK
+    run()
+    want = {}
+    for k, t in enumerate(texts):
+        data, offs = W.text_buffers(pa.array([t]))
+        for g in {int(x) for _, h in G._grams(data, offs) for x in W.signed(h)}:
+            want[k % 3, g] = want.get((k % 3, g), 0) + 1
+    assert rows == want
+
+
 def test_a_block_is_spelled_without_a_string_a_word():
     table = P.load_pieces()
     pattern = re.compile(table.chunk_pattern())
