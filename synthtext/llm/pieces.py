@@ -209,11 +209,10 @@ def bpe_fold(edges: Column, size: Column) -> Column:
     length = lambda e: e.bitwiseAND(number(255)).cast("int")
 
     def bits(ends, e):
-        at, n = start(e) - 1, length(e)
-        outer = left(left(number(1), n) + 1, at)
-        own = ends.bitwiseAND(left(left(number(2), n) - 1, at))
-        use = (F.bit_count(own) == 3) & (ends.bitwiseAND(outer) == outer)
-        return F.when(use, ends.bitwiseXOR(own).bitwiseOR(outer)).otherwise(ends)
+        at, n = start(e) - 1, length(e)  # a lambda evaluates each mention anew, so each mask is mentioned once
+        own, outer = left(left(number(2), n) - 1, at), left(left(number(1), n) + 1, at)
+        use = (F.bit_count(ends.bitwiseAND(own)) == 3) & (F.bit_count(ends.bitwiseAND(outer)) == 2)
+        return F.when(use, ends.bitwiseAND(F.bitwise_not(left(left(number(1), n) - 2, at)))).otherwise(ends)
 
     def text(ends, e):
         n = length(e)
@@ -600,4 +599,4 @@ def decode(rows: DataFrame, table: Pieces, ids: str = "ids", out: str = "decoded
 
 def same_text(text: str = "text", decoded: str = "decoded") -> Column:
     """Whether a text came back (null as empty, U+2581 as a space)."""
-    return F.translate(F.coalesce(F.col(text), F.lit("")), SPACE, " ") == F.col(decoded)
+    return F.replace(F.coalesce(F.col(text), F.lit("")), F.lit(SPACE), F.lit(" ")) == F.col(decoded)

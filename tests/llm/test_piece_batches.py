@@ -27,3 +27,14 @@ def test_batches_are_only_made_smaller(spark):
             assert spark.conf.get(ROWS) == want
     finally:
         spark.conf.set(ROWS, before)
+
+
+def test_fold_mentions_its_masks_once_and_texts_are_not_translated(spark):
+    from pyspark.sql import functions as F
+
+    from synthtext.llm import pieces as P
+
+    fold = str(P.bpe_fold(F.col("edges"), F.col("size")))
+    short = fold[: fold.index("overlay")] if "overlay" in fold else fold
+    assert short.count("bit_count") == 2 and "^" not in short
+    assert "translate" not in str(P.same_text())
